@@ -25,51 +25,43 @@ def running_totals(
     A tick closes the interval before it, so its total covers all counts with an
     earlier time. Ticks without counts repeat the previous total.
 
-    Counts are summed per tick before the shuffle; from there on the work
-    depends on the length of the calendar, not on the number of counts. The
-    running sum is taken within chunks of ``chunk_ticks`` ticks, side by side;
+    Counts are read once and summed per tick before the shuffle; from there on
+    the work depends on the length of the calendar, not on the number of counts.
+    Running sums are taken within chunks of ``chunk_ticks`` ticks, side by side;
     only one row per chunk (one a day, with minute ticks) passes through the
-    unpartitioned window that carries the totals from chunk to chunk.
+    unpartitioned window that carries totals from chunk to chunk.
     """
     every_us = every_seconds * MICROS_PER_SECOND
-    size = F.lit(chunk_ticks).cast("bigint")
-
-    def chunk_of(slot):
-        return F.call_function("div", slot - F.pmod(slot, size), size)
-
     deltas = (
         counts.where(F.col(ts).isNotNull())
         .groupBy(slot_of(micros(F.col(ts)), every_us).alias("slot"))
-        .agg(F.sum(value).cast("bigint").alias("delta"))
-        .withColumn("chunk", chunk_of(F.col("slot")))
+        .agg(or_zero(F.sum(value)).cast("bigint").alias("delta"))
+        .withColumn("chunk", slot_of(F.col("slot"), chunk_ticks))
     )
-    calendar = (
-        deltas.agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
-        .select("first", "last",
-                F.explode(F.sequence(chunk_of(F.col("first")), chunk_of(F.col("last"))))
-                .alias("chunk"))
+    by_slot = Window.partitionBy("chunk").orderBy("slot")
+    within = deltas.select(
+        "chunk", "slot",
+        F.sum("delta").over(by_slot.rowsBetween(Window.unboundedPreceding, 0)).alias("within"),
+        F.lead("slot").over(by_slot).alias("next_slot"),
+    )
+    by_chunk = Window.orderBy("chunk")
+    chunks = (
+        deltas.groupBy("chunk")
+        .agg(F.sum("delta").alias("chunk_total"), F.min("slot").alias("first_slot"))
         .select(
-            F.explode(F.sequence(
-                F.greatest("first", F.col("chunk") * size),
-                F.least("last", F.col("chunk") * size + size - 1),
-            )).alias("slot"),
-            F.lit(0).cast("bigint").alias("delta"),
             "chunk",
+            or_zero(F.sum("chunk_total").over(
+                by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+            )).alias("carried"),
+            F.lead("first_slot").over(by_chunk).alias("next_chunk_slot"),
         )
     )
-    ticks = deltas.union(calendar.select(deltas.columns)).groupBy("chunk", "slot").agg(
-        F.sum("delta").alias("delta")
-    )
-    in_chunk = Window.partitionBy("chunk").orderBy("slot").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    earlier_chunks = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    within = ticks.select("chunk", "slot", F.sum("delta").over(in_chunk).alias("within"))
-    carried = ticks.groupBy("chunk").agg(F.sum("delta").alias("chunk_total")).select(
-        "chunk", or_zero(F.sum("chunk_total").over(earlier_chunks)).alias("carried")
-    )
-    closes_at = F.timestamp_micros((F.col("slot") + 1) * F.lit(every_us).cast("bigint"))
-    return within.join(carried, "chunk").select(
-        closes_at.cast(counts.schema[ts].dataType).alias("tick"),
+    # Every chunk has its row. A left join keeps null filters out of the two
+    # sides, so that both start from one and the same shuffle of the deltas.
+    totals = within.join(chunks, "chunk", "left")
+    next_count = F.coalesce("next_slot", "next_chunk_slot", F.col("slot") + 1)
+    closes_at = F.timestamp_micros((F.col("tick_slot") + 1) * F.lit(every_us).cast("bigint"))
+    return totals.select(
+        F.explode(F.sequence(F.col("slot"), next_count - 1)).alias("tick_slot"),
         (F.col("within") + F.col("carried")).alias("total"),
-    )
+    ).select(closes_at.cast(counts.schema[ts].dataType).alias("tick"), "total")

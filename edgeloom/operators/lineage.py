@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,12 @@ def arrival_latency(
     slot in which one run has very many events.
     """
     wait_us = to_micros(max_wait)
-    starts = runs.groupBy(*keys).agg(F.min(started).alias(started))
+    # Runs without a key match no event. Set apart, they leave one grouping of
+    # the others that serves both joins with the same shuffle.
+    keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    starts = runs.where(keyed).groupBy(*keys).agg(F.min(started).alias(started))
+    keyless = runs.where(~keyed).groupBy(*keys).agg(F.min(started).alias(started))
+
     start_us, arrived_us = micros(F.col(started)), micros(F.col(arrived))
     slot = slot_of(start_us, wait_us)
     probes = starts.where(F.col(started).isNotNull()).select(
@@ -64,10 +70,15 @@ def arrival_latency(
         .groupBy(*keys)
         .agg(F.min("at").alias(arrived))
     )
+    never = F.lit(None).cast(events.schema[arrived].dataType)
     latency = arrived_us - start_us
-    return starts.join(first, list(keys), "left").select(
-        *keys, started, arrived,
-        latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
+    return (
+        starts.join(first, list(keys), "left")
+        .union(keyless.withColumn(arrived, never))
+        .select(
+            *keys, started, arrived,
+            latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
+        )
     )
 
 

@@ -108,4 +108,4 @@ def leaders_in(profile: DataFrame, k: int = 5) -> DataFrame:
     mentioned = leaders.where(
         F.col("mention_rows").isNotNull() & F.col("followed").isNotNull()
     ).select("followed", "followers", "mentions")
-    return ranked(mentioned, "followers", by="followed")
+    return top(mentioned, "followers", by="followed", k=k)

@@ -7,19 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that matter for plans over large inputs. AQE merges small shuffle
-# partitions and splits skewed join partitions; partitions are sized by bytes
-# rather than by the number of cores, so a large cluster does not write
-# thousands of tiny files. Streaming state lives in RocksDB, off the JVM heap.
+# AQE merges small shuffle partitions and splits skewed join partitions.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+# For streams whose open runs do not fit the executors' heap: state in RocksDB,
+# and only its changes written at each checkpoint. Slower while state is small.
+LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
