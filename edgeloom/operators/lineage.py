@@ -58,8 +58,7 @@ def arrival_latency(
         *keys, start_us.alias("start_us"), F.explode(F.array(slot, slot + 1)).alias("slot")
     )
     candidates = events.where(F.col(arrived).isNotNull()).select(
-        *keys, F.col(arrived).alias("at"), arrived_us.alias("at_us"),
-        slot_of(arrived_us, wait_us).alias("slot"),
+        *keys, arrived_us.alias("at_us"), slot_of(arrived_us, wait_us).alias("slot")
     )
     in_time = (F.col("at_us") >= F.col("start_us")) & (
         F.col("at_us") < F.col("start_us") + F.lit(wait_us)
@@ -68,15 +67,15 @@ def arrival_latency(
         probes.join(candidates, [*keys, "slot"])
         .where(in_time)
         .groupBy(*keys)
-        .agg(F.min("at").alias(arrived))
+        .agg(F.min("at_us").alias("at_us"))
     )
-    never = F.lit(None).cast(events.schema[arrived].dataType)
-    latency = arrived_us - start_us
+    latency = F.col("at_us") - start_us
     return (
         starts.join(first, list(keys), "left")
-        .union(keyless.withColumn(arrived, never))
+        .union(keyless.withColumn("at_us", F.lit(None).cast("bigint")))
         .select(
-            *keys, started, arrived,
+            *keys, started,
+            F.timestamp_micros("at_us").cast(events.schema[arrived].dataType).alias(arrived),
             latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
         )
     )

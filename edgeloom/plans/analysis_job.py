@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edgeloom.operators import ranking, report
 from edgeloom.session import get_session, scratch_path
-from edgeloom.sources.edges import EdgeTables, read_tables, write_parquet
+from edgeloom.sources.edges import EdgeTables, read_tables, together, write_parquet
 
 # --- Fixed values: names of the result datasets and the order of their rows. ---
 RESULT_ORDER = {
@@ -42,12 +42,10 @@ def save_results(
     """Write all results; returns them as read back from what was written."""
     profile_path = scratch_path(spark, "profile")
     write_parquet(report.user_profile(tables), profile_path)
-    saved = {}
-    for name, frame in results(spark.read.parquet(profile_path)).items():
-        path = f"{results_dir.rstrip('/')}/{name}"
-        write_parquet(frame, path)
-        saved[name] = spark.read.parquet(path)
-    return saved
+    frames = results(spark.read.parquet(profile_path))
+    paths = {name: f"{results_dir.rstrip('/')}/{name}" for name in frames}
+    together(lambda name: write_parquet(frames[name], paths[name]), list(frames))
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
 def preview(saved: dict[str, DataFrame], rows: int = 10) -> dict[str, DataFrame]:

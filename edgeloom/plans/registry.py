@@ -42,10 +42,14 @@ def _report(tables: edges.EdgeTables) -> DataFrame:
 def _edge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables to gzip text, from there to Parquet, and all rows of all five read back."""
     base = scratch_path(spark, "edge-ingest")
-    sources = {}
-    for name, frame in star.edge_tables(spark, sf_dir).items():
-        sources[name] = f"{base}/text/{name}"
-        frame.write.csv(sources[name], sep=edges.SEPARATOR, compression="gzip")
+    frames = dict(star.edge_tables(spark, sf_dir).items())
+    sources = {name: f"{base}/text/{name}" for name in frames}
+    edges.together(
+        lambda name: frames[name].write.csv(
+            sources[name], sep=edges.SEPARATOR, compression="gzip"
+        ),
+        list(frames),
+    )
     edges.ingest(spark, sources, f"{base}/parquet", edges.edge_schemas(T.LongType()))
     networks = [
         frame.select(

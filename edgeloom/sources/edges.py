@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+Result = TypeVar("Result")
+
 # --- Fixed values: table names, column names and text format of the inputs. ---
 SEPARATOR = " "
 NETWORK_COLUMNS = {
@@ -102,6 +105,12 @@ def read_tables(spark: SparkSession, parquet_dir: str) -> EdgeTables:
     })
 
 
+def together(write: Callable[[str], Result], names: Sequence[str]) -> list[Result]:
+    """Submit one independent write per name at the same time, and wait for all."""
+    with ThreadPoolExecutor(max_workers=max(len(names), 1)) as pool:
+        return list(pool.map(write, names))
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -133,5 +142,4 @@ def ingest(
         write_parquet(rows, target)
         return target
 
-    with ThreadPoolExecutor(max_workers=max(len(sources), 1)) as pool:
-        return dict(zip(sources, pool.map(convert, sources)))
+    return dict(zip(sources, together(convert, list(sources))))

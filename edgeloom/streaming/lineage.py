@@ -20,6 +20,7 @@ def stream_latency(
     arrived: str = "arrived_at",
     max_wait: float = MAX_WAIT_SECONDS,
     allowed_delay: str = "1 minute",
+    salts: int = 4,
 ) -> DataFrame:
     """Final latency per run, in the columns of ``arrival_latency``, for append mode.
 
@@ -30,6 +31,11 @@ def stream_latency(
     condition bounds the join from both ends, so state stays as large as the
     wait and the delay, not as the stream.
 
+    A stream's join cannot be re-planned while it runs. So that the events of
+    one very busy run do not meet in one task, they are dealt out over ``salts``
+    parts by arrival time, and each run waits in all of them; the grouping by
+    run takes the earliest of its parts. 1 turns this off.
+
     Watermarks need zoned timestamps; zone-less ones are read in the session zone.
     """
     def timed(stream: DataFrame, column: str) -> DataFrame:
@@ -37,14 +43,21 @@ def stream_latency(
             column, allowed_delay
         )
 
-    left = timed(runs.select(*keys, started), started)
+    left = timed(
+        runs.select(*keys, started, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("part")),
+        started,
+    )
     right = timed(
-        events.select(*[F.col(k).alias(f"event_{k}") for k in keys], arrived), arrived
+        events.select(
+            *[F.col(k).alias(f"event_{k}") for k in keys], arrived,
+            F.pmod(F.xxhash64(arrived), F.lit(salts)).cast("int").alias("event_part"),
+        ),
+        arrived,
     )
     # A literal: the planner derives the state bound from it.
     wait = F.lit(timedelta(microseconds=to_micros(max_wait)))
     condition = (F.col(arrived) >= F.col(started)) & (F.col(arrived) < F.col(started) + wait)
-    for key in keys:
+    for key in (*keys, "part"):
         condition = condition & (F.col(key) == F.col(f"event_{key}"))
     first = (
         left.join(right, condition, "left_outer")

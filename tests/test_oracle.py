@@ -1,13 +1,14 @@
 """Every registered query against its SQL in DuckDB, over the whole test tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
