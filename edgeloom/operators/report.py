@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from edgeloom.functions.measures import or_zero
 from edgeloom.operators.ranking import ranked, top
-from edgeloom.sources.edges import EdgeTables
+from edgeloom.sources.edges import EdgeTableSet
 
 # Measures of a user profile. "_rows" tells whether the user occurs in that
 # network at all, which a zero or NULL measure does not.
@@ -17,7 +17,7 @@ PROFILE_MEASURES = (
 )
 
 
-def user_universe(tables: EdgeTables) -> DataFrame:
+def user_universe(tables: EdgeTableSet) -> DataFrame:
     """Every user that receives an edge in any network, once; senders alone do not count."""
     ids = [
         tables.social.select(F.col("followed").alias("user_id")),
@@ -31,19 +31,15 @@ def user_universe(tables: EdgeTables) -> DataFrame:
     return everyone.distinct()
 
 
-def _contribution(edges: DataFrame, target: str, **measures: Column) -> DataFrame:
+def _contribution(edges: DataFrame, target: str, **measures: str) -> DataFrame:
     """One row per edge: the receiver and what the edge adds to each measure."""
-    return edges.select(
-        F.col(target).alias("user_id"),
-        *[measures.get(m, F.lit(None)).cast("bigint").alias(m) for m in PROFILE_MEASURES],
+    return edges.selectExpr(
+        f"{target} AS user_id",
+        *[f"CAST({measures.get(m, 'NULL')} AS BIGINT) AS {m}" for m in PROFILE_MEASURES],
     )
 
 
-def _if_known(column: str) -> Column:
-    return F.when(F.col(column).isNotNull(), F.lit(1))
-
-
-def user_profile(tables: EdgeTables) -> DataFrame:
+def user_profile(tables: EdgeTableSet) -> DataFrame:
     """All measures of all receiving users from one pass over each network.
 
     The users of the report are exactly the keys of its four aggregates, so the
@@ -52,13 +48,13 @@ def user_profile(tables: EdgeTables) -> DataFrame:
     outer joins over eight scans. Measures a caller does not use are pruned down
     to the scans.
     """
-    one = F.lit(1)
     stacked = (
-        _contribution(tables.social, "followed", social_rows=one, followers=_if_known("follower"))
-        .union(_contribution(tables.mention, "mentioned", mention_rows=one,
-                             mention_edges=_if_known("occur"), mentions=F.col("occur")))
-        .union(_contribution(tables.reply, "replied", replies=F.col("occur")))
-        .union(_contribution(tables.retweet, "tweeted", retweets=F.col("occur")))
+        _contribution(tables.social, "followed", social_rows="1",
+                      followers="IF(follower IS NOT NULL, 1, NULL)")
+        .union(_contribution(tables.mention, "mentioned", mention_rows="1",
+                             mention_edges="IF(occur IS NOT NULL, 1, NULL)", mentions="occur"))
+        .union(_contribution(tables.reply, "replied", replies="occur"))
+        .union(_contribution(tables.retweet, "tweeted", retweets="occur"))
     )
     return stacked.groupBy("user_id").agg(*[F.sum(m).alias(m) for m in PROFILE_MEASURES])
 

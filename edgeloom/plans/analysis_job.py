@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edgeloom.operators import ranking, report
 from edgeloom.session import get_session, scratch_path
-from edgeloom.sources.edges import EdgeTables, read_tables, together, write_parquet
+from edgeloom.sources.edges import EdgeTableSet, read_tables, together, write_parquet
 
 # --- Fixed values: names of the result datasets and the order of their rows. ---
 RESULT_ORDER = {
@@ -37,7 +37,7 @@ def results(profile: DataFrame) -> dict[str, DataFrame]:
 
 
 def save_results(
-    spark: SparkSession, tables: EdgeTables, results_dir: str
+    spark: SparkSession, tables: EdgeTableSet, results_dir: str
 ) -> dict[str, DataFrame]:
     """Write all results; returns them as read back from what was written."""
     profile_path = scratch_path(spark, "profile")

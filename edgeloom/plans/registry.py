@@ -24,25 +24,25 @@ HOUR_SECONDS = 3600
 THIRTY_DAYS_SECONDS = 30 * 24 * 3600.0
 
 
-def _on_edges(build: Callable[[edges.EdgeTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(star.edge_tables(spark, sf_dir))
+def _on_edges(build: Callable[[edges.EdgeTableSet], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(star.StarEdgeTables(spark, sf_dir))
 
 
 def _on_views(build: Callable[[SparkSession], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star.edge_tables(spark, sf_dir).register_views()
+        star.StarEdgeTables(spark, sf_dir).register_views()
         return build(spark)
     return query
 
 
-def _report(tables: edges.EdgeTables) -> DataFrame:
+def _report(tables: edges.EdgeTableSet) -> DataFrame:
     return report.user_report(report.user_profile(tables))
 
 
 def _edge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables to gzip text, from there to Parquet, and all rows of all five read back."""
     base = scratch_path(spark, "edge-ingest")
-    frames = dict(star.edge_tables(spark, sf_dir).items())
+    frames = dict(star.StarEdgeTables(spark, sf_dir).items())
     sources = {name: f"{base}/text/{name}" for name in frames}
     edges.together(
         lambda name: frames[name].write.csv(
@@ -66,7 +66,7 @@ def _edge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole analysis job; the rows of its four written datasets, read back."""
     saved = analysis_job.save_results(
-        spark, star.edge_tables(spark, sf_dir), scratch_path(spark, "results")
+        spark, star.StarEdgeTables(spark, sf_dir), scratch_path(spark, "results")
     )
     measures = ("followers", "mentions", "followers_count", "mentions_count",
                 "replies_count", "retweets_count")
@@ -110,7 +110,7 @@ def _ledger_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _missing_items(spark: SparkSession, sf_dir: str, force: bool = False) -> DataFrame:
     """Orders of which no line was returned (landed = orders with a retweet edge)."""
     expected = star.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"))
-    landed = star.edge_tables(spark, sf_dir).retweet.select(F.col("tweeted").alias("item"))
+    landed = star.StarEdgeTables(spark, sf_dir).retweet.select(F.col("tweeted").alias("item"))
     return reconcile.missing_items(expected, landed, ["item"], force=force)
 
 

@@ -57,9 +57,8 @@ def edge_schemas(id_type: T.DataType | None = None) -> dict[str, T.StructType]:
     return schemas
 
 
-@dataclass(frozen=True)
-class EdgeTables:
-    """The five input tables."""
+class EdgeTableSet:
+    """The five input tables, under their view names."""
 
     social: DataFrame
     retweet: DataFrame
@@ -77,6 +76,17 @@ class EdgeTables:
             frame.createOrReplaceTempView(VIEW_NAMES[table])
 
 
+@dataclass(frozen=True)
+class EdgeTables(EdgeTableSet):
+    """Five given DataFrames."""
+
+    social: DataFrame
+    retweet: DataFrame
+    reply: DataFrame
+    mention: DataFrame
+    activity: DataFrame
+
+
 def read_edges(
     spark: SparkSession,
     path: str | list[str],

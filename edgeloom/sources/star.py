@@ -10,54 +10,75 @@ followers, mentions, replies or retweets for the outer joins to meet.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from edgeloom.functions.measures import MICROS_PER_SECOND, micros, slot_of
-from edgeloom.sources.edges import EdgeTables
+from edgeloom.sources.edges import EdgeTableSet
+
+# Columns used here, with their types in the files. Stating them spares a job
+# that reads a footer to infer the schema.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                "l_returnflag string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _interactions(lineitem: DataFrame, flag: str, source: str, target: str,
-                  names: tuple[str, str]) -> DataFrame:
-    return lineitem.where(F.col("l_returnflag") == flag).select(
-        F.col(source).alias(names[0]),
-        F.col(target).alias(names[1]),
-        F.col("l_quantity").cast("int").alias("occur"),
-    )
+class StarEdgeTables(EdgeTableSet):
+    """The edge tables of one data folder, each read when first asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
 
-def edge_tables(spark: SparkSession, sf_dir: str) -> EdgeTables:
-    lineitem = table(spark, sf_dir, "lineitem")
-    events = table(spark, sf_dir, "events")
-    return EdgeTables(
-        social=lineitem.select(
-            F.col("l_orderkey").alias("follower"), F.col("l_partkey").alias("followed")
-        ),
-        retweet=_interactions(lineitem, "R", "l_partkey", "l_orderkey", ("tweeter", "tweeted")),
-        reply=_interactions(lineitem, "A", "l_partkey", "l_suppkey", ("replier", "replied")),
-        mention=_interactions(lineitem, "N", "l_suppkey", "l_partkey", ("mentioner", "mentioned")),
-        activity=events.select(
-            F.col("user_id").alias("userA"),
-            F.col("event_id").alias("userB"),
-            slot_of(micros(F.col("ts")), MICROS_PER_SECOND).cast("int").alias("timestamp"),
-            F.col("event_type").alias("interaction"),
-        ),
-    )
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        return table(self._spark, self._sf_dir, "lineitem")
+
+    @cached_property
+    def social(self) -> DataFrame:
+        return self._lineitem.selectExpr("l_orderkey AS follower", "l_partkey AS followed")
+
+    @cached_property
+    def retweet(self) -> DataFrame:
+        return self._interactions("R", "l_partkey AS tweeter", "l_orderkey AS tweeted")
+
+    @cached_property
+    def reply(self) -> DataFrame:
+        return self._interactions("A", "l_partkey AS replier", "l_suppkey AS replied")
+
+    @cached_property
+    def mention(self) -> DataFrame:
+        return self._interactions("N", "l_suppkey AS mentioner", "l_partkey AS mentioned")
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return table(self._spark, self._sf_dir, "events").selectExpr(
+            "user_id AS userA", "event_id AS userB",
+            "CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS INT) AS timestamp",
+            "event_type AS interaction",
+        )
+
+    def _interactions(self, flag: str, source: str, target: str) -> DataFrame:
+        return self._lineitem.where(f"l_returnflag = '{flag}'").selectExpr(
+            source, target, "CAST(l_quantity AS INT) AS occur"
+        )
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as job runs: key and start."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("started_at")
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS run_id", "o_orderdate AS started_at"
     )
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments as lineage events of the run with the same key."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("run_id"), F.col("l_shipdate").alias("arrived_at")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS run_id", "l_shipdate AS arrived_at"
     )
