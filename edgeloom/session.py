@@ -7,12 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# AQE merges small shuffle partitions and splits skewed join partitions.
+# AQE merges small shuffle partitions, splits skewed join partitions, and joins by
+# hash instead of sorting where every partition of one side has been measured to
+# be small.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 # For streams whose open runs do not fit the executors' heap: state in RocksDB,

@@ -121,7 +121,7 @@ def test_a_run_with_most_events_is_split(eager_skew, capsys):
     )
     result = lineage.arrival_latency(runs, events)
     plan = plan_of(result, capsys, execute=True)
-    assert "SortMergeJoin(skew=true)" in plan
+    assert "Join(skew=true)" in plan
     assert result.where("run_id = 7").collect()[0]["latency_us"] == 0
     assert result.count() == 2000
 
@@ -134,6 +134,6 @@ def test_a_hub_with_most_edges_is_split(eager_skew, capsys):
     second = spark.range(1000).select(F.col("id").alias("source"), (-F.col("id")).alias("target"))
     result = lineage.two_hop_impact(first, second)
     plan = plan_of(result, capsys, execute=True)
-    assert "SortMergeJoin(skew=true)" in plan
+    assert "Join(skew=true)" in plan
     pairs = {(s, 5 if s % 3 == 0 else s) for s in range(20000)}
     assert result.count() == sum(1 for _, via in pairs if via < 1000)
