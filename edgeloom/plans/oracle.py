@@ -25,44 +25,40 @@ activity AS (
 )
 """
 
-_TOP_FOLLOWED = """
-SELECT followed, COUNT(follower) AS followers FROM social
-GROUP BY followed ORDER BY followers DESC, followed
-"""
+# Written independently of the Spark forms where SQL allows: places by window
+# function, report figures by correlated subquery.
+_FOLLOWED = "SELECT followed, COUNT(follower) AS followers FROM social GROUP BY followed"
+_MENTIONED = "SELECT mentioned, COUNT(occur) AS mentions FROM mention GROUP BY mentioned"
 
-_TOP_MENTIONED = """
-SELECT mentioned, COUNT(occur) AS mentions FROM mention
-GROUP BY mentioned ORDER BY mentions DESC, mentioned
-"""
+_TOP_FOLLOWED = f"SELECT * FROM ({_FOLLOWED}) ORDER BY followers DESC, followed\n"
+_TOP_MENTIONED = f"SELECT * FROM ({_MENTIONED}) ORDER BY mentions DESC, mentioned\n"
 
-_LEADERS = """
-SELECT f.followed, f.followers, CAST(SUM(m.occur) AS BIGINT) AS mentions
-FROM (SELECT followed, COUNT(follower) AS followers FROM social
-      GROUP BY followed ORDER BY followers DESC, followed LIMIT 5) f
-JOIN mention m ON f.followed = m.mentioned
-GROUP BY f.followed, f.followers ORDER BY f.followers DESC, f.followed
+_LEADERS = f"""
+SELECT followed, followers,
+       (SELECT CAST(SUM(occur) AS BIGINT) FROM mention WHERE mentioned = followed) AS mentions
+FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY followers DESC, followed) AS place FROM ({_FOLLOWED})
+)
+WHERE place <= 5 AND followed IN (SELECT mentioned FROM mention)
 """
 
 _UNIVERSE = """
-SELECT followed AS user_id FROM social
-UNION SELECT mentioned FROM mention
-UNION SELECT replied FROM reply
-UNION SELECT tweeted FROM retweet
+SELECT DISTINCT user_id FROM (
+  SELECT followed AS user_id FROM social UNION ALL SELECT mentioned FROM mention
+  UNION ALL SELECT replied FROM reply UNION ALL SELECT tweeted FROM retweet
+)
 """
 
 _REPORT = f"""
-SELECT u.user_id,
-       COALESCE(f.n, 0) AS followers_count, COALESCE(m.n, 0) AS mentions_count,
-       COALESCE(r.n, 0) AS replies_count, COALESCE(t.n, 0) AS retweets_count
-FROM ({_UNIVERSE}) u
-LEFT JOIN (SELECT followed, COUNT(follower) AS n FROM social GROUP BY followed) f
-  ON u.user_id = f.followed
-LEFT JOIN (SELECT mentioned, CAST(SUM(occur) AS BIGINT) AS n FROM mention GROUP BY mentioned) m
-  ON u.user_id = m.mentioned
-LEFT JOIN (SELECT replied, CAST(SUM(occur) AS BIGINT) AS n FROM reply GROUP BY replied) r
-  ON u.user_id = r.replied
-LEFT JOIN (SELECT tweeted, CAST(SUM(occur) AS BIGINT) AS n FROM retweet GROUP BY tweeted) t
-  ON u.user_id = t.tweeted
+SELECT user_id,
+       (SELECT COUNT(follower) FROM social WHERE followed = user_id) AS followers_count,
+       (SELECT CAST(COALESCE(SUM(occur), 0) AS BIGINT) FROM mention
+        WHERE mentioned = user_id) AS mentions_count,
+       (SELECT CAST(COALESCE(SUM(occur), 0) AS BIGINT) FROM reply
+        WHERE replied = user_id) AS replies_count,
+       (SELECT CAST(COALESCE(SUM(occur), 0) AS BIGINT) FROM retweet
+        WHERE tweeted = user_id) AS retweets_count
+FROM ({_UNIVERSE})
 """
 
 _REPORT_100 = f"""

@@ -18,11 +18,13 @@ DEFAULTS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
-# For streams whose open runs do not fit the executors' heap: state in RocksDB,
-# and only its changes written at each checkpoint. Slower while state is small.
+# For streams whose state does not fit the executors' heap: state in RocksDB, its
+# memory bounded per executor, and only changes written at each checkpoint.
+# Slower while state is small.
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.functions.measures import micros, micros_to_ms, to_micros
+from edgeloom.functions.measures import micros, micros_to_ms, slot_of, to_micros
 from edgeloom.operators.lineage import MAX_WAIT_SECONDS
 
 
@@ -20,7 +20,7 @@ def stream_latency(
     arrived: str = "arrived_at",
     max_wait: float = MAX_WAIT_SECONDS,
     allowed_delay: str = "1 minute",
-    salts: int = 4,
+    salts: int = 1,
 ) -> DataFrame:
     """Final latency per run, in the columns of ``arrival_latency``, for append mode.
 
@@ -31,33 +31,42 @@ def stream_latency(
     condition bounds the join from both ends, so state stays as large as the
     wait and the delay, not as the stream.
 
-    A stream's join cannot be re-planned while it runs. So that the events of
-    one very busy run do not meet in one task, they are dealt out over ``salts``
-    parts by arrival time, and each run waits in all of them; the grouping by
-    run takes the earliest of its parts. 1 turns this off.
+    A stream's join is not re-planned while it runs, so the work of a busy run
+    is spread by its keys. As in ``arrival_latency`` the join is on the run and a
+    time slot as wide as the wait, each run waiting in two slots: the events of
+    one run lie in as many parts as they span waits. Should a single wait hold
+    too many events of one run, ``salts`` deals them out further, each run
+    waiting in every part. The grouping by run takes the earliest of its parts.
 
-    Watermarks need zoned timestamps; zone-less ones are read in the session zone.
+    Runs without a start would wait forever and are left out. Watermarks need
+    zoned timestamps; zone-less ones are read in the session zone.
     """
     def timed(stream: DataFrame, column: str) -> DataFrame:
         return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(
             column, allowed_delay
         )
 
+    wait_us = to_micros(max_wait)
+    slot = slot_of(micros(F.col(started)), wait_us)
+    parts = F.sequence(F.lit(0), F.lit(salts - 1))
     left = timed(
-        runs.select(*keys, started, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("part")),
+        runs.where(F.col(started).isNotNull())
+        .select(*keys, started, F.explode(F.array(slot, slot + 1)).alias("slot"))
+        .withColumn("part", F.explode(parts)),
         started,
     )
     right = timed(
-        events.select(
+        events.where(F.col(arrived).isNotNull()).select(
             *[F.col(k).alias(f"event_{k}") for k in keys], arrived,
+            slot_of(micros(F.col(arrived)), wait_us).alias("event_slot"),
             F.pmod(F.xxhash64(arrived), F.lit(salts)).cast("int").alias("event_part"),
         ),
         arrived,
     )
     # A literal: the planner derives the state bound from it.
-    wait = F.lit(timedelta(microseconds=to_micros(max_wait)))
+    wait = F.lit(timedelta(microseconds=wait_us))
     condition = (F.col(arrived) >= F.col(started)) & (F.col(arrived) < F.col(started) + wait)
-    for key in (*keys, "part"):
+    for key in (*keys, "slot", "part"):
         condition = condition & (F.col(key) == F.col(f"event_{key}"))
     first = (
         left.join(right, condition, "left_outer")

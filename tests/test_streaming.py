@@ -28,8 +28,8 @@ def latencies(frame):
             for r in frame.collect()}
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches):
+@pytest.mark.parametrize("batches, salts", [(1, 1), (3, 1), (3, 4)])
+def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches, salts):
     runs = [(k, at(k * 10)) for k in range(60)]
     events = []
     for k in range(60):
@@ -52,7 +52,7 @@ def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches):
     stream = stream_latency(
         parquet_stream(spark, str(tmp_path / "runs"), 1 if batches > 1 else None),
         parquet_stream(spark, str(tmp_path / "events"), 1 if batches > 1 else None),
-        allowed_delay="200 seconds",
+        allowed_delay="200 seconds", salts=salts,
     )
     final = drain_to_parquet(stream, "latency")
     batch = arrival_latency(run_frame, event_frame)
