@@ -59,9 +59,19 @@ def running_totals(
     # Every chunk has its row. A left join keeps null filters out of the two
     # sides, so that both start from one and the same shuffle of the deltas.
     totals = within.join(chunks, "chunk", "left")
-    next_count = F.coalesce("next_slot", "next_chunk_slot", F.col("slot") + 1)
+    last = F.coalesce("next_slot", "next_chunk_slot", F.col("slot") + 1) - 1
+    # Up to the tick before the next count; chunk by chunk, which keeps the
+    # array of a very long gap small.
+    size = F.lit(chunk_ticks).cast("bigint")
+    chunk_start = F.col("gap_chunk") * size
+    spread = (
+        totals.select("slot", last.alias("last"), (F.col("within") + F.col("carried")).alias("total"))
+        .withColumn("gap_chunk", F.explode(F.sequence(
+            slot_of(F.col("slot"), chunk_ticks), slot_of(F.col("last"), chunk_ticks)
+        )))
+        .withColumn("tick_slot", F.explode(F.sequence(
+            F.greatest("slot", chunk_start), F.least("last", chunk_start + size - 1)
+        )))
+    )
     closes_at = F.timestamp_micros((F.col("tick_slot") + 1) * F.lit(every_us).cast("bigint"))
-    return totals.select(
-        F.explode(F.sequence(F.col("slot"), next_count - 1)).alias("tick_slot"),
-        (F.col("within") + F.col("carried")).alias("total"),
-    ).select(closes_at.cast(counts.schema[ts].dataType).alias("tick"), "total")
+    return spread.select(closes_at.cast(counts.schema[ts].dataType).alias("tick"), "total")

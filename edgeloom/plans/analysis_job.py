@@ -44,7 +44,7 @@ def save_results(
     write_parquet(report.user_profile(tables), profile_path)
     frames = results(spark.read.parquet(profile_path))
     paths = {name: f"{results_dir.rstrip('/')}/{name}" for name in frames}
-    together(lambda name: write_parquet(frames[name], paths[name]), list(frames))
+    together(spark, lambda name: write_parquet(frames[name], paths[name]), list(frames))
     return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 

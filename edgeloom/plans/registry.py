@@ -45,6 +45,7 @@ def _edge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = dict(star.StarEdgeTables(spark, sf_dir).items())
     sources = {name: f"{base}/text/{name}" for name in frames}
     edges.together(
+        spark,
         lambda name: frames[name].write.csv(
             sources[name], sep=edges.SEPARATOR, compression="gzip"
         ),

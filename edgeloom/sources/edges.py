@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -115,10 +116,16 @@ def read_tables(spark: SparkSession, parquet_dir: str) -> EdgeTables:
     })
 
 
-def together(write: Callable[[str], Result], names: Sequence[str]) -> list[Result]:
-    """Submit one independent write per name at the same time, and wait for all."""
+def together(
+    spark: SparkSession, write: Callable[[str], Result], names: Sequence[str]
+) -> list[Result]:
+    """Submit one independent write per name at the same time, and wait for all.
+
+    The threads take on the caller's job group, description and scheduler pool.
+    """
+    submit = inheritable_thread_target(spark)(write)
     with ThreadPoolExecutor(max_workers=max(len(names), 1)) as pool:
-        return list(pool.map(write, names))
+        return list(pool.map(submit, names))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -152,4 +159,4 @@ def ingest(
         write_parquet(rows, target)
         return target
 
-    return dict(zip(sources, together(convert, list(sources))))
+    return dict(zip(sources, together(spark, convert, list(sources))))
