@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 # AQE merges small shuffle partitions, splits skewed join partitions, and joins by
 # hash instead of sorting where every partition of one side has been measured to
-# be small.
+# be small. Scans of narrow columns get larger splits than the default where there
+# is more data than cores: fewer map tasks mean fewer, larger shuffle blocks, and
+# an ingest writes fewer, larger files.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
