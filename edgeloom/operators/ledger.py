@@ -65,7 +65,8 @@ def running_totals(
     size = F.lit(chunk_ticks).cast("bigint")
     chunk_start = F.col("gap_chunk") * size
     spread = (
-        totals.select("slot", last.alias("last"), (F.col("within") + F.col("carried")).alias("total"))
+        totals.withColumn("last", last)
+        .withColumn("total", F.col("within") + F.col("carried"))
         .withColumn("gap_chunk", F.explode(F.sequence(
             slot_of(F.col("slot"), chunk_ticks), slot_of(F.col("last"), chunk_ticks)
         )))

@@ -83,8 +83,10 @@ def arrival_latency(
 
 def _latency_figures(latency_us: str, timed_out: str, count: str) -> list[Column]:
     arrivals, timeouts = F.count(latency_us), F.count_if(F.col(timed_out))
-    # Summed as whole microseconds: exact, whatever the order of the rows.
-    mean_us = F.try_divide(F.sum(latency_us), arrivals)
+    # Whole microseconds add up exactly in any order; a decimal holds the sum of
+    # more runs than 64 bits would.
+    total_us = F.sum(F.col(latency_us).cast("decimal(19,0)")).cast("double")
+    mean_us = F.try_divide(total_us, arrivals)
     return [
         or_zero(micros_to_ms(mean_us)).alias("avg_ms"),
         or_zero(micros_to_ms(F.max(latency_us))).alias("max_ms"),

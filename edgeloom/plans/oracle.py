@@ -118,7 +118,8 @@ FROM (
 """
 
 _LATENCY_FIGURES = """
-COALESCE(CAST(SUM(latency_us) AS DOUBLE) / NULLIF(COUNT(latency_us), 0) / 1000.0E0, 0.0E0) AS avg_ms,
+COALESCE(CAST(SUM(latency_us) AS DOUBLE) / NULLIF(COUNT(latency_us), 0) / 1000.0E0, 0.0E0)
+  AS avg_ms,
 COALESCE(MAX(latency_ms), 0.0E0) AS max_ms,
 COALESCE(MIN(latency_ms), 0.0E0) AS min_ms,
 COUNT(*) - COUNT(latency_us) AS timeout_count,

@@ -117,7 +117,9 @@ def _missing_items(spark: SparkSession, sf_dir: str, force: bool = False) -> Dat
 
 def _latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.arrival_latency(
-        star.runs(spark, sf_dir), star.arrivals(spark, sf_dir), max_wait=THIRTY_DAYS_SECONDS
+        star.runs(star.table(spark, sf_dir, "orders")),
+        star.arrivals(star.table(spark, sf_dir, "lineitem")),
+        max_wait=THIRTY_DAYS_SECONDS,
     )
 
 
@@ -138,20 +140,19 @@ def _impact_two_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.two_hop_impact(placed, contains)
 
 
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return parquet_stream(spark, f"{sf_dir}/{name}.parquet", schema=star.SCHEMAS[name])
+
+
 def _stream_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = parquet_stream(spark, f"{sf_dir}/events.parquet")
-    return drain_to_memory(stream_total(_counts(events)), "stream-total")
+    return drain_to_memory(stream_total(_counts(_stream(spark, sf_dir, "events"))), "stream-total")
 
 
 def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = parquet_stream(spark, f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("started_at")
-    )
-    arrivals = parquet_stream(spark, f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_orderkey").alias("run_id"), F.col("l_shipdate").alias("arrived_at")
-    )
     final = stream_latency(
-        runs, arrivals, max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day"
+        star.runs(_stream(spark, sf_dir, "orders")),
+        star.arrivals(_stream(spark, sf_dir, "lineitem")),
+        max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day",
     )
     return drain_to_parquet(final, "stream-latency").select(
         "run_id", "latency_us", "latency_ms",

@@ -70,15 +70,11 @@ class StarEdgeTables(EdgeTableSet):
         )
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def runs(orders: DataFrame) -> DataFrame:
     """Orders as job runs: key and start."""
-    return table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS run_id", "o_orderdate AS started_at"
-    )
+    return orders.selectExpr("o_orderkey AS run_id", "o_orderdate AS started_at")
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arrivals(lineitem: DataFrame) -> DataFrame:
     """Shipments as lineage events of the run with the same key."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS run_id", "l_shipdate AS arrived_at"
-    )
+    return lineitem.selectExpr("l_orderkey AS run_id", "l_shipdate AS arrived_at")

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from edgeloom.session import scratch_path
 
 
-def parquet_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of a Parquet table's files, with the schema the table has now.
+def parquet_stream(
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """Stream of a Parquet table's files; without ``schema``, with the one the table has now.
 
     ``path`` may name a folder, which is watched for new files, or one file.
     """
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # As a pattern, the path is accepted for a single file too.

@@ -10,7 +10,7 @@ START = datetime(2024, 1, 1)
 
 
 def values(spark, table):
-    return sorted((r["value"] for r in spark.table(table).collect()), key=lambda v: (v is not None, v))
+    return sorted((r["value"] for r in spark.table(table).collect()), key=lambda v: v or 0)
 
 
 def test_ledger_keeps_every_snapshot(spark, tmp_path):

@@ -83,6 +83,10 @@ def test_latency_report(spark):
         "success_rate": 50.0}
 
 
+def test_latency_report_of_more_than_64_bits(spark):
+    assert report_of(spark, [6 * 10**18] * 4)["avg_ms"] == 6e15
+
+
 def test_latency_report_without_arrivals_or_runs(spark):
     zeros = {"avg_ms": 0.0, "max_ms": 0.0, "min_ms": 0.0, "count": 0, "success_rate": 0.0}
     assert report_of(spark, [None]) == {**zeros, "timeout_count": 1}

@@ -129,7 +129,8 @@ def test_a_run_with_most_events_is_split(eager_skew, capsys):
 def test_a_hub_with_most_edges_is_split(eager_skew, capsys):
     spark = eager_skew
     first = spark.range(20000).select(
-        F.col("id").alias("source"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("target")
+        F.col("id").alias("source"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("target"),
     )
     second = spark.range(1000).select(F.col("id").alias("source"), (-F.col("id")).alias("target"))
     result = lineage.two_hop_impact(first, second)

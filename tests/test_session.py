@@ -7,7 +7,7 @@ from edgeloom.session import DEFAULTS, scratch_path
 
 def session_with(**conf):
     settings = {key.replace("_", "."): value for key, value in conf.items()}
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
 
 
 def test_scratch_is_in_the_folder_the_cluster_names():

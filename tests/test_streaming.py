@@ -70,7 +70,8 @@ def test_stream_restarts_from_its_checkpoint(spark, tmp_path):
     path, checkpoint = str(tmp_path / "counts"), str(tmp_path / "checkpoint")
     seen = []
     for n in (3, 4):
-        spark.createDataFrame([(1,)] * n, "value int").coalesce(1).write.mode("append").parquet(path)
+        landed = spark.createDataFrame([(1,)] * n, "value int").coalesce(1)
+        landed.write.mode("append").parquet(path)
         query = (
             stream_total(parquet_stream(spark, path)).writeStream.format("memory")
             .queryName("restarted").option("checkpointLocation", checkpoint)
