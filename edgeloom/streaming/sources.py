@@ -21,8 +21,9 @@ def parquet_stream(
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # As a pattern, the path is accepted for a single file too.
-    return reader.parquet(f"{path.rstrip('/')}*")
+    # As a pattern (of this one name) the path is accepted for a single file too.
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    return reader.parquet(f"{folder}{slash}{{{name}}}")
 
 
 def drain_to_parquet(stream: DataFrame, label: str) -> DataFrame:

@@ -18,6 +18,7 @@ def at(seconds):
 def test_total_over_several_files(spark, tmp_path, files_per_trigger):
     path = str(tmp_path / "counts")
     spark.createDataFrame([(1,)] * 30 + [(None,)], "value int").repartition(3).write.parquet(path)
+    spark.createDataFrame([(9,)], "value int").write.parquet(path + "_old")  # not part of it
     counts = parquet_stream(spark, path, files_per_trigger)
     result = drain_to_memory(stream_total(counts), "total")
     assert [r["value"] for r in result.collect()] == [30]
