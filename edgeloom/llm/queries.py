@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import sharding, simhash
+from edgeloom.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from edgeloom.llm.tables import table
 
 
@@ -16,8 +16,27 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
+    "op6_mixing": op6_mixing,
+    "op7_quality_rules": op7_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
