@@ -23,6 +23,9 @@ OTHER = "*"
 #: Cells that reach the driver at most: one more category per margin than the caller names.
 MAX_CELLS = 200_000
 ROUNDS = 1000
+#: Cells that need the highest rates may miss this share of all raked tokens, so that a few
+#: rare documents do not set the rate of all others.
+SLACK = 0.02
 TOLERANCE = 1e-10
 
 
@@ -134,12 +137,18 @@ def _chances(counted: list, margins: Mapping[str, Margin], names: Mapping[str, s
         shares.append(margin.targets(np.bincount(codes[-1], tokens, len(place))))
     raked = rake(tokens, codes, shares)
     weights = np.divide(raked, tokens, out=np.ones_like(tokens), where=tokens > 0)
-    held = weights[tokens > 0]
-    top = held.max() if len(held) else 1.0
-    chances = np.where(tokens > 0, weights / top, 1.0)
+    chances = np.where(tokens > 0, np.minimum(1.0, weights / _unit(weights, raked)), 1.0)
     return list(zip(weights.tolist(), chances.tolist()))
 
 
+def _unit(weights: np.ndarray, raked: np.ndarray) -> float:
+    """The weight that is sampled whole: heavier cells hold at most ``SLACK`` of the raked tokens."""
+    order = np.argsort(-weights, kind="stable")
+    before = np.cumsum(raked[order]) - raked[order]
+    held = order[(raked[order] > 0) & (before <= SLACK * raked.sum())]
+    return float(weights[held[-1]]) if len(held) else 1.0
+
+
 # --- The mix of the tables at hand. ---
 SOURCES = [f"src{i}" for i in range(20)]
 LANGUAGES = ["en", "de", "fr", "es"]

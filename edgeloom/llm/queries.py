@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import decontaminate, mixing, quality_rules, sharding, simhash
+from edgeloom.llm import decontaminate, license_scan, mixing, quality_rules, sharding, simhash
 from edgeloom.llm.tables import table
 
 
@@ -12,6 +12,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_license_scan": op2_license_scan,
     "op3_sharding": op3_sharding,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
