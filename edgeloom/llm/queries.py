@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import decontaminate, license_scan, mixing, quality_rules, sharding, simhash
+from edgeloom.llm import (
+    chat_format,
+    decontaminate,
+    license_scan,
+    mixing,
+    quality_rules,
+    sharding,
+    simhash,
+    token_files,
+)
 from edgeloom.llm.tables import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -20,6 +32,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_report(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -30,6 +48,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_report(spark, table(spark, sf_dir, "conversations"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -40,8 +62,10 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
     "op3_sharding": op3_sharding,
+    "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_chat_format": op8_chat_format,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
