@@ -13,6 +13,7 @@ from edgeloom.llm import (
     quality_rules,
     sharding,
     simhash,
+    suffix_tree_lm,
     token_files,
 )
 from edgeloom.llm.tables import table
@@ -52,6 +53,10 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_report(spark, table(spark, sf_dir, "conversations"))
 
 
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score_report(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -66,6 +71,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_chat_format": op8_chat_format,
+    "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
