@@ -11,6 +11,7 @@ from edgeloom.llm import (
     license_scan,
     mixing,
     quality_rules,
+    repeats,
     sharding,
     simhash,
     suffix_tree_lm,
@@ -33,6 +34,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(
         table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
@@ -67,6 +72,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
     "op3_sharding": op3_sharding,
+    "op4_repeats": op4_repeats,
     "op5_token_files": op5_token_files,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
