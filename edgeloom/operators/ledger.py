@@ -70,6 +70,8 @@ def running_totals(
         .withColumn("gap_chunk", F.explode(F.sequence(
             slot_of(F.col("slot"), chunk_ticks), slot_of(F.col("last"), chunk_ticks)
         )))
+        # One row may span a gap of very many chunks; spread them before they fill up.
+        .repartition("gap_chunk")
         .withColumn("tick_slot", F.explode(F.sequence(
             F.greatest("slot", chunk_start), F.least("last", chunk_start + size - 1)
         )))

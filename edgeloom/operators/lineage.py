@@ -46,38 +46,36 @@ def arrival_latency(
     slot in which one run has very many events.
     """
     wait_us = to_micros(max_wait)
-    # Runs without a key match no event. Set apart, they leave one grouping of
-    # the others that serves both joins with the same shuffle.
+    # The keys as one struct, which is never NULL: no join filters one use of the runs
+    # that another needs whole, so one grouping and one shuffle of them serve both joins.
+    # Events without a key belong to no run.
+    run = F.struct(*keys).alias("run")
     keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    starts = runs.where(keyed).groupBy(*keys).agg(F.min(started).alias(started))
-    keyless = runs.where(~keyed).groupBy(*keys).agg(F.min(started).alias(started))
+    starts = runs.select(run, started).groupBy("run").agg(F.min(started).alias(started))
 
     start_us, arrived_us = micros(F.col(started)), micros(F.col(arrived))
     slot = slot_of(start_us, wait_us)
-    probes = starts.where(F.col(started).isNotNull()).select(
-        *keys, start_us.alias("start_us"), F.explode(F.array(slot, slot + 1)).alias("slot")
+    # A run without a start has no slot, and a NULL slot meets none.
+    probes = starts.select(
+        "run", start_us.alias("start_us"), F.explode(F.array(slot, slot + 1)).alias("slot")
     )
-    candidates = events.where(F.col(arrived).isNotNull()).select(
-        *keys, arrived_us.alias("at_us"), slot_of(arrived_us, wait_us).alias("slot")
+    candidates = events.where(F.col(arrived).isNotNull() & keyed).select(
+        run, arrived_us.alias("at_us"), slot_of(arrived_us, wait_us).alias("slot")
     )
     in_time = (F.col("at_us") >= F.col("start_us")) & (
         F.col("at_us") < F.col("start_us") + F.lit(wait_us)
     )
     first = (
-        probes.join(candidates, [*keys, "slot"])
+        probes.join(candidates, ["run", "slot"])
         .where(in_time)
-        .groupBy(*keys)
+        .groupBy("run")
         .agg(F.min("at_us").alias("at_us"))
     )
     latency = F.col("at_us") - start_us
-    return (
-        starts.join(first, list(keys), "left")
-        .union(keyless.withColumn("at_us", F.lit(None).cast("bigint")))
-        .select(
-            *keys, started,
-            F.timestamp_micros("at_us").cast(events.schema[arrived].dataType).alias(arrived),
-            latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
-        )
+    return starts.join(first, "run", "left").select(
+        *[F.col("run")[k].alias(k) for k in keys], started,
+        F.timestamp_micros("at_us").cast(events.schema[arrived].dataType).alias(arrived),
+        latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
     )
 
 
@@ -185,15 +183,48 @@ def run_durations(
     )
 
 
+def _hops(
+    first_hop: DataFrame, second_hop: DataFrame, source: str, target: str, distinct_edges: bool
+) -> tuple[DataFrame, DataFrame]:
+    left = first_hop.select(F.col(source).alias("source"), F.col(target).alias("via"))
+    right = second_hop.select(F.col(source).alias("via"), F.col(target).alias("target"))
+    return (left, right) if distinct_edges else (left.distinct(), right.distinct())
+
+
 def two_hop_impact(
-    first_hop: DataFrame, second_hop: DataFrame, source: str = "source", target: str = "target"
+    first_hop: DataFrame, second_hop: DataFrame, source: str = "source", target: str = "target",
+    distinct_edges: bool = False,
 ) -> DataFrame:
     """Distinct pairs of an item and what it reaches over one step of each edge list.
 
     Both lists are reduced to distinct edges first: copies would multiply in the
-    join. The pairs are grouped on both ends, behind a shuffle of their own, so
-    AQE may split the join at an item with very many edges.
+    join. With ``distinct_edges`` the caller declares them free of copies, which
+    saves the two shuffles of whole edge lists; the result is the same either way.
+    The pairs are grouped on both ends, behind a shuffle of their own, so AQE may
+    split the join at an item with very many edges.
+
+    The result itself holds in-degree times out-degree pairs for every item in the
+    middle. Where such a hub makes it too large, ``two_hop_reach`` counts instead.
     """
-    left = first_hop.select(F.col(source).alias("source"), F.col(target).alias("via")).distinct()
-    right = second_hop.select(F.col(source).alias("via"), F.col(target).alias("target")).distinct()
+    left, right = _hops(first_hop, second_hop, source, target, distinct_edges)
     return left.join(right, "via").select("source", "target").distinct()
+
+
+def two_hop_reach(
+    first_hop: DataFrame, second_hop: DataFrame, source: str = "source", target: str = "target",
+    log2_registers: int = 14,
+) -> DataFrame:
+    """``source, reached``: about how many distinct items each reaches in two steps.
+
+    What the item in the middle reaches is summed up in one sketch, and sketches are
+    merged per source: the work grows with the edges, also at a hub. The relative
+    error is near ``1 / 2 ** (log2_registers / 2)``; copies of edges count once.
+    """
+    left, right = _hops(first_hop, second_hop, source, target, distinct_edges=True)
+    sketches = right.where(F.col("target").isNotNull()).groupBy("via").agg(
+        F.hll_sketch_agg(F.col("target").cast("string"), F.lit(log2_registers)).alias("sketch")
+    )
+    return (
+        left.join(sketches, "via").groupBy("source")
+        .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("reached"))
+    )

@@ -11,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A limited side up to this many rows (a few MB) is broadcast explicitly.
-BROADCAST_ROWS = 100_000
-
 
 def received(edges: DataFrame, target: str, measure: Column) -> DataFrame:
     """One row per ``target`` with the given aggregate over its incoming edges."""
@@ -65,20 +62,28 @@ def top_mentioned(mention: DataFrame) -> DataFrame:
     return ranked(mention_counts(mention), "mentions", by="mentioned")
 
 
-def leaders_with_mentions(social: DataFrame, mention: DataFrame, k: int = 5) -> DataFrame:
+def leaders_with_mentions(
+    social: DataFrame, mention: DataFrame, k: int = 5, broadcast_rows: int = 100_000
+) -> DataFrame:
     """The k most followed users with the sum of their mention weights.
 
-    A leader nobody mentioned is absent (inner join). The leaders are at most k
-    rows, so mention edges are filtered where they are read and summed before
-    any shuffle, however many of them belong to one leader; ordering the at most
-    k results as a top-k spares them a range shuffle.
+    A leader nobody mentioned is absent (inner join). No raw mention edge is ever
+    shuffled, however many belong to one user. Up to ``broadcast_rows`` leaders (a
+    few MB) are broadcast: edges are filtered where they are read and summed in
+    each task. More leaders than that meet one row per mentioned user, summed in
+    each task as well. Both ways give the same rows. Ordering the at most k results
+    as a top-k spares them a range shuffle.
     """
     leaders = top(follower_counts(social), "followers", by="followed", k=k)
-    if k <= BROADCAST_ROWS:
-        leaders = F.broadcast(leaders)
-    totals = (
-        mention.join(leaders, mention["mentioned"] == leaders["followed"])
-        .groupBy("followed", "followers")
-        .agg(F.sum("occur").alias("mentions"))
-    )
+    if k <= broadcast_rows:
+        totals = (
+            mention.join(F.broadcast(leaders), mention["mentioned"] == leaders["followed"])
+            .groupBy("followed", "followers")
+            .agg(F.sum("occur").alias("mentions"))
+        )
+    else:
+        summed = mentions_received(mention)
+        totals = leaders.join(summed, leaders["followed"] == summed["mentioned"]).select(
+            "followed", "followers", "mentions"
+        )
     return top(totals, "followers", by="followed", k=k)

@@ -1,4 +1,4 @@
-"""The analysis job: four result datasets and their previews from the ingested tables.
+"""The analysis job: user profiles, four result datasets and their previews.
 
     python -m edgeloom.plans.analysis_job PARQUET_DIR RESULTS_DIR [--master MASTER]
 
@@ -14,7 +14,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeloom.operators import ranking, report
-from edgeloom.session import get_session, scratch_path
+from edgeloom.session import get_session
 from edgeloom.sources.edges import EdgeTableSet, read_tables, together, write_parquet
 
 # --- Fixed values: names of the result datasets and the order of their rows. ---
@@ -27,6 +27,10 @@ RESULT_ORDER = {
 # -------------------------------------------------------------------------------
 
 
+# The dataset of all measures per user, beside the results.
+PROFILES = "user_profiles"
+
+
 def results(profile: DataFrame) -> dict[str, DataFrame]:
     return {
         "top_followed": report.followed_in(profile),
@@ -39,8 +43,11 @@ def results(profile: DataFrame) -> dict[str, DataFrame]:
 def save_results(
     spark: SparkSession, tables: EdgeTableSet, results_dir: str
 ) -> dict[str, DataFrame]:
-    """Write all results; returns them as read back from what was written."""
-    profile_path = scratch_path(spark, "profile")
+    """Write all results; returns them as read back from what was written.
+
+    The profiles they come from are a dataset of their own, ``PROFILES``.
+    """
+    profile_path = f"{results_dir.rstrip('/')}/{PROFILES}"
     write_parquet(report.user_profile(tables), profile_path)
     frames = results(spark.read.parquet(profile_path))
     paths = {name: f"{results_dir.rstrip('/')}/{name}" for name in frames}

@@ -4,7 +4,7 @@
 
 Edge lists are read from ``<prefix><table>.edgelist.gz`` and the event log from
 ``<prefix><table>.txt.gz``. The job names the missing files and stops if any of
-the five has not landed.
+the five has not landed. It reports the rows and the malformed lines of each table.
 """
 
 from __future__ import annotations
@@ -39,7 +39,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--prefix", default="", help="start of every file name")
     parser.add_argument("--mode", default="PERMISSIVE", choices=["PERMISSIVE", "FAILFAST"],
                         help="what to do with malformed lines: fill with NULL, or stop")
-    parser.add_argument("--wide-ids", action="store_true", help="64-bit user ids")
+    parser.add_argument("--narrow", action="store_true",
+                        help="32-bit ids, weights and times, for data known to fit")
+    parser.add_argument("--corrupt-dir", help="folder that keeps malformed lines as text")
     parser.add_argument("--write-partitions", type=int,
                         help="tasks and files per table, for gzip input that cannot be split")
     parser.add_argument("--master")
@@ -52,11 +54,11 @@ def main(argv: list[str] | None = None) -> None:
         raise SystemExit(f"not in {args.source_dir}: {', '.join(absent)}")
     written = ingest(
         spark, source_paths(args.source_dir, args.prefix), args.parquet_dir,
-        schemas=edge_schemas(T.LongType() if args.wide_ids else None),
-        mode=args.mode, write_partitions=args.write_partitions,
+        schemas=edge_schemas(T.IntegerType() if args.narrow else None),
+        mode=args.mode, write_partitions=args.write_partitions, corrupt_dir=args.corrupt_dir,
     )
-    for table, path in written.items():
-        print(f"{table} -> {path}")
+    for table, done in written.items():
+        print(f"{table} -> {done.path}: {done.rows} rows, {done.malformed} malformed lines")
 
 
 if __name__ == "__main__":

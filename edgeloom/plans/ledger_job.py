@@ -2,9 +2,11 @@
 
     python -m edgeloom.plans.ledger_job count [--master MASTER]
     python -m edgeloom.plans.ledger_job sum [--master MASTER]
+    python -m edgeloom.plans.ledger_job compact LOCATION [--master MASTER]
 
 ``count`` appends a 1 to the table ``counts``; ``sum`` appends the current total
-to ``sums``. Both create the tables they use if absent.
+to ``sums``. Both create the tables they use if absent. ``compact`` gathers the many
+small files of ``counts`` into one at a new location.
 """
 
 from __future__ import annotations
@@ -22,13 +24,18 @@ SUMS = "sums"
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Append a count, or the total of all counts.")
-    parser.add_argument("job", choices=["count", "sum"])
+    parser.add_argument("job", choices=["count", "sum", "compact"])
+    parser.add_argument("location", nargs="?", help="new folder of the compacted table")
     parser.add_argument("--master")
     args = parser.parse_args(argv)
     spark = get_session(f"ledger {args.job}", master=args.master)
     ledger.create_counts(spark, COUNTS)
     if args.job == "count":
         ledger.append_count(spark, COUNTS)
+    elif args.job == "compact":
+        if not args.location:
+            parser.error("compact needs a location")
+        ledger.compact(spark, COUNTS, args.location)
     else:
         ledger.create_sums(spark, SUMS)
         ledger.append_total(spark, COUNTS, SUMS)

@@ -67,7 +67,7 @@ SELECT * FROM ({_REPORT}) ORDER BY followers_count DESC, mentions_count DESC, us
 
 _INGEST = """
 SELECT 'social_network' AS dataset, follower AS source_id, followed AS target_id,
-       CAST(NULL AS INT) AS occur, CAST(NULL AS INT) AS timestamp,
+       CAST(NULL AS BIGINT) AS occur, CAST(NULL AS BIGINT) AS timestamp,
        CAST(NULL AS VARCHAR) AS interaction
 FROM social
 UNION ALL SELECT 'retweet_network', tweeter, tweeted, occur, NULL, NULL FROM retweet
@@ -171,6 +171,7 @@ ORACLE: dict[str, str] = {
     "edge_ingest": EDGE_TABLES + _INGEST,
     "result_roundtrip": EDGE_TABLES + _RESULTS,
     "ledger_total": _EVENT_TOTAL,
+    "ledger_counted": "SELECT CAST(COUNT(*) + 2 AS BIGINT) AS value FROM events",
     "ledger_running": _RUNNING,
     "stream_total": _EVENT_TOTAL,
     "missing_items": EDGE_TABLES + """
@@ -189,6 +190,7 @@ SELECT * FROM
     "impact_two_hop": """
 SELECT DISTINCT o_custkey AS source, l_partkey AS target
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "stream_latency_complete": _LATENCY,
     # Final runs only: those the watermark (slower stream, one day back) has
     # passed by the whole wait. The rest is still open when the input ends.
     "stream_latency": f"""

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from edgeloom.operators import ledger, lineage, ranking, reconcile, report
 from edgeloom.plans import analysis_job, sql_queries
@@ -16,11 +16,19 @@ from edgeloom.sources import edges, star
 from edgeloom.sources import ledger as ledger_tables
 from edgeloom.streaming.ledger import stream_total
 from edgeloom.streaming.lineage import stream_latency
-from edgeloom.streaming.sources import drain_to_memory, drain_to_parquet, parquet_stream
+from edgeloom.streaming.sources import (
+    Drained,
+    drain,
+    drain_complete,
+    land_in_order,
+    parquet_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR_SECONDS = 3600
+# Files per stream and micro-batches of the registered streaming join.
+STREAM_SLICES = 12
 THIRTY_DAYS_SECONDS = 30 * 24 * 3600.0
 
 
@@ -51,13 +59,13 @@ def _edge_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         list(frames),
     )
-    edges.ingest(spark, sources, f"{base}/parquet", edges.edge_schemas(T.LongType()))
+    edges.ingest(spark, sources, f"{base}/parquet")
     networks = [
         frame.select(
             F.lit(name).alias("dataset"),
             F.col(frame.columns[0]).alias("source_id"), F.col(frame.columns[1]).alias("target_id"),
             *[(F.col(c) if c in frame.columns else F.lit(None).cast(kind)).alias(c)
-              for c, kind in (("occur", "int"), ("timestamp", "int"), ("interaction", "string"))],
+              for c, kind in (("occur", "bigint"), ("timestamp", "bigint"), ("interaction", "string"))],
         )
         for name, frame in edges.read_tables(spark, f"{base}/parquet").items()
     ]
@@ -87,19 +95,28 @@ def _counts(events: DataFrame) -> DataFrame:
     return events.select("ts", F.lit(1).alias("value"))
 
 
-def _ledger_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One count per event appended to a ledger, then the snapshot its ``sums`` table holds."""
+def _ledger_total(spark: SparkSession, sf_dir: str, literals: int = 0) -> DataFrame:
+    """One count per event appended to a ledger, then the snapshot its ``sums`` table holds.
+
+    ``literals`` more counts are inserted one by one, and the table is compacted.
+    """
     base = scratch_path(spark, "ledger")
     suffix = base[-32:]
     counts, sums = f"counts_{suffix}", f"sums_{suffix}"
-    ledger_tables.create_counts(spark, counts, f"{base}/counts")
-    ledger_tables.create_sums(spark, sums, f"{base}/sums")
-    ledger_tables.append_counts(_counts(star.table(spark, sf_dir, "events")), counts)
-    ledger_tables.append_total(spark, counts, sums)
-    schema = spark.table(sums).schema
-    # The tables are external: dropping the names leaves the files to read.
-    spark.sql(f"DROP TABLE {counts}")
-    spark.sql(f"DROP TABLE {sums}")
+    try:
+        ledger_tables.create_counts(spark, counts, f"{base}/counts")
+        ledger_tables.create_sums(spark, sums, f"{base}/sums")
+        ledger_tables.append_counts(_counts(star.table(spark, sf_dir, "events")), counts)
+        for _ in range(literals):
+            ledger_tables.append_count(spark, counts)
+        if literals:
+            ledger_tables.compact(spark, counts, f"{base}/compacted")
+        ledger_tables.append_total(spark, counts, sums)
+        schema = spark.table(sums).schema
+    finally:
+        # The tables are external: dropping the names leaves the files to read.
+        spark.sql(f"DROP TABLE IF EXISTS {counts}")
+        spark.sql(f"DROP TABLE IF EXISTS {sums}")
     return spark.read.schema(schema).parquet(f"{base}/sums")
 
 
@@ -145,21 +162,60 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _stream_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain_to_memory(stream_total(_counts(_stream(spark, sf_dir, "events"))), "stream-total")
+    return drain_complete(stream_total(_counts(_stream(spark, sf_dir, "events"))), "stream-total")
+
+
+def time_slices(spark: SparkSession, sf_dir: str, slices: int = STREAM_SLICES) -> tuple[str, str]:
+    """Both streams' tables landed slice by slice in the order of time, cut at the same times."""
+    base = scratch_path(spark, "time-slices")
+    runs = star.runs(star.table(spark, sf_dir, "orders"))
+    arrivals = star.arrivals(star.table(spark, sf_dir, "lineitem"))
+    span = runs.agg(F.min("started_at").alias("first"), F.max("started_at").alias("last")).first()
+    bounds = []
+    if span["first"] is not None:
+        step = (span["last"] - span["first"]) / slices
+        bounds = [span["first"] + step * i for i in range(1, slices)]
+    edges.together(
+        spark,
+        lambda side: land_in_order(side[0], f"{base}/{side[2]}", side[1], bounds),
+        [(runs, "started_at", "runs"), (arrivals, "arrived_at", "arrivals")],
+    )
+    return f"{base}/runs", f"{base}/arrivals"
 
 
-def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _drained_latency(spark: SparkSession, sf_dir: str) -> Drained:
+    runs, arrivals = time_slices(spark, sf_dir)
     final = stream_latency(
-        star.runs(_stream(spark, sf_dir, "orders")),
-        star.arrivals(_stream(spark, sf_dir, "lineitem")),
+        parquet_stream(spark, runs, files_per_trigger=1),
+        parquet_stream(spark, arrivals, files_per_trigger=1),
         max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day",
     )
-    return drain_to_parquet(final, "stream-latency").select(
+    return drain(final, "stream-latency")
+
+
+def _zoneless(final: DataFrame) -> DataFrame:
+    return final.select(
         "run_id", "latency_us", "latency_ms",
         *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started_at", "arrived_at")],
     )
 
 
+def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zoneless(_drained_latency(spark, sf_dir).output)
+
+
+def _stream_latency_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's final runs, and in batch those that were open when its input ended."""
+    drained = _drained_latency(spark, sf_dir)
+    waited = max(drained.watermarks()) - timedelta(seconds=THIRTY_DAYS_SECONDS)
+    orders = star.runs(star.table(spark, sf_dir, "orders"))
+    still_open = lineage.arrival_latency(
+        orders.where(F.col("started_at") > F.lit(waited).cast("timestamp_ntz")),
+        star.arrivals(star.table(spark, sf_dir, "lineitem")), max_wait=THIRTY_DAYS_SECONDS,
+    )
+    return _zoneless(drained.output).unionByName(_zoneless(still_open))
+
+
 QUERIES: dict[str, Query] = {
     # Rankings
     "top_followed": _on_edges(lambda t: ranking.top_followed(t.social)),
@@ -185,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "result_roundtrip": _result_roundtrip,
     # Ledger
     "ledger_total": _ledger_total,
+    "ledger_counted": lambda spark, sf_dir: _ledger_total(spark, sf_dir, literals=2),
     "ledger_running": _ledger_running,
     "stream_total": _stream_total,
     # Reconciliation
@@ -204,4 +261,5 @@ QUERIES: dict[str, Query] = {
     "run_duration": _run_duration,
     "impact_two_hop": _impact_two_hop,
     "stream_latency": _stream_latency,
+    "stream_latency_complete": _stream_latency_complete,
 }

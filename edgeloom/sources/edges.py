@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Result = TypeVar("Result")
@@ -32,27 +33,28 @@ VIEW_NAMES = {
 }
 # ------------------------------------------------------------------------------
 
+# Holds the raw text of a malformed line while a table is read.
+CORRUPT = "_malformed_line"
+
 TABLES = (*NETWORK_COLUMNS, ACTIVITY)
 
 
-def edge_schemas(id_type: T.DataType | None = None) -> dict[str, T.StructType]:
-    """Schema per table. User ids are 32-bit by default.
+def edge_schemas(number: T.DataType | None = None) -> dict[str, T.StructType]:
+    """Schema per table. Ids, weights and epoch seconds are 64-bit.
 
-    Pass ``LongType()`` where ids do not fit 32 bits: in the permissive text
-    reader an overflowing id would silently become NULL.
+    Pass ``IntegerType()`` only for data known to fit 32 bits: a number that does
+    not fit is NULL in the permissive text reader, and its line is malformed.
     """
-    id_type = id_type or T.IntegerType()
+    number = number or T.LongType()
     schemas = {
-        name: T.StructType(
-            [T.StructField(c, T.IntegerType() if c == "occur" else id_type) for c in columns]
-        )
+        name: T.StructType([T.StructField(c, number) for c in columns])
         for name, columns in NETWORK_COLUMNS.items()
     }
     user_a, user_b, timestamp, interaction = ACTIVITY_COLUMNS
     schemas[ACTIVITY] = T.StructType([
-        T.StructField(user_a, id_type),
-        T.StructField(user_b, id_type),
-        T.StructField(timestamp, T.IntegerType()),
+        T.StructField(user_a, number),
+        T.StructField(user_b, number),
+        T.StructField(timestamp, number),
         T.StructField(interaction, T.StringType()),
     ])
     return schemas
@@ -132,6 +134,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Where a table went, its rows, and how many of their lines were malformed."""
+
+    path: str
+    rows: int
+    malformed: int
+
+
 def ingest(
     spark: SparkSession,
     sources: Mapping[str, str | list[str]],
@@ -140,8 +151,14 @@ def ingest(
     sep: str = SEPARATOR,
     mode: str = "PERMISSIVE",
     write_partitions: int | None = None,
-) -> dict[str, str]:
-    """Convert text tables to Parquet; returns the target path per table.
+    corrupt_dir: str | None = None,
+) -> dict[str, Ingested]:
+    """Convert text tables to Parquet; returns what was written per table.
+
+    A malformed line (a value that does not parse or fit, too few or too many of
+    them) becomes a row with NULLs. Such lines are counted by the pass that writes
+    the table; with ``corrupt_dir`` they are also kept there as text, one folder
+    per table, at the cost of reading a table that has any once more.
 
     The tables are independent, so their writes are submitted together: one
     large gzip file is a single task, and it must not hold up the others. A
@@ -151,12 +168,25 @@ def ingest(
     """
     schemas = schemas or edge_schemas()
 
-    def convert(table: str) -> str:
-        rows = read_edges(spark, sources[table], schemas[table], sep, mode)
+    def convert(table: str) -> Ingested:
+        # FAILFAST stops at the first malformed line and allows no column for it.
+        column = CORRUPT if mode == "PERMISSIVE" else None
+        rows = read_edges(spark, sources[table], schemas[table], sep, mode, column)
+        seen = Observation()
+        figures = [F.count(F.lit(1)).alias("rows")]
+        if column:
+            figures.append(F.count(CORRUPT).alias("malformed"))
+        kept = rows.observe(seen, *figures).drop(CORRUPT)
         if write_partitions:
-            rows = rows.repartition(write_partitions)
+            kept = kept.repartition(write_partitions)
         target = f"{target_dir.rstrip('/')}/{table}"
-        write_parquet(rows, target)
-        return target
+        write_parquet(kept, target)
+        malformed = seen.get.get("malformed", 0)
+        if corrupt_dir and malformed:
+            # Naming all columns makes the reader parse them all, which is what tells.
+            line = F.coalesce(CORRUPT, F.concat_ws(sep, *schemas[table].names))
+            rows.where(F.col(CORRUPT).isNotNull()).select(line.alias("value")).write.mode(
+                "overwrite").text(f"{corrupt_dir.rstrip('/')}/{table}")
+        return Ingested(target, seen.get["rows"], malformed)
 
     return dict(zip(sources, together(spark, convert, list(sources))))

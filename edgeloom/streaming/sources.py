@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edgeloom.session import scratch_path
 
 
+# Characters with a meaning in path patterns.
+PATTERN_CHARACTERS = re.compile(r"[\\*?\[\]{}^]")
+
+
 def parquet_stream(
     spark: SparkSession,
     path: str,
@@ -16,18 +27,56 @@ def parquet_stream(
 ) -> DataFrame:
     """Stream of a Parquet table's files; without ``schema``, with the one the table has now.
 
-    ``path`` may name a folder, which is watched for new files, or one file.
+    ``path`` may name a folder, which is watched for new files, or one file. Characters
+    of path patterns in it are refused: a file stream reads such a path as a pattern,
+    and, where they are escaped, lists its files twice.
     """
+    if found := PATTERN_CHARACTERS.search(path):
+        raise ValueError(f"{found[0]} in the path of a file stream: {path}")
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # As a pattern (of this one name) the path is accepted for a single file too.
+    # As a pattern that only this name fits, one letter being a class of itself, the path
+    # is accepted for a single file too.
     folder, slash, name = path.rstrip("/").rpartition("/")
-    return reader.parquet(f"{folder}{slash}{{{name}}}")
+    return reader.parquet(f"{folder}{slash}[{name[0]}]{name[1:]}")
 
 
-def drain_to_parquet(stream: DataFrame, label: str) -> DataFrame:
-    """Run an append-mode stream over all available input; the written output as a table.
+def land_in_order(frame: DataFrame, path: str, time: str, bounds: Sequence[object]) -> None:
+    """Writes ``frame`` below ``path`` as one file per slice of ``time``, one after the other.
+
+    A file stream takes files in the order they landed, so it meets the slices in the
+    order of time and its watermark moves from one to the next. ``bounds`` are the
+    ascending upper ends of all slices but the last; rows without a time come last.
+    """
+    low = None
+    for high in (*bounds, None):
+        kept = F.lit(True) if low is None else F.coalesce(F.col(time) >= F.lit(low), F.lit(True))
+        if high is not None:
+            kept = kept & F.coalesce(F.col(time) < F.lit(high), F.lit(False))
+        frame.where(kept).coalesce(1).write.mode("append").parquet(path)
+        low = high
+
+
+@dataclass(frozen=True)
+class Drained:
+    """The written output of a stream that ran over all its input, and how the run went."""
+
+    output: DataFrame
+    progress: list[dict]
+
+    def watermarks(self) -> list[datetime]:
+        """The watermark of each batch that had one, in UTC."""
+        found = [p["eventTime"]["watermark"] for p in self.progress if p.get("eventTime")]
+        return [datetime.fromisoformat(w.replace("Z", "+00:00")).replace(tzinfo=None) for w in found]
+
+    def largest_state(self) -> int:
+        """The most rows that any stateful operator held after a batch."""
+        return max((o["numRowsTotal"] for p in self.progress for o in p["stateOperators"]), default=0)
+
+
+def drain(stream: DataFrame, label: str) -> Drained:
+    """Runs an append-mode stream over all available input.
 
     Checkpoint and output lie in the shared scratch folder, so a restarted
     query resumes there and every executor can read the result.
@@ -43,24 +92,33 @@ def drain_to_parquet(stream: DataFrame, label: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/output")
+    progress = [json.loads(p.json) for p in query.recentProgress]
+    return Drained(spark.read.schema(stream.schema).parquet(f"{base}/output"), progress)
+
+
+def drain_to_parquet(stream: DataFrame, label: str) -> DataFrame:
+    """The output of ``drain`` as a table."""
+    return drain(stream, label).output
 
 
-def drain_to_memory(stream: DataFrame, label: str) -> DataFrame:
-    """Run a complete-mode stream over all available input; its last result as a table.
+def drain_complete(stream: DataFrame, label: str) -> DataFrame:
+    """Runs a complete-mode stream over all available input; its last result as a table.
 
-    The driver holds that result: only for aggregates without grouping keys.
+    Every batch replaces the result written before it. Nothing of it passes through
+    the driver, however many groups it has.
     """
     spark = stream.sparkSession
     base = scratch_path(spark, label)
-    name = base.rsplit("/", 1)[1].replace("-", "_")
+
+    def replace(result: DataFrame, _: int) -> None:
+        result.write.mode("overwrite").parquet(f"{base}/output")
+
     query = (
-        stream.writeStream.format("memory")
-        .queryName(name)
+        stream.writeStream.foreachBatch(replace)
         .option("checkpointLocation", f"{base}/checkpoint")
         .outputMode("complete")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{base}/output")

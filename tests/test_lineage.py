@@ -149,3 +149,14 @@ def test_missing_items(spark):
     assert names(missing_items(expected, landed, ["name"], force=True)) == ["a", "b", "c", None]
     assert names(missing_items(expected, landed.limit(0), ["name"])) == ["a", "b", "c", None]
     assert names(missing_items(landed, landed.where("name is not null"), ["name"])) == [None]
+
+
+def test_reach_at_a_hub_is_counted_without_its_pairs(spark):
+    """2,000 items reach 2,000 others through one in the middle; a few reach little."""
+    first = spark.range(2000).selectExpr("id AS source", "-1 AS target").union(
+        spark.range(3).selectExpr("id + 5000 AS source", "-2 AS target"))
+    second = spark.range(2000).selectExpr("-1 AS source", "id AS target").union(
+        spark.range(4).selectExpr("-2 AS source", "id AS target"))
+    reached = {r["source"]: r["reached"] for r in lineage.two_hop_reach(first, second).collect()}
+    assert len(reached) == 2003
+    assert reached[5000] == 4 and abs(reached[17] - 2000) < 60

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from edgeloom.operators import lineage, ranking
 from edgeloom.plans.registry import QUERIES
+from edgeloom.sources import star
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(set(QUERIES) - {"stream_total", "stream_latency"})
+BATCH = sorted(set(QUERIES) - {"stream_total", "stream_latency", "stream_latency_complete"})
 
 
 def plan_of(frame, capsys, execute=False):
@@ -65,7 +66,7 @@ def test_scans_read_only_what_is_used(spark, capsys):
 
 
 def test_report_is_one_scan_per_network_and_one_shuffle(large, capsys):
-    for name in ("user_report_full", "user_report_100"):
+    for name in ("user_report_full", "user_report_100", "sql_user_report_100"):
         plan = plan_of(QUERIES[name](large, SF_DIR), capsys)
         assert len(scans(plan)) == 4
         assert plan.count("Exchange") == 1
@@ -90,13 +91,45 @@ def test_leaders_are_broadcast_whatever_the_threshold(large, capsys):
         assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
 
 
-def test_very_large_k_is_not_broadcast(large, capsys):
-    social = large.createDataFrame([(1, 2)], "follower int, followed int")
-    mention = large.createDataFrame([(1, 2, 3)], "mentioner int, mentioned int, occur int")
-    plan = plan_of(
-        ranking.leaders_with_mentions(social, mention, k=ranking.BROADCAST_ROWS + 1), capsys
+def test_more_leaders_than_the_bound_shuffle_no_raw_edge(large, capsys):
+    """One user holds half of the mention edges."""
+    social = large.range(3000).selectExpr("id AS follower", "id % 50 AS followed")
+    mention = large.range(20000).selectExpr(
+        "id AS mentioner", "IF(id % 2 = 0, 7, id % 60) AS mentioned", "1 AS occur"
     )
-    assert "Broadcast" not in plan
+    results = {}
+    for bound in (20, 19):
+        frame = ranking.leaders_with_mentions(social, mention, k=20, broadcast_rows=bound)
+        plan = plan_of(frame, capsys)
+        assert ("Broadcast" in plan) == (bound == 20)
+        for below in re.findall(r"Exchange hashpartitioning\(mentioned.*\n(.*)", plan):
+            assert "HashAggregate" in below and "partial_sum(" in below
+        results[bound] = [tuple(r) for r in frame.collect()]
+    assert results[20] == results[19] and len(results[19]) == 10  # even ids have none
+
+
+def test_runs_are_scanned_once_from_the_start(large, capsys):
+    """The plan before execution: one scan of the runs, its second use a reused exchange."""
+    frame = QUERIES["lineage_latency"](large, SF_DIR)
+    frame.collect()
+    capsys.readouterr()
+    frame.explain()
+    text = capsys.readouterr().out
+    initial = text.split("== Initial Plan ==")[1]
+    scanned = [s for s in scans(initial) if "o_orderdate" in s]
+    assert len(scanned) == 2 and len({re.sub(r"#\d+", "", s) for s in scanned}) == 1
+    final = text.split("== Initial Plan ==")[0]
+    assert len([s for s in scans(final) if "o_orderdate" in s]) == 1
+    assert "ReusedExchange" in final
+
+
+def test_declared_distinct_edges_save_their_shuffles(large, capsys):
+    placed = star.table(large, SF_DIR, "orders").selectExpr("o_custkey source", "o_orderkey target")
+    held = star.table(large, SF_DIR, "lineitem").selectExpr("l_orderkey source", "l_partkey target")
+    plain = plan_of(lineage.two_hop_impact(placed, held), capsys)
+    declared = plan_of(lineage.two_hop_impact(placed, held, distinct_edges=True), capsys)
+    assert plain.count("Exchange hashpartitioning") == 5
+    assert declared.count("Exchange hashpartitioning") == 3
 
 
 @pytest.mark.parametrize("name, tables", [

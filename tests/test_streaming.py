@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 import pytest
 
 from edgeloom.operators.lineage import arrival_latency
+from edgeloom.plans import registry
+from edgeloom.sources import star
 from edgeloom.streaming.ledger import stream_total
 from edgeloom.streaming.lineage import stream_latency
-from edgeloom.streaming.sources import drain_to_memory, drain_to_parquet, parquet_stream
+from edgeloom.streaming.sources import drain_complete, drain_to_parquet, parquet_stream
 
 START = datetime(2024, 1, 1)
 
@@ -20,7 +22,7 @@ def test_total_over_several_files(spark, tmp_path, files_per_trigger):
     spark.createDataFrame([(1,)] * 30 + [(None,)], "value int").repartition(3).write.parquet(path)
     spark.createDataFrame([(9,)], "value int").write.parquet(path + "_old")  # not part of it
     counts = parquet_stream(spark, path, files_per_trigger)
-    result = drain_to_memory(stream_total(counts), "total")
+    result = drain_complete(stream_total(counts), "total")
     assert [r["value"] for r in result.collect()] == [30]
 
 
@@ -66,6 +68,31 @@ def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches, salts):
     assert latencies(final) == closed
 
 
+def test_the_named_folder_is_read_and_no_other(spark, tmp_path):
+    for name, value in (("a", 1), ("a,b", 5), ("b", 9)):
+        spark.createDataFrame([(value,)], "value int").write.parquet(str(tmp_path / name))
+    for name, value in (("a", 1), ("a,b", 5), ("b", 9)):
+        path = str(tmp_path / name)
+        counts = parquet_stream(spark, path, schema="value int")
+        assert [r["value"] for r in drain_complete(stream_total(counts), "n").collect()] == [value]
+
+
+@pytest.mark.parametrize("name", ["x{y}", "q[1]", "a*", "a?", "a\\b"])
+def test_paths_that_read_as_patterns_are_refused(spark, name):
+    with pytest.raises(ValueError, match="path of a file stream"):
+        parquet_stream(spark, f"/tmp/{name}", schema="value int")
+
+
+def test_state_of_the_registered_stream_stays_small(spark):
+    """Most of the input is evicted before it has all been read."""
+    sf_dir = "/root/testdata/sf0.001"
+    drained = registry._drained_latency(spark, sf_dir)
+    rows = sum(star.table(spark, sf_dir, t).count() for t in ("orders", "lineitem"))
+    assert 0 < drained.largest_state() < rows / 4
+    moved = [w for w in drained.watermarks() if w.year > 1970]
+    assert len(set(moved)) > 5
+
+
 def test_stream_restarts_from_its_checkpoint(spark, tmp_path):
     """Files that land after the first run are added to its total, not counted anew."""
     path, checkpoint = str(tmp_path / "counts"), str(tmp_path / "checkpoint")

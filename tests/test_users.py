@@ -139,3 +139,27 @@ def test_report_types_follow_the_inputs(spark):
     assert full_report(make_tables(spark)).dtypes == [
         ("user_id", "int"), ("followers_count", "bigint"), ("mentions_count", "bigint"),
         ("replies_count", "bigint"), ("retweets_count", "bigint")]
+
+
+JOIN_FORM = """
+SELECT everyone.user_id, COALESCE(f.n, 0), COALESCE(m.n, 0), COALESCE(r.n, 0), COALESCE(t.n, 0)
+FROM (SELECT followed AS user_id FROM social UNION SELECT mentioned FROM mention
+      UNION SELECT replied FROM reply UNION SELECT tweeted FROM retweet) AS everyone
+LEFT JOIN (SELECT followed AS id, COUNT(follower) AS n FROM social GROUP BY followed) AS f
+  ON f.id = everyone.user_id
+LEFT JOIN (SELECT mentioned AS id, SUM(occur) AS n FROM mention GROUP BY mentioned) AS m
+  ON m.id = everyone.user_id
+LEFT JOIN (SELECT replied AS id, SUM(occur) AS n FROM reply GROUP BY replied) AS r
+  ON r.id = everyone.user_id
+LEFT JOIN (SELECT tweeted AS id, SUM(occur) AS n FROM retweet GROUP BY tweeted) AS t
+  ON t.id = everyone.user_id
+"""
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stacked_reports_equal_the_chain_of_outer_joins(spark, seed):
+    tables = random_tables(spark, seed)
+    tables.register_views()
+    expected = unordered(spark.sql(JOIN_FORM))
+    assert unordered(full_report(tables)) == expected
+    assert unordered(sql_queries.sql_user_report(spark)) == expected
