@@ -193,10 +193,8 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def sample_mix(docs: DataFrame) -> DataFrame:
     """The sampled documents with the columns of ``docs``."""
-    names = {c: free_name(f"own_{i}", docs.columns) for i, c in enumerate(docs.columns)}
-    plain = {"doc_id", "text", "source", "lang"}
-    kept = docs.withColumnsRenamed({c: n for c, n in names.items() if c not in plain})
-    sampled = mix_documents(kept).where("mix_sampled")
-    return sampled.withColumnsRenamed({n: c for c, n in names.items() if c not in plain}).select(
-        *without(docs)
-    )
+    used = {"doc_id", "text", "source", "lang"}
+    own = {c: c if c in used else free_name(f"own_{i}", docs.columns)
+           for i, c in enumerate(docs.columns)}
+    sampled = mix_documents(docs.withColumnsRenamed(own)).where("mix_sampled")
+    return sampled.select(*[F.col(n).alias(c) for c, n in own.items()])

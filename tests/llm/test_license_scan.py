@@ -1,0 +1,62 @@
+import random
+import re
+
+from helpers import awkward, clashing, frame, prose
+
+from edgeloom.llm import license_scan
+from edgeloom.llm.queries import QUERIES
+
+
+def shingles(text):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(docs, templates):
+    out = []
+    for d, t, *_ in docs:
+        own = shingles(t)
+        for name, x in templates.items():
+            q = shingles(x)
+            if len(q & own) >= 0.8 * len(q):
+                out.append((d, name, len(q), len(q & own)))
+    return sorted(out, key=repr)
+
+
+def result(df, name="template"):
+    return sorted(((r["doc_id"], r[name], r["n_shingles"], r["n_found"]) for r in df.collect()), key=repr)
+
+
+def test_awkward_rows_and_long_templates(spark):
+    rng = random.Random(9)
+    templates = license_scan.NOTICES | {f"t{n}": prose(rng, n + 4) for n in (1, 2, 3, 5, 17, 40, 130)}
+    docs = awkward()
+    for i, (name, text) in enumerate(templates.items()):
+        words = text.split()
+        docs.append((100 + i, prose(rng, rng.randrange(40)) + "\n# " + text + " " + prose(rng, 300)))
+        docs.append((200 + i, " * ".join(words).upper()))
+        docs.append((300 + i, prose(rng, 7) + " " + " ".join([*words[:-2], "else", words[-1]])))
+        docs.append((400 + i, prose(rng, 9) + " " + " ".join(words[len(words) // 8:])))
+    found = license_scan.scan_templates(clashing(frame(spark, docs)), templates)
+    assert result(found) == brute(docs, templates)
+
+
+def test_query_on_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    found = result(QUERIES["op2_license_scan"](spark, sf_dir), "license")
+    assert found == brute(docs, license_scan.NOTICES) and found
+
+
+def test_no_documents_no_matches(spark):
+    assert license_scan.license_report(frame(spark, [])).collect() == []
+    assert license_scan.license_report(frame(spark, awkward())).collect() == []
+
+
+def test_bands_bound_the_misses():
+    for size in (1, 3, 8, 30, 200):
+        level = (size - 1).bit_length()
+        width, _, bands = license_scan._classes([size])[level]
+        shared = -(-8 * size // 10)
+        similarity = shared / (width + size - shared)
+        assert similarity >= 1 or (1 - similarity) ** bands <= license_scan.MISS

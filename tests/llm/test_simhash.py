@@ -1,0 +1,112 @@
+import random
+import re
+
+import pytest
+import xxhash
+from helpers import awkward, clashing, frame, prose
+
+from edgeloom.llm import simhash
+from edgeloom.llm.components import connected_components
+from edgeloom.llm.queries import QUERIES
+
+SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()
+
+
+def brute_fingerprint(text):
+    words = SPACE.findall(lowered(text))
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(links, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def brute(rows):
+    marks = [(d, brute_fingerprint(t)) for d, t, *_ in rows]
+    fps = sorted({f for _, f in marks})
+    links = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 2]
+    roots = brute_components(links, fps)
+    least = {}
+    for d, f in marks:
+        if d is not None:
+            least[roots[f]] = min(d, least.get(roots[f], d))
+    return sorted(((d, f"{f:016x}", least.get(roots[f])) for d, f in marks), key=repr)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "fingerprint", "component_id").collect()),
+                  key=repr)
+
+
+def test_awkward_rows(spark):
+    assert result(simhash.near_duplicates(clashing(frame(spark, awkward())))) == brute(awkward())
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(frame(spark, [])).collect() == []
+    assert simhash.drop_near_duplicates(frame(spark, [])).collect() == []
+
+
+def test_query_on_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert result(QUERIES["op1_simhash"](spark, sf_dir)) == expected
+
+
+@pytest.mark.parametrize("bucket", [1, 3, 64])
+def test_links_join_what_all_pairs_join(spark, bucket):
+    """Clusters around centres with hundreds of near fingerprints share segments."""
+    rng = random.Random(bucket)
+    fps = set()
+    for _ in range(4):
+        centre = rng.getrandbits(64)
+        for _ in range(120):
+            fps.add(centre ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(5))}))
+    signed = {f - (1 << 64) if f >> 63 else f for f in fps} | {0, -1, -(1 << 63), 1 << 31, 1 << 32}
+    near = [(a, b) for a in signed for b in signed
+            if a < b and ((a ^ b) & (2 ** 64 - 1)).bit_count() <= 2]
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), bucket)
+    found = [(r["a"], r["b"]) for r in links.collect()]
+    assert all(((a ^ b) & (2 ** 64 - 1)).bit_count() <= 2 for a, b in found)
+    assert brute_components(found, signed) == brute_components(near, signed)
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(60)]
+    star = [(100, 100 + i) for i in range(1, 80)]
+    pairs = chain + star + [(300, 299), (299, 300), (7, 7), (None, 5), (500, 500)]
+    found = connected_components(spark.createDataFrame(pairs, "a long, b long"))
+    expected = brute_components([p for p in chain + star + [(299, 300)]],
+                                {x for p in chain + star + [(299, 300)] for x in p})
+    assert {r["node"]: r["root"] for r in found.collect()} == expected
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    rows = awkward() + [(20, prose(random.Random(1), 50))]
+    kept = simhash.drop_near_duplicates(clashing(frame(spark, rows)))
+    assert kept.columns == clashing(frame(spark, rows)).columns
+    stays = sorted((r["doc_id"], r["text"]) for r in kept.collect())
+    assert len({t for _, t in stays}) == len(stays)
+    roots = brute(rows)
+    groups = {c for _, _, c in roots}
+    assert sorted(d for d, _ in stays) == sorted(groups)
