@@ -30,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.llm.tables import text_bytes
+from edgeloom.llm.tables import text_bytes, written
 
 LENGTH = 100
 Q = 32
@@ -100,37 +100,85 @@ def _ranks(ids: list, ties: list) -> np.ndarray:
     return ranks
 
 
+_ROUND = "bucket long, context long, doc_id long, tie int, start int, end int"
+
+
+def _round(rows: pa.RecordBatch, which: np.ndarray, bucket, context, start, end) -> pa.RecordBatch:
+    """Rows of ``_ROUND``; ``rows`` has ``doc_id`` and ``tie``. Without a context a row is a mark."""
+    n, places = len(which), pa.array(which)
+    numbers = [
+        pa.nulls(n, pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (bucket, context)
+    ]
+    return pa.RecordBatch.from_arrays([
+        *numbers, rows.column("doc_id").take(places), rows.column("tie").take(places),
+        pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)),
+    ], names=[c.split()[0] for c in _ROUND.split(", ")])
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``bucket, context, settled, doc_id, tie, start, size``; repeats in a batch are settled."""
+    """Contexts of all texts as ``_ROUND``; what a batch has already is a mark."""
     for batch in batches:
-        texts = text_bytes(batch.column(2))
-        rows, buckets, contexts, starts, sizes = [], [], [], [], []
+        texts = text_bytes(batch.column("text"))
+        rows, buckets, contexts, starts, ends = [], [], [], [], []
         for i, text in enumerate(texts):
             bucket, start, size = anchors(text)
             rows.append(np.full(len(bucket), i))
             buckets.append(bucket)
             starts.append(start)
-            sizes.append(size)
+            ends.append(start + size)
             contexts.append(np.fromiter(
                 (xxhash.xxh3_64_intdigest(text[a:b])
-                 for a, b in zip(start.tolist(), (start + size).tolist())), np.uint64, len(start),
+                 for a, b in zip(start.tolist(), ends[-1].tolist())), np.uint64, len(start),
             ))
         if not rows:
             continue
-        row, bucket, context = np.concatenate(rows), np.concatenate(buckets), np.concatenate(contexts)
-        start, size = np.concatenate(starts), np.concatenate(sizes)
-        ranks = _ranks(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        row, bucket, context, start, end = map(
+            np.concatenate, (rows, buckets, contexts, starts, ends)
+        )
+        ranks = _ranks(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist())
         order = np.lexsort((start, ranks[row], context, bucket))
-        row, bucket, context, start, size = (x[order] for x in (row, bucket, context, start, size))
-        settled = np.zeros(len(row), bool)
-        settled[1:] = (bucket[1:] == bucket[:-1]) & (context[1:] == context[:-1])
-        # A settled row needs no bucket any more; its own place spreads it.
-        bucket[settled] = (row[settled].astype(np.uint64) * _A) ^ start[settled].astype(np.uint64) * _B
-        yield pa.RecordBatch.from_arrays([
-            pa.array(bucket.view(np.int64)), pa.array(context.view(np.int64)), pa.array(settled),
-            batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)),
-            pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)),
-        ], names=["bucket", "context", "settled", "doc_id", "tie", "start", "size"])
+        same = (np.diff(bucket[order]) == 0) & (np.diff(context[order]) == 0)
+        again = np.zeros(len(row), bool)
+        again[order[1:][same]] = True
+        yield _round(batch, row[~again], bucket[~again], context[~again], start[~again], end[~again])
+        row, start, end = row[again], start[again], end[again]
+        if not len(row):
+            continue
+        # Marks that touch are one; their places spread them over the partitions.
+        new = np.append(True, (row[1:] != row[:-1]) | (start[1:] > end[:-1]))
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(row)) - 1
+        spread = (row[first].astype(np.uint64) * _A) ^ (start[first].astype(np.uint64) * _B)
+        yield _round(batch, row[first], spread, None, start[first], end[last])
+
+
+def _settle_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rounds 1 and 2 over contexts in the order of bucket, context and place.
+
+    Passes marks on, turns repeated contexts into marks and keeps the first of each context
+    where its bucket holds several. Only the row before is remembered. A bucket at either
+    end of a batch may go on beyond it and counts as holding several.
+    """
+    before = None
+    for batch in batches:
+        known = pc.is_null(batch.column("context"))
+        if pc.any(known).as_py():
+            yield batch.filter(known)
+            batch = batch.filter(pc.invert(known))
+        if not batch.num_rows:
+            continue
+        bucket, context, start, end = (
+            batch.column(c).to_numpy() for c in ("bucket", "context", "start", "end")
+        )
+        opens = np.append(before is None or bucket[0] != before[0], bucket[1:] != bucket[:-1])
+        new = opens | np.append(before is None or context[0] != before[1], context[1:] != context[:-1])
+        before = bucket[-1], context[-1]
+        group = np.cumsum(np.append(True, bucket[1:] != bucket[:-1])) - 1
+        several = np.bincount(group, new) > 1
+        several[[0, -1]] = True
+        kept, again = np.flatnonzero(new & several[group]), np.flatnonzero(~new)
+        yield _round(batch, kept, bucket[kept], context[kept], start[kept], end[kept])
+        yield _round(batch, again, None, None, start[again], end[again])
 
 
 # ------------------------------------------------------------------ refinement (round 3)
@@ -172,15 +220,15 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     names = [c.split()[0] for c in _PIECES.split(", ")]
     for batch in batches:
-        texts = text_bytes(batch.column(2))
-        ids, ties, wanted = (batch.column(i).to_pylist() for i in (0, 1, 3))
+        texts = text_bytes(batch.column("text"))
+        ids, ties, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "tie", "wanted"))
         found: list[tuple] = []
         strings: set[bytes] = set()
         ranks = _ranks(ids, ties)
         for i in np.argsort(ranks).tolist():
             text = texts[i]
             for context in sorted(wanted[i] or (), key=lambda c: c["start"]):
-                start, end = context["start"], context["start"] + context["size"]
+                start, end = context["start"], context["end"]
                 if not context["crowded"]:
                     found.append((context["bucket"], 0, ids[i], ties[i], start, end, text[start:end]))
                     continue
@@ -296,25 +344,29 @@ def repeated_stretches(docs: DataFrame, crowd: int = CROWD) -> tuple[DataFrame,
         keyed = rows.select("doc_id", crc.alias("tie"), "text")
         unique = keyed.dropDuplicates(["doc_id", "tie"])
 
+    # Ranges of bucket and context, so that a bucket of very many contexts is split.
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("start")]
-    placed = unique.mapInArrow(
-        _contexts, "bucket long, context long, settled boolean, doc_id long, tie int, start int, size int"
-    ).withColumn(
-        "again", F.col("settled") | (F.row_number().over(
-            Window.partitionBy("bucket", "context").orderBy("settled", *order)
-        ) > 1)
+    rounds = written(
+        unique.mapInArrow(_contexts, _ROUND).repartitionByRange("bucket", "context")
+        .sortWithinPartitions("bucket", "context", *order).mapInArrow(_settle_contexts, _ROUND),
+        "repeat-rounds",
     )
-    whole = placed.where("again").select(
-        "doc_id", "tie", "start", (F.col("start") + F.col("size")).alias("end")
+    unsettled = rounds.where("context IS NOT NULL")
+    crowds = written(
+        unsettled.groupBy("bucket").count().where(F.col("count") > crowd).select(
+            "bucket", F.lit(True).alias("crowded")
+        ), "repeat-crowds",
     )
-    first = placed.where("NOT again").select("bucket", "doc_id", "tie", "start", "size")
-    several = first.groupBy("bucket").count().where("count > 1")
-    open_contexts = first.join(several, "bucket").groupBy("doc_id", "tie").agg(F.collect_list(F.struct(
-        "bucket", "start", "size", (F.col("count") > crowd).alias("crowded")
+    crowded = F.lit(False)
+    if not crowds.isEmpty():
+        unsettled, crowded = unsettled.join(crowds, "bucket", "left"), F.coalesce("crowded", F.lit(False))
+    wanted = unsettled.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(
+        "bucket", "start", "end", crowded.alias("crowded")
     )).alias("wanted"))
-    pieces = _with(unique, open_contexts).select("doc_id", "tie", "text", "wanted").mapInArrow(
+    pieces = _with(unique, wanted).select("doc_id", "tie", "text", "wanted").mapInArrow(
         _pieces, _PIECES
     )
+    whole = rounds.where("context IS NULL").select("doc_id", "tie", "start", "end")
     compared = (
         pieces.repartition("key").sortWithinPartitions("key", "second", *order)
         .mapInArrow(_settle, _MARKS)
