@@ -122,7 +122,7 @@ def test_saved_results_are_sorted_and_previewed(spark, tmp_path):
     tables = random_tables(spark, 11)
     saved = analysis_job.save_results(spark, tables, str(tmp_path / "results"))
     assert sorted(p.name for p in (tmp_path / "results").iterdir()) == sorted(
-        analysis_job.RESULT_ORDER)
+        [*analysis_job.RESULT_ORDER, analysis_job.PROFILES])
     assert unordered(saved["top_followed"]) == unordered(ranking.top_followed(tables.social))
     shown = analysis_job.preview(saved, rows=3)
     for name, direct in {
