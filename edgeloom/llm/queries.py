@@ -17,8 +17,11 @@ from edgeloom.llm import (
     suffix_tree_lm,
     token_files,
 )
+from edgeloom.llm.oracle import ORACLE
 from edgeloom.llm.tables import table
 
+__all__ = ["ORACLE", "QUERIES"]
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -80,4 +83,3 @@ QUERIES = {
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}

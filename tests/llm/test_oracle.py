@@ -1,0 +1,28 @@
+"""Queries that SQL can express, against it, over whole tables."""
+
+import duckdb
+import pytest
+
+from edgeloom.llm.queries import ORACLE, QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+KINDS = {"BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = duck.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    frame = QUERIES[name](spark, SF_DIR)
+    assert dict(frame.dtypes) == {d[0]: KINDS[str(d[1])] for d in result.description}
+    expected = sorted(result.fetchall(), key=repr)
+    assert sorted((tuple(r) for r in frame.select(*columns).collect()), key=repr) == expected
+    assert expected
+
+
+def test_all_ten_are_registered():
+    numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
+    assert numbers == set(range(1, 11)) and set(ORACLE) < set(QUERIES)

@@ -34,7 +34,7 @@ def rows_of(df):
 @given(st.text(st.one_of(st.sampled_from(" \n\t\r\x0b\x0c\x1c\x85\xa0  　'.,aAéß9!<|>"),
                          st.characters(codec="utf-8"))))
 def test_pieces_give_the_ids_of_the_whole_text(text):
-    ids = np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist()
+    ids = np.frombuffer(ENCODER.encode(text), "<u4").tolist()
     assert ids == PLAIN.encode(text, add_special_tokens=False).ids
 
 
@@ -80,3 +80,11 @@ def test_awkward_rows_and_many_small_files(spark, monkeypatch):
     assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
     assert [d for *_, d in spans] == sorted(d for *_, d in spans)
     assert token_files.token_report(frame(spark, []), PATH).collect() == []
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 7)
+    encoder = token_files.PieceEncoder(PATH)
+    for text in ("a b c d e f g h a b", "x y z", "", "a b c  d\n\ne f", " ".join(map(str, range(50))), "a x 49"):
+        ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert ids == PLAIN.encode(text, add_special_tokens=False).ids
