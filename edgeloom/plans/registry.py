@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR_SECONDS = 3600
 # Files per stream and micro-batches of the registered streaming join.
-STREAM_SLICES = 12
+STREAM_SLICES = 7
 THIRTY_DAYS_SECONDS = 30 * 24 * 3600.0
 
 
