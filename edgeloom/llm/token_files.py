@@ -19,9 +19,12 @@ task writes the same bytes again.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from typing import BinaryIO
 
 import numpy as np
@@ -39,9 +42,9 @@ MAGIC = b"EDGEIDS1"
 END_ID = 0
 BLOCK = 4096
 #: Ids after which a file ends with the current document.
-FILE_IDS = 1 << 24
-#: Pieces of text whose ids a task remembers.
-REMEMBERED = 1 << 19
+FILE_IDS = 1 << 22
+#: Pieces of text in each of the two generations that a worker remembers.
+REMEMBERED = 1 << 18
 
 
 # --------------------------------------------------------------------- packing
@@ -122,39 +125,77 @@ class TokenFile:
 class PieceEncoder:
     """Ids of whole texts, asking the tokenizer once per piece of text.
 
-    A piece runs up to a blank that follows no other white space. The vocabulary's own
-    rule for cutting texts always cuts there and looks no further back, so pieces give
-    the ids of the whole text; natural text repeats most of its pieces.
+    A piece runs up to a blank or line feed that follows no other white space. The
+    vocabulary's own rule for cutting texts always cuts there and looks no further
+    back, so pieces give the ids of the whole text; natural text repeats most of its
+    pieces. What was met lately is remembered in two generations: the older one goes
+    when the younger is full, and pieces met again move to the younger.
     """
 
-    _BEHIND_SPACE = re.compile(r"\s ")
-    _CUT = re.compile(r"(?<=\S)(?= )")
+    _BEHIND_SPACE = re.compile(r"\s[ \n]")
+    _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
     def __init__(self, path: str):
+        # Spark has a task on every core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self.vocabulary = self._tokenizer.get_vocab_size()
-        self._known: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
-        if text.startswith(" ") or self._BEHIND_SPACE.search(text):
+        if text[:1] in (" ", "\n") or self._BEHIND_SPACE.search(text):
             return self._CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known, found = self._known, []
-        for text in texts:
-            pieces = self._pieces(text)
-            new = list({p for p in pieces if p not in known})
-            for piece, encoding in zip(
-                new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()
-            ):
-                known[piece] = np.array(encoding.ids, "<u4").tobytes()
-            found.append(b"".join([known[p] for p in pieces]))
-        return found
+        # The same cuts, sooner: a blank before every line feed, then at every blank.
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return [first, *[r if r[:1] == "\n" else " " + r for r in rest]]
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian 32-bit numbers."""
+        pieces = self._pieces(text)
+        new = [p for p in set(pieces) if p not in self._young]
+        if new:
+            if len(self._young) + len(new) > REMEMBERED:
+                self._old, self._young = self._young, {}
+                new = list(set(pieces))
+            ask = []
+            for piece in new:
+                if known := self._old.get(piece):
+                    self._young[piece] = known
+                elif piece[:1] == " " and piece[1:].isalpha():
+                    # Letters behind a blank are one word of the vocabulary's rule.
+                    word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                    self._young[piece] = _four_bytes([t.id for t in self._model.tokenize(word)])
+                else:
+                    ask.append(piece)
+            found = self._tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()
+            self._young.update((p, _four_bytes(e.ids)) for p, e in zip(ask, found))
+        return b"".join(map(self._young.__getitem__, pieces))
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte.
+
+    Printable characters of Latin-1 stand for themselves, the other bytes, in ascending
+    order, for the characters from 256 on.
+    """
+    own = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _four_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@cache
+def _encoder(path: str) -> PieceEncoder:
+    """One per Python worker, which serves many tasks."""
+    return PieceEncoder(path)
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
@@ -175,7 +216,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, encoder = TaskContext.get(), PieceEncoder(tokenizer)
+        context, encoder = TaskContext.get(), _encoder(tokenizer)
         bits, tail = bits_for(max(encoder.vocabulary, end_id + 1)), np.array([end_id], "<u4").tobytes()
         system, root = _filesystem(fs_path)
         doc_ids, parts, total, number = [], [], 0, 0
@@ -197,8 +238,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                keys, encoded = some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())
-                for key, own in zip(keys, encoded):
+                for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    own = encoder.encode(text)
                     doc_ids.append(key)
                     parts.append(own + tail)
                     total += len(own) // 4 + 1
