@@ -137,7 +137,7 @@ def test_saved_results_are_sorted_and_previewed(spark, tmp_path):
 
 def test_report_types_follow_the_inputs(spark):
     assert full_report(make_tables(spark)).dtypes == [
-        ("user_id", "int"), ("followers_count", "bigint"), ("mentions_count", "bigint"),
+        ("user_id", "bigint"), ("followers_count", "bigint"), ("mentions_count", "bigint"),
         ("replies_count", "bigint"), ("retweets_count", "bigint")]
 
 
