@@ -9,7 +9,7 @@ the document, so it is the same on every run, on every executor, after any loss.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import prod
 
 import numpy as np
@@ -20,7 +20,7 @@ from edgeloom.llm.tables import WORD_CLASS, free_name, without
 
 #: Category of every value without a target of its own, null among them.
 OTHER = "*"
-#: Cells that reach the driver at most: one more category per margin than the caller names.
+#: Cells that reach the driver at most.
 MAX_CELLS = 200_000
 ROUNDS = 1000
 #: Cells that need the highest rates may miss this share of all raked tokens, so that a few
@@ -34,21 +34,24 @@ class Margin:
     """A column of categories, as strings, and its target shares of tokens.
 
     ``names`` are the categories told apart; all other values, null among them, are
+    ``OTHER``. Where ``names`` is None every value is a category and only null is
     ``OTHER``. Target shares are those in ``shares`` (absent: 0), or, where that is None,
     the actual shares to the power of ``temper``, which below 1 lifts the small ones.
     Either is taken relative to its sum over the categories that have tokens.
     """
 
     value: Column
-    names: Sequence[str]
+    names: Sequence[str] | None = None
     shares: Mapping[str, float] | None = None
     temper: float = 1.0
 
     def categories(self) -> list[str]:
-        return list(dict.fromkeys([*self.names, OTHER]))
+        return list(dict.fromkeys([*(self.names or []), OTHER]))
 
     def category(self) -> Column:
         value = self.value.cast("string")
+        if self.names is None:
+            return F.coalesce(value, F.lit(OTHER))
         return F.when(value.isin(list(self.names)), value).otherwise(F.lit(OTHER))
 
     def targets(self, tokens: np.ndarray) -> np.ndarray:
@@ -100,8 +103,9 @@ def mix(
     change its (absent) share, so its rows stay. An empty table gives no rows. Columns
     that already have these names are replaced.
 
-    Cells reach the driver: at most the product of the margins' categories, checked
-    against ``MAX_CELLS``, however large ``docs`` is.
+    Cells reach the driver: the product of the named margins' categories is checked
+    against ``MAX_CELLS``, and so are the cells counted, however large ``docs`` is.
+    More raise an error; none is merged or left out.
     """
     bound = prod(len(m.categories()) for m in margins.values())
     if bound > MAX_CELLS:
@@ -111,7 +115,14 @@ def mix(
     celled = docs.withColumns({names[m]: margin.category() for m, margin in margins.items()})
     counted = celled.groupBy(*names.values()).agg(
         F.sum(F.greatest(F.coalesce(tokens.cast("long"), F.lit(0)), F.lit(0))).alias("tokens")
-    ).orderBy(*names.values()).collect()
+    ).orderBy(*names.values()).limit(MAX_CELLS + 1).collect()
+    if len(counted) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} cells; at most {MAX_CELLS} are mixed")
+    margins = {
+        m: margin if margin.names is not None
+        else replace(margin, names=sorted({r[names[m]] for r in counted}))
+        for m, margin in margins.items()
+    }
 
     weight = free_name("weight", docs.columns)
     chance = free_name("chance", docs.columns)
@@ -150,8 +161,6 @@ def _unit(weights: np.ndarray, raked: np.ndarray) -> float:
 
 
 # --- The mix of the tables at hand. ---
-SOURCES = [f"src{i}" for i in range(20)]
-LANGUAGES = ["en", "de", "fr", "es"]
 #: Documents have no topic of their own; the form of a text stands for it.
 TOPICS = ["table", "note", "article", "book"]
 SOURCE_TEMPER, LANGUAGE_TEMPER, TOPIC_TEMPER = 0.7, 0.9, 0.9
@@ -171,13 +180,16 @@ def topic_of(text: Column, words: Column) -> Column:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``topic``, ``tokens`` (words) and what ``mix`` adds."""
+    """``docs`` with ``topic``, ``tokens`` (words) and what ``mix`` adds.
+
+    Every source and every language that occurs is a category of its own.
+    """
     text = F.col("text")
     out = docs.select(*without(docs, "topic", "tokens"), words_of(text).cast("long").alias("tokens"))
     out = out.withColumn("topic", topic_of(text, F.col("tokens")))
     margins = {
-        "source": Margin(F.col("source"), SOURCES, temper=SOURCE_TEMPER),
-        "lang": Margin(F.col("lang"), LANGUAGES, temper=LANGUAGE_TEMPER),
+        "source": Margin(F.col("source"), temper=SOURCE_TEMPER),
+        "lang": Margin(F.col("lang"), temper=LANGUAGE_TEMPER),
         "topic": Margin(F.col("topic"), TOPICS, temper=TOPIC_TEMPER),
     }
     return mix(out, margins, F.col("tokens"), [F.col("doc_id"), F.coalesce(text, F.lit(""))])
