@@ -10,10 +10,12 @@ from edgeloom.llm import (
     decontaminate,
     license_scan,
     mixing,
+    prefix_trie,
     quality_rules,
     repeats,
     sharding,
     simhash,
+    spelling_variants,
     suffix_tree_lm,
     token_files,
 )
@@ -71,6 +73,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variant_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_license_scan": op2_license_scan,
@@ -82,4 +92,6 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_decontamination": op10_decontamination,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
