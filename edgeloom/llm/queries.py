@@ -16,6 +16,7 @@ from edgeloom.llm import (
     sharding,
     simhash,
     spelling_variants,
+    substring_dedup,
     suffix_tree_lm,
     token_files,
 )
@@ -73,6 +74,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_decontamination": op10_decontamination,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }

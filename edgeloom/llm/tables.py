@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,9 @@ from edgeloom.session import scratch_path
 #: White space between words: blank and the control characters 9 to 13.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
+_SPACE = re.compile(SPACE_CLASS.encode())
+#: Bytes of a text whose words are listed at a time.
+SEGMENT = 1 << 20
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -54,6 +58,16 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def word_lists(text: bytes, size: int = SEGMENT) -> Iterator[list[bytes]]:
+    """The words of a text, a stretch of about ``size`` bytes at a time."""
+    start = 0
+    while start < len(text):
+        gap = _SPACE.search(text, start + size) if start + size < len(text) else None
+        stop = gap.start() if gap else len(text)
+        yield text[start:stop].split()
+        start = stop + 1
+
+
 def utf8_size(text: Column) -> Column:
     return F.octet_length(F.coalesce(text, F.lit(""))).cast("long")
 
