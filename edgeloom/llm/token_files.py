@@ -29,6 +29,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -43,8 +44,10 @@ END_ID = 0
 BLOCK = 4096
 #: Ids after which a file ends with the current document.
 FILE_IDS = 1 << 22
-#: Pieces of text in each of the two generations that a worker remembers.
-REMEMBERED = 1 << 18
+#: Pieces of text in each of the two generations that a worker remembers, and their most letters.
+REMEMBERED, LONG_PIECE = 1 << 17, 64
+#: Letters of the texts that are encoded at a time, the last one aside.
+AT_A_TIME = 1 << 21
 
 
 # --------------------------------------------------------------------- packing
@@ -128,8 +131,10 @@ class PieceEncoder:
     A piece runs up to a blank or line feed that follows no other white space. The
     vocabulary's own rule for cutting texts always cuts there and looks no further
     back, so pieces give the ids of the whole text; natural text repeats most of its
-    pieces. What was met lately is remembered in two generations: the older one goes
-    when the younger is full, and pieces met again move to the younger.
+    pieces. Texts are cut and their pieces numbered in Arrow, each different piece is
+    looked up once per call, and the ids are gathered by the pieces' numbers. Short pieces
+    met lately are remembered in two generations: the older one goes when the younger is full,
+    and pieces met again move to the younger.
     """
 
     _BEHIND_SPACE = re.compile(r"\s[ \n]")
@@ -144,34 +149,74 @@ class PieceEncoder:
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _pieces(self, text: str) -> list[str]:
-        if text[:1] in (" ", "\n") or self._BEHIND_SPACE.search(text):
-            return self._CUT.split(text)
-        # The same cuts, sooner: a blank before every line feed, then at every blank.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[r if r[:1] == "\n" else " " + r for r in rest]]
+    def _looked_up(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; ``pieces`` should differ."""
+        found = [self._young.get(p) for p in pieces]
+        ask = []
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            piece = pieces[i]
+            if known := self._old.get(piece):
+                self._remember(piece, known)
+                found[i] = known
+            elif piece[:1] == " " and piece[1:].isalpha():
+                # Letters behind a blank are one word of the vocabulary's rule.
+                word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found[i] = _four_bytes([t.id for t in self._model.tokenize(word)])
+                self._remember(piece, found[i])
+            else:
+                ask.append(i)
+        if ask:
+            told = self._tokenizer.encode_batch_fast([pieces[i] for i in ask], add_special_tokens=False)
+            for i, e in zip(ask, told):
+                found[i] = _four_bytes(e.ids)
+                self._remember(pieces[i], found[i])
+        return found
+
+    def _remember(self, piece: str, ids: bytes) -> None:
+        if len(piece) > LONG_PIECE:
+            return
+        if len(self._young) >= REMEMBERED:
+            self._old, self._young = self._young, {}
+        self._young[piece] = ids
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each text has."""
+        odd = [i for i, t in enumerate(texts) if t[:1] in (" ", "\n") or self._BEHIND_SPACE.search(t)]
+        # Where no white space meets another, cuts are at blanks, one being put before line feeds.
+        plain = [t.replace("\n", " \n") for t in texts]
+        for i in odd:
+            plain[i] = ""
+        lists = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        cut, first = lists.values.dictionary_encode(), lists.offsets.to_numpy()[:-1]
+        code = cut.indices.to_numpy().astype(np.int64)
+        later = np.ones(len(code), bool)
+        later[first] = False
+        seen = np.flatnonzero(np.bincount(code[later], minlength=len(cut.dictionary)))
+        values = cut.dictionary.take(pa.array(seen)).to_pylist()
+        known = self._looked_up([v if v[:1] == "\n" else " " + v for v in values])
+        heads = self._looked_up(cut.dictionary.take(pa.array(code[first])).to_pylist())
+        for i in odd:
+            pieces = self._CUT.split(texts[i])
+            own = dict.fromkeys(pieces)
+            own = dict(zip(own, self._looked_up(list(own))))
+            heads[i] = b"".join(map(own.__getitem__, pieces))
+        # Numbers of pieces: first the different ones behind a blank, then each text's first.
+        number = np.zeros(len(cut.dictionary), np.int64)
+        number[seen] = np.arange(len(seen))
+        number = number[code]
+        number[first] = len(seen) + np.arange(len(first))
+        sizes = np.array([len(x) // 4 for x in (*known, *heads)], np.int64)
+        ids = np.frombuffer(b"".join((*known, *heads)), "<u4")
+        base, n = np.cumsum(sizes) - sizes, sizes[number]
+        at = np.repeat(base[number] - (np.cumsum(n) - n), n)
+        at += np.arange(len(at))
+        return ids[at], np.add.reduceat(n, first) if len(first) else n
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit numbers."""
-        pieces = self._pieces(text)
-        new = [p for p in set(pieces) if p not in self._young]
-        if new:
-            if len(self._young) + len(new) > REMEMBERED:
-                self._old, self._young = self._young, {}
-                new = list(set(pieces))
-            ask = []
-            for piece in new:
-                if known := self._old.get(piece):
-                    self._young[piece] = known
-                elif piece[:1] == " " and piece[1:].isalpha():
-                    # Letters behind a blank are one word of the vocabulary's rule.
-                    word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                    self._young[piece] = _four_bytes([t.id for t in self._model.tokenize(word)])
-                else:
-                    ask.append(piece)
-            found = self._tokenizer.encode_batch_fast(ask, add_special_tokens=False) if ask else ()
-            self._young.update((p, _four_bytes(e.ids)) for p, e in zip(ask, found))
-        return b"".join(map(self._young.__getitem__, pieces))
+        """Ids of one text as little-endian 32-bit numbers."""
+        return self.encode_many([text])[0].tobytes()
 
 
 def _byte_letters() -> dict[int, str]:
@@ -202,6 +247,16 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``AT_A_TIME`` bytes of text."""
+    size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // AT_A_TIME
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> DataFrame:
     """Encodes ``text`` of every document into files below ``path``.
 
@@ -217,17 +272,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, encoder = TaskContext.get(), _encoder(tokenizer)
-        bits, tail = bits_for(max(encoder.vocabulary, end_id + 1)), np.array([end_id], "<u4").tobytes()
+        bits = bits_for(max(encoder.vocabulary, end_id + 1))
         system, root = _filesystem(fs_path)
-        doc_ids, parts, total, number = [], [], 0, 0
+        doc_ids, parts, sizes, total, number = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
             name = f"{root}/part-{context.partitionId():06d}-{number:04d}.ids"
             mine = f"{name}.{context.taskAttemptId()}"
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            ends = np.cumsum([len(p) // 4 for p in parts])
+            ids = np.concatenate(parts)
             with system.open_output_stream(mine) as out:
-                write_file(out, doc_ids, ends, ids, bits)
+                write_file(out, doc_ids, np.cumsum(np.concatenate(sizes)), ids, bits)
             system.move(mine, name)
             return pa.RecordBatch.from_pydict({
                 "part": [context.partitionId()], "file": [number], "path": [name],
@@ -236,16 +290,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
 
         system.create_dir(root, recursive=True)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    own = encoder.encode(text)
-                    doc_ids.append(key)
-                    parts.append(own + tail)
-                    total += len(own) // 4 + 1
-                    if total >= FILE_IDS:
-                        yield flush()
-                        doc_ids, parts, total, number = [], [], 0, number + 1
+            for some in _slices(batch):
+                ids, n = encoder.encode_many(some.column(1).to_pylist())
+                n = n + 1
+                ended = np.full(len(ids) + len(n), end_id, "<u4")
+                inside = np.ones(len(ended), bool)
+                inside[np.cumsum(n) - 1] = False
+                ended[inside] = ids
+                doc_ids += some.column(0).to_pylist()
+                parts.append(ended)
+                sizes.append(n)
+                total += len(ended)
+                if total >= FILE_IDS:
+                    yield flush()
+                    doc_ids, parts, sizes, total, number = [], [], [], 0, number + 1
         if doc_ids:
             yield flush()
 
@@ -279,7 +337,8 @@ def read_tokens(files: DataFrame, path: str) -> DataFrame:
                     ], pa.int64()),
                 ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.repartition(F.col("path"))
+    # A stated number of tasks, since Spark would merge so few and so short rows into one.
+    spread = placed.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from edgeloom.llm import token_files
 from edgeloom.llm.queries import QUERIES
+from edgeloom.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
@@ -82,6 +83,34 @@ def test_awkward_rows_and_many_small_files(spark, monkeypatch):
     assert token_files.token_report(frame(spark, []), PATH).collect() == []
 
 
+def test_repeated_ids(spark):
+    """Rows of one id follow each other, each with its own text."""
+    rows = [(8, "one text"), (8, "another  text"), (8, "one text"), (7, None), (9, "x")]
+    found = rows_of(token_files.token_report(frame(spark, rows), PATH))
+    own = {t: np.array([*PLAIN.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for _, t in rows}
+    expected = sorted((d, len(own[t]), zlib.crc32(own[t].tobytes())) for d, t in rows)
+    assert sorted((d, n, crc) for d, _, n, crc in found) == expected
+    spans = sorted((s, s + n, d) for d, s, n, _ in found)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert [d for *_, d in spans] == [7, 8, 8, 8, 9]
+
+
+def test_files_are_read_in_many_tasks(spark):
+    path = scratch_path(spark, "token-test")
+    files = token_files.write_tokens(frame(spark, [(i, f"text {i}") for i in range(50)]), PATH, path)
+    read = token_files.read_tokens(files, path)
+    assert read.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert read.count() == 50
+
+
+def test_very_long_texts(spark):
+    rng = np.random.default_rng(4)
+    words = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, 900_000)), "x" * 1_000_000, " \n".join(rng.choice(words, 200_000))]
+    rows = list(enumerate(texts))
+    assert rows_of(token_files.token_report(frame(spark, rows), PATH)) == brute(rows)
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 7)
     encoder = token_files.PieceEncoder(PATH)
