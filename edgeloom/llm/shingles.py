@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Odd multipliers; any would do.
@@ -31,3 +35,37 @@ def run_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     for i in range(1, width):
         total = mixed(total) * _STEP + hashes[i:i + n]
     return mixed(total)
+
+
+def text_slices(texts: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """First and end row of slices of a column of texts, of about ``size`` bytes each."""
+    n = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(n) - n) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(n)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
+def column_bytes(column: pa.LargeStringArray) -> list[bytes]:
+    """The bytes of a column without nulls, sooner than by way of its own scalars."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of all texts one after the other, and the number of words of each.
+
+    Words are cut and numbered in Arrow, and each different one is hashed once. No text is
+    taken apart in Python, so a very long one costs little more than its words.
+    """
+    # Taken row by row: Arrow lower-cases a slice of a column wrongly.
+    texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    cut = lists.flatten().dictionary_encode()
+    known = word_hashes(column_bytes(cut.dictionary))
+    # White space at either end of a text leaves an empty piece there.
+    code = cut.indices.to_numpy()
+    kept = pc.binary_length(cut.dictionary).to_numpy(zero_copy_only=False)[code] > 0
+    ends = np.append(0, np.cumsum(kept))[np.cumsum(pc.list_value_length(lists).to_numpy())]
+    return known[code[kept]], np.diff(np.append(0, ends))

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeloom.llm.shingles import mixed, run_hashes, word_hashes
+from edgeloom.llm.shingles import hashed_words, mixed, run_hashes, text_slices
 from edgeloom.llm.tables import text_bytes, word_lists, written
 
 WINDOW = 13
@@ -53,12 +53,11 @@ BASE = 0xD1B54A32D192ED03
 
 # ------------------------------------------------------------------------ pieces
 
-def _hashes(text: bytes) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.uint64), *map(word_hashes, word_lists(text))])
+def pieces_of(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first word and number of words of each piece of some texts.
 
-
-def pieces_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first word and number of words of each piece of a text, given its words' hashes."""
+    ``hashes`` are the texts' words one after the other, ``lengths`` how many each has.
+    """
     grams = run_hashes(hashes, Q)
     n = len(grams) - INSIDE + 1
     if n < 1:
@@ -66,10 +65,14 @@ def pieces_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     least = grams[:n].copy()
     for i in range(1, INSIDE):
         np.minimum(least, grams[i:i + n], out=least)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    inside = text[:n] == text[WINDOW - 1:]
     # The next window has another anchor if a smaller hash enters or the anchor leaves.
-    moved = (least[1:] != least[:-1]) | (grams[:n - 1] == least[:-1])
-    first = np.append(0, np.flatnonzero(moved) + 1)
-    return least[first], first, np.diff(np.append(first, n)) + WINDOW - 1
+    new = np.ones(n, bool)
+    new[1:] = (least[1:] != least[:-1]) | (grams[:n - 1] == least[:-1]) | (text[1:n] != text[:n - 1])
+    first = np.flatnonzero(new & inside)
+    ends = np.append(np.flatnonzero(new | ~inside), n)
+    return least[first], first, ends[np.searchsorted(ends, first, "right")] - first + WINDOW - 1
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -124,20 +127,17 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     What an earlier document of the batch has is a mark.
     """
     for batch in batches:
-        rows, anchors, contents, starts, sizes = [], [], [], [], []
-        for i, text in enumerate(text_bytes(batch.column("text"))):
-            hashes = _hashes(text)
-            anchor, start, size = pieces_of(hashes)
-            rows.append(np.full(len(start), i))
-            anchors.append(anchor)
-            starts.append(start)
-            sizes.append(size)
-            contents.append(stretch_hashes(hashes, start, size))
-        if not rows:
+        found = []
+        for begin, end in text_slices(batch.column("text")):
+            hashes, lengths = hashed_words(batch.column("text").slice(begin, end - begin))
+            anchor, start, size = pieces_of(hashes, lengths)
+            ends = np.cumsum(lengths)
+            row = np.searchsorted(ends, start, "right")
+            content = stretch_hashes(hashes, start, size)
+            found.append((begin + row, anchor, content, start - (ends - lengths)[row], size))
+        if not found:
             continue
-        row, anchor, content, start, size = map(
-            np.concatenate, (rows, anchors, contents, starts, sizes)
-        )
+        row, anchor, content, start, size = map(np.concatenate, zip(*found))
         if not len(row):
             continue
         place = _places(batch.column("doc_id").to_pylist())[row]
@@ -330,13 +330,13 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
     for batch in batches:
         ids, ties, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "tie", "wanted"))
-        texts, places = text_bytes(batch.column("text")), _places(ids)
+        places = _places(ids)
         first: dict[bytes, int] = {}
         rows: list[tuple] = []
         for i in np.argsort(places, kind="stable").tolist():
             if not wanted[i]:
                 continue
-            hashes = _hashes(texts[i])
+            hashes, _ = hashed_words(batch.column("text").slice(i, 1))
             windows = None
             singles: dict[tuple[int, bytes], list[int]] = {}
             for piece in wanted[i]:
