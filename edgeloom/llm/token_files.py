@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from edgeloom.llm.shingles import column_bytes
 from edgeloom.llm.tables import written
 from edgeloom.session import scratch_path
 
@@ -45,9 +46,9 @@ BLOCK = 4096
 #: Ids after which a file ends with the current document.
 FILE_IDS = 1 << 22
 #: Pieces of text in each of the two generations that a worker remembers, and their most letters.
-REMEMBERED, LONG_PIECE = 1 << 17, 64
+REMEMBERED, LONG_PIECE = 1 << 18, 64
 #: Letters of the texts that are encoded at a time, the last one aside.
-AT_A_TIME = 1 << 21
+AT_A_TIME = 1 << 23
 
 
 # --------------------------------------------------------------------- packing
@@ -128,17 +129,19 @@ class TokenFile:
 class PieceEncoder:
     """Ids of whole texts, asking the tokenizer once per piece of text.
 
-    A piece runs up to a blank or line feed that follows no other white space. The
-    vocabulary's own rule for cutting texts always cuts there and looks no further
-    back, so pieces give the ids of the whole text; natural text repeats most of its
-    pieces. Texts are cut and their pieces numbered in Arrow, each different piece is
-    looked up once per call, and the ids are gathered by the pieces' numbers. Short pieces
-    met lately are remembered in two generations: the older one goes when the younger is full,
-    and pieces met again move to the younger.
+    A piece runs up to a blank or line feed that follows no other white space, or up to a
+    common mark behind a letter or digit. The vocabulary's own rule for cutting texts always
+    cuts there and looks no further back, so pieces give the ids of the whole text; natural
+    text repeats most of its pieces. Texts are cut and their pieces numbered in Arrow, each
+    different piece is looked up once per call, and the ids are gathered by the pieces' numbers.
+    Short pieces met lately are remembered in two generations: the older one goes when the
+    younger is full, and pieces met again move to the younger.
     """
 
-    _BEHIND_SPACE = re.compile(r"\s[ \n]")
+    _BEHIND_SPACE = re.compile(r"\s[ \n]|\x01")
     _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+    #: Where a piece ends before marks; what follows is told by a character of its own.
+    _MARKS, _MARKED = r"([\pL\pN])([.,;:!?]+)", "\\1 \x01\\2"
 
     def __init__(self, path: str):
         # Spark has a task on every core already.
@@ -151,22 +154,22 @@ class PieceEncoder:
 
     def _looked_up(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; ``pieces`` should differ."""
-        found = [self._young.get(p) for p in pieces]
-        ask = []
-        for i, ids in enumerate(found):
-            if ids is not None:
-                continue
+        found = list(map(self._young.get, pieces))
+        ask, tokenize = [], self._model.tokenize
+        for i in [i for i, ids in enumerate(found) if ids is None]:
             piece = pieces[i]
-            if known := self._old.get(piece):
-                self._remember(piece, known)
-                found[i] = known
-            elif piece[:1] == " " and piece[1:].isalpha():
+            if (ids := self._old.get(piece)) is None:
+                if piece[:1] != " " or not piece[1:].isalpha():
+                    ask.append(i)
+                    continue
                 # Letters behind a blank are one word of the vocabulary's rule.
-                word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                found[i] = _four_bytes([t.id for t in self._model.tokenize(word)])
-                self._remember(piece, found[i])
-            else:
-                ask.append(i)
+                if piece.isascii():
+                    word = _BLANK + piece[1:]
+                else:
+                    word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = _four_bytes([t.id for t in tokenize(word)])
+            found[i] = ids
+            self._remember(piece, ids)
         if ask:
             told = self._tokenizer.encode_batch_fast([pieces[i] for i in ask], add_special_tokens=False)
             for i, e in zip(ask, told):
@@ -188,14 +191,15 @@ class PieceEncoder:
         plain = [t.replace("\n", " \n") for t in texts]
         for i in odd:
             plain[i] = ""
-        lists = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        marked = pc.replace_substring_regex(pa.array(plain, pa.large_string()), self._MARKS, self._MARKED)
+        lists = pc.split_pattern(marked, " ")
         cut, first = lists.values.dictionary_encode(), lists.offsets.to_numpy()[:-1]
         code = cut.indices.to_numpy().astype(np.int64)
         later = np.ones(len(code), bool)
         later[first] = False
         seen = np.flatnonzero(np.bincount(code[later], minlength=len(cut.dictionary)))
-        values = cut.dictionary.take(pa.array(seen)).to_pylist()
-        known = self._looked_up([v if v[:1] == "\n" else " " + v for v in values])
+        values = [v.decode() for v in column_bytes(cut.dictionary.take(pa.array(seen)))]
+        known = self._looked_up([_piece(v) for v in values])
         heads = self._looked_up(cut.dictionary.take(pa.array(code[first])).to_pylist())
         for i in odd:
             pieces = self._CUT.split(texts[i])
@@ -231,10 +235,19 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_BLANK = _BYTE_LETTERS[ord(" ")]
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 def _four_bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _piece(cut: str) -> str:
+    """A piece as the text has it: behind a blank, a line feed or, told apart by its sign, a letter."""
+    if cut[:1] == "\x01":
+        return cut[1:]
+    return cut if cut[:1] == "\n" else " " + cut
 
 
 @cache
