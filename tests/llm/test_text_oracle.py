@@ -23,6 +23,6 @@ def test_query_matches_sql(spark, name):
     assert expected
 
 
-def test_all_ten_are_registered():
+def test_all_thirteen_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11)) and set(ORACLE) < set(QUERIES)
+    assert numbers == set(range(1, 14)) and set(ORACLE) < set(QUERIES)
