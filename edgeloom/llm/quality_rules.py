@@ -288,18 +288,18 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents of ``docs`` that base rules and learned list keep, columns as they are."""
-    labelled = docs.select("doc_id", "text").join(
-        labels.select("doc_id").distinct(), "doc_id", "left_semi"
-    )
-    rules = learn_rules(
-        labelled_counts(base_counts(labelled).drop("text"), labels).where(~base_failed())
-    )
+    """The documents of ``docs`` that base rules and learned list keep, columns as they are.
+
+    Texts are counted once, where they lie, and written with their counts. Only ids and
+    counts meet the labels; the kept texts are read again. No text is shuffled.
+    """
     own = {c: free_name(f"own_{i}", COUNTS) for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[
         F.col(f"`{c.replace('`', '``')}`").alias(own[c]) for c in docs.columns
     ])
-    counted = base_counts(renamed, own["text"])
+    counted = written(base_counts(renamed, own["text"]), "quality-counted")
+    counts = counted.select(F.col(own["doc_id"]).alias("doc_id"), *COUNTS, "n_lines", "n_upper")
+    rules = learn_rules(labelled_counts(counts, labels).where(~base_failed()))
     return counted.where(~base_failed() & verdict(rules)).select(
         *[F.col(own[c]).alias(c) for c in docs.columns]
     )

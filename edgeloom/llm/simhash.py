@@ -154,20 +154,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component stays: the one of smallest id, then of smallest text hash.
 
-    Ids come before null ids. Of rows that repeat an id and its text one stays.
-    The text moves once, to meet the ids that stay.
+    Ids come before null ids. Of rows that repeat an id and its text one stays. The text
+    moves once, to meet the ids that go; only rows that are repeated move again.
     """
     mark = free_name("hash", docs.columns)
-    keyed = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
-    sketch = written(fingerprints(keyed, ["doc_id", mark]), "simhash-sketch")
-    place = F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
-        F.col(mark).alias("hash"),
+    identity = F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    keyed = docs.withColumn(mark, identity)
+    sketch = written(fingerprints(keyed, [mark]).withColumnRenamed(mark, "mark"), "simhash-sketch")
+    place = F.struct(F.col("mark.doc_id").isNull().alias("none"), F.col("mark").alias("mark"))
+    stays = components(sketch, place).select("fp", F.col("first.mark").alias("stays"))
+    gone = written(
+        sketch.join(stays, "fp").where("mark <> stays").select(F.col("mark").alias(mark)).distinct(),
+        "simhash-gone",
     )
-    keep = components(sketch, place).select("first.id", "first.hash").distinct()
-    kept = keyed.join(
-        keep,
-        keyed["doc_id"].eqNullSafe(keep["id"]) & keyed[mark].eqNullSafe(keep["hash"]),
-        "left_semi",
+    kept = keyed.join(gone, mark, "left_anti")
+    repeated = written(
+        sketch.groupBy("mark").agg(F.count("*").alias("rows")).where("rows > 1")
+        .select(F.col("mark").alias(mark)), "simhash-repeated",
     )
-    return kept.dropDuplicates(["doc_id", mark]).drop(mark)
+    if not repeated.isEmpty():
+        once = kept.join(repeated, mark, "left_semi").dropDuplicates([mark])
+        kept = kept.join(repeated, mark, "left_anti").unionByName(once)
+    return kept.select(docs.columns)
