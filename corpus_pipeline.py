@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeloom.llm import decontaminate, mixing, near_copies, quality_rules, sharding
+from edgeloom.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from edgeloom.llm.tables import table, written
 
 SHARDS = 8
@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word similarity 0.8) the document of smallest id stays."""
-    return near_copies.drop_near_copies(docs)
+    """Of each group of near copies (fingerprints at most 2 bits apart) the document of smallest id stays."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
