@@ -141,7 +141,11 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(row):
             continue
         place = _places(batch.column("doc_id").to_pylist())[row]
-        order = np.lexsort((start, row, place, content, anchor))
+        # Together by what they are; in a stable order, so by id and place within that.
+        order = np.argsort(mixed(anchor) ^ content, kind="stable")
+        if (np.diff(place) < 0).any():
+            by_place = np.argsort(place, kind="stable")
+            order = by_place[np.argsort((mixed(anchor) ^ content)[by_place], kind="stable")]
         row, anchor, content, start, size, place = (
             x[order] for x in (row, anchor, content, start, size, place)
         )
@@ -316,6 +320,13 @@ def _counted(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _each_text(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The words' hashes of each text."""
+    for begin, end in text_slices(texts):
+        hashes, lengths = hashed_words(texts.slice(begin, end - begin))
+        yield from np.split(hashes, np.cumsum(lengths)[:-1])
+
+
 _DEALT = "key long, doc_id long, tie int, starts array<int>, words binary"
 _MARKS = "doc_id long, tie int, start int, end int"
 
@@ -329,16 +340,16 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _DEALT.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
     for batch in batches:
+        places = _places(batch.column("doc_id").to_pylist())
+        order = np.argsort(places, kind="stable")
+        needed = pc.is_valid(batch.column("wanted")).to_numpy(zero_copy_only=False)[order]
+        order = order[needed]
+        batch, places = batch.take(pa.array(order)), places[order]
         ids, ties, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "tie", "wanted"))
-        places = _places(ids)
         first: dict[bytes, int] = {}
         rows: list[tuple] = []
-        for i in np.argsort(places, kind="stable").tolist():
-            if not wanted[i]:
-                continue
-            hashes, _ = hashed_words(batch.column("text").slice(i, 1))
-            windows = None
-            singles: dict[tuple[int, bytes], list[int]] = {}
+        for i, hashes in enumerate(_each_text(batch.column("text"))):
+            windows, singles = None, {}
             for piece in wanted[i]:
                 start = piece["starts"][0]
                 if not piece["crowded"]:
