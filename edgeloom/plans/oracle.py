@@ -173,10 +173,19 @@ ORACLE: dict[str, str] = {
     "ledger_total": _EVENT_TOTAL,
     "ledger_counted": "SELECT CAST(COUNT(*) + 2 AS BIGINT) AS value FROM events",
     "ledger_running": _RUNNING,
+    "ledger_increments": """
+SELECT CAST(part + 1 AS INTEGER) AS parts, CAST(SUM(n) OVER (ORDER BY part) AS BIGINT) AS value
+FROM (SELECT event_id % 4 AS part, COUNT(*) AS n FROM events GROUP BY part)""",
     "stream_total": _EVENT_TOTAL,
+    "stream_snapshots": """
+SELECT batch, CAST(SUM(n) OVER (ORDER BY batch) AS BIGINT) AS total
+FROM (SELECT date_diff('microsecond', first, ts) // (7 * 24 * 3600 * 1000000) AS batch, COUNT(*) AS n
+      FROM events, (SELECT MIN(ts) AS first FROM events) GROUP BY batch)""",
     "missing_items": EDGE_TABLES + """
 SELECT DISTINCT o_orderkey AS item FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM retweet WHERE tweeted = o_orderkey)""",
+    "missing_items_filtered": EDGE_TABLES + """
+SELECT DISTINCT o_orderkey AS item FROM orders ANTI JOIN retweet ON tweeted = o_orderkey""",
     "missing_items_forced": "SELECT DISTINCT o_orderkey AS item FROM orders",
     "lineage_latency": _LATENCY,
     "lineage_latency_report":
@@ -190,6 +199,10 @@ SELECT * FROM
     "impact_two_hop": """
 SELECT DISTINCT o_custkey AS source, l_partkey AS target
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "impact_reach": """
+SELECT a.l_suppkey AS source, COUNT(DISTINCT b.l_orderkey) AS reached
+FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) AS a
+JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) AS b USING (l_partkey) GROUP BY a.l_suppkey""",
     "stream_latency_complete": _LATENCY,
     # Final runs only: those the watermark (slower stream, one day back) has
     # passed by the whole wait. The rest is still open when the input ends.

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from edgeloom.plans import analysis_job, sql_queries
 from edgeloom.session import scratch_path
 from edgeloom.sources import edges, star
 from edgeloom.sources import ledger as ledger_tables
-from edgeloom.streaming.ledger import stream_total
-from edgeloom.streaming.lineage import stream_latency
+from edgeloom.streaming.ledger import append_snapshots, stream_total
+from edgeloom.streaming.lineage import stream_latency_timed
 from edgeloom.streaming.sources import (
     Drained,
     drain,
@@ -27,8 +28,15 @@ from edgeloom.streaming.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR_SECONDS = 3600
-# Files per stream and micro-batches of the registered streaming join.
-STREAM_SLICES = 7
+# Rows of both streams that a micro-batch of the registered latency stream takes at least.
+BATCH_ROWS = 100_000
+STREAM_BUCKETS = 16
+LEDGER_PARTS = 4
+SNAPSHOT_SECONDS = 7 * 24 * 3600.0
+#: Low, so that the tables' parts lie on both sides of it.
+REACH_HUB_PAIRS = 900
+#: Bits of the filter that landed items pass before they are compared.
+LANDED_FILTER_BITS = 20
 THIRTY_DAYS_SECONDS = 30 * 24 * 3600.0
 
 
@@ -120,16 +128,44 @@ def _ledger_total(spark: SparkSession, sf_dir: str, literals: int = 0) -> DataFr
     return spark.read.schema(schema).parquet(f"{base}/sums")
 
 
+def _ledger_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' counts appended in four parts, the total after each: ``parts, value``.
+
+    Every total but the first is carried on from the one before.
+    """
+    base = scratch_path(spark, "ledger")
+    suffix = base[-32:]
+    counts, sums, marks = (f"{name}_{suffix}" for name in ("counts", "sums", "marks"))
+    events = star.table(spark, sf_dir, "events")
+    part = F.pmod(F.col("event_id"), F.lit(LEDGER_PARTS))
+    snapshots = []
+    try:
+        ledger_tables.create_counts(spark, counts, f"{base}/counts")
+        ledger_tables.create_marks(spark, marks, f"{base}/marks")
+        for i in range(LEDGER_PARTS):
+            sums_i, place = f"{sums}_{i}", f"{base}/sums/parts={i + 1}"
+            ledger_tables.create_sums(spark, sums_i, place)
+            snapshots.append(sums_i)
+            ledger_tables.append_counts(_counts(events.where(part == i)), counts)
+            ledger_tables.append_total(spark, counts, sums_i, marks)
+    finally:
+        for name in (counts, marks, *snapshots):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.schema("parts int, value bigint").parquet(f"{base}/sums").select("parts", "value")
+
+
 def _ledger_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _counts(star.table(spark, sf_dir, "events"))
     return ledger.running_totals(counts, "ts", "value", HOUR_SECONDS, chunk_ticks=24)
 
 
-def _missing_items(spark: SparkSession, sf_dir: str, force: bool = False) -> DataFrame:
+def _missing_items(
+    spark: SparkSession, sf_dir: str, force: bool = False, filter_bits: int | None = None
+) -> DataFrame:
     """Orders of which no line was returned (landed = orders with a retweet edge)."""
     expected = star.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("item"))
     landed = star.StarEdgeTables(spark, sf_dir).retweet.select(F.col("tweeted").alias("item"))
-    return reconcile.missing_items(expected, landed, ["item"], force=force)
+    return reconcile.missing_items(expected, landed, ["item"], force=force, filter_bits=filter_bits)
 
 
 def _latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +190,17 @@ def _impact_two_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     contains = star.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("source"), F.col("l_partkey").alias("target")
     )
-    return lineage.two_hop_impact(placed, contains)
+    # An order has one customer, and lines of one part twice are few: pairs are made
+    # distinct behind the join alone.
+    return lineage.two_hop_impact(placed, contains, distinct_edges=True)
+
+
+def _impact_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many orders each supplier reaches by way of the parts it supplied, also for others."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    supplied = lines.selectExpr("l_suppkey AS source", "l_partkey AS target")
+    ordered = lines.selectExpr("l_partkey AS source", "l_orderkey AS target")
+    return lineage.two_hop_reach_exact(supplied, ordered, hub_pairs=REACH_HUB_PAIRS)
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,30 +211,47 @@ def _stream_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_complete(stream_total(_counts(_stream(spark, sf_dir, "events"))), "stream-total")
 
 
-def time_slices(spark: SparkSession, sf_dir: str, slices: int = STREAM_SLICES) -> tuple[str, str]:
-    """Both streams' tables landed slice by slice in the order of time, cut at the same times."""
+def _stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' counts landed in slices of a week, and the total after each of them."""
+    base = scratch_path(spark, "stream-snapshots")
+    counts = _counts(star.table(spark, sf_dir, "events"))
+    span = counts.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    first = span["first"] or datetime(1970, 1, 1)
+    seconds = (span["last"] - first).total_seconds() if span["first"] else 0
+    land_in_order(counts, f"{base}/counts", "ts", first, SNAPSHOT_SECONDS, int(seconds // SNAPSHOT_SECONDS) + 1)
+    stream = parquet_stream(spark, f"{base}/counts", files_per_trigger=1, schema="ts timestamp_ntz, value int")
+    return append_snapshots(stream, f"{base}/snapshots", f"{base}/checkpoint")
+
+
+def time_slices(spark: SparkSession, sf_dir: str, batch_rows: int = BATCH_ROWS) -> tuple[str, str]:
+    """Both streams' tables landed in slices of time, cut at the same times.
+
+    A slice is as wide as the wait, or as so many waits as make up ``batch_rows`` on average:
+    a micro-batch takes one of each stream, and state holds what the last one left open.
+    """
     base = scratch_path(spark, "time-slices")
     runs = star.runs(star.table(spark, sf_dir, "orders"))
     arrivals = star.arrivals(star.table(spark, sf_dir, "lineitem"))
-    span = runs.agg(F.min("started_at").alias("first"), F.max("started_at").alias("last")).first()
-    bounds = []
-    if span["first"] is not None:
-        step = (span["last"] - span["first"]) / slices
-        bounds = [span["first"] + step * i for i in range(1, slices)]
+    both = runs.selectExpr("started_at AS at").union(arrivals.selectExpr("arrived_at"))
+    span = both.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("rows")).first()
+    first = span["first"] or datetime(1970, 1, 1)
+    seconds = (span["last"] - first).total_seconds() if span["first"] else 0
+    slices = max(1, min(ceil(seconds / THIRTY_DAYS_SECONDS), span["rows"] // batch_rows))
+    width = ceil(seconds / slices / THIRTY_DAYS_SECONDS) * THIRTY_DAYS_SECONDS or THIRTY_DAYS_SECONDS
     edges.together(
         spark,
-        lambda side: land_in_order(side[0], f"{base}/{side[2]}", side[1], bounds),
+        lambda side: land_in_order(side[0], f"{base}/{side[2]}", side[1], first, width, slices),
         [(runs, "started_at", "runs"), (arrivals, "arrived_at", "arrivals")],
     )
     return f"{base}/runs", f"{base}/arrivals"
 
 
-def _drained_latency(spark: SparkSession, sf_dir: str) -> Drained:
-    runs, arrivals = time_slices(spark, sf_dir)
-    final = stream_latency(
+def _drained_latency(spark: SparkSession, sf_dir: str, batch_rows: int = BATCH_ROWS) -> Drained:
+    runs, arrivals = time_slices(spark, sf_dir, batch_rows)
+    final = stream_latency_timed(
         parquet_stream(spark, runs, files_per_trigger=1),
         parquet_stream(spark, arrivals, files_per_trigger=1),
-        max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day",
+        max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day", buckets=STREAM_BUCKETS,
     )
     return drain(final, "stream-latency")
 
@@ -243,10 +306,15 @@ QUERIES: dict[str, Query] = {
     "ledger_total": _ledger_total,
     "ledger_counted": lambda spark, sf_dir: _ledger_total(spark, sf_dir, literals=2),
     "ledger_running": _ledger_running,
+    "ledger_increments": _ledger_increments,
     "stream_total": _stream_total,
+    "stream_snapshots": _stream_snapshots,
     # Reconciliation
     "missing_items": _missing_items,
     "missing_items_forced": lambda spark, sf_dir: _missing_items(spark, sf_dir, force=True),
+    "missing_items_filtered": lambda spark, sf_dir: _missing_items(
+        spark, sf_dir, filter_bits=LANDED_FILTER_BITS
+    ),
     # Lineage
     "lineage_latency": _latencies,
     "lineage_latency_report": lambda spark, sf_dir: lineage.latency_report(
@@ -260,6 +328,7 @@ QUERIES: dict[str, Query] = {
     ),
     "run_duration": _run_duration,
     "impact_two_hop": _impact_two_hop,
+    "impact_reach": _impact_reach,
     "stream_latency": _stream_latency,
     "stream_latency_complete": _stream_latency_complete,
 }

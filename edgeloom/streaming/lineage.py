@@ -1,12 +1,16 @@
-"""Arrival latency as a stream-stream join."""
+"""Arrival latency of streams: a stateful operator with event-time timers, and a stream-stream join."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from edgeloom.functions.measures import micros, micros_to_ms, slot_of, to_micros
 from edgeloom.operators.lineage import MAX_WAIT_SECONDS
@@ -80,3 +84,124 @@ def stream_latency(
         *keys, started, arrived,
         latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
     )
+
+
+#: Earliest arrival of a run that has none yet.
+NEVER = np.iinfo(np.int64).max
+
+
+def stream_latency_timed(
+    runs: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str] = ("run_id",),
+    started: str = "started_at",
+    arrived: str = "arrived_at",
+    max_wait: float = MAX_WAIT_SECONDS,
+    allowed_delay: str = "1 minute",
+    buckets: int = 64,
+) -> DataFrame:
+    """What ``stream_latency`` gives, from a state of one start and one arrival per open run.
+
+    Both streams are one, dealt out by a hash of the keys into ``buckets``, each with a timer
+    in event time. A bucket's state is a small table: of every open run its start and its
+    earliest arrival so far; and the arrivals that no start explains yet, until the
+    watermark has passed them, since from then on no start can. Later arrivals of an open
+    run are forgotten at once. The timer goes off when the watermark passes the first start
+    plus ``max_wait``; a run whose time has come is emitted and forgotten.
+
+    A bucket is worked on as a whole, by columns, once per micro-batch in which it has rows or
+    its time has come. Choose ``buckets`` so that the open runs of one fit a task; the number is
+    part of the checkpoint. As in ``arrival_latency`` a run that is given several starts
+    while it is open counts from the first. Runs without a start are left out, and so are
+    events without a time; runs and events with a null key do not meet. Keys may be of any
+    type whose text can be cast back. All events of one run go through one bucket: where one run
+    may hold a large part of all events, ``stream_latency`` with ``salts`` spreads them.
+    """
+    wait = to_micros(max_wait)
+    kinds = dict(runs.select(*keys).dtypes)
+    names = [f"key_{i}" for i in range(len(keys))]
+
+    def timed(stream: DataFrame, column: str, start: bool) -> DataFrame:
+        return stream.where(F.col(column).isNotNull()).select(
+            *[F.col(k).cast("string").alias(n) for k, n in zip(keys, names)],
+            F.col(column).cast("timestamp").alias("time"), F.lit(start).alias("start"),
+        ).withWatermark("time", allowed_delay).withColumn("us", micros(F.col("time")))
+
+    known = events.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    both = timed(runs, started, True).union(timed(known, arrived, False)).withColumn(
+        "bucket", F.pmod(F.xxhash64(*names), F.lit(buckets))
+    )
+    columns = ", ".join(f"{n} string" for n in names) + ", started bigint, arrived bigint"
+    settled = both.groupBy("bucket").applyInPandasWithState(
+        _bucket(names, wait), columns, "open binary", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    latency = F.col("arrived") - F.col("started")
+    return settled.select(
+        *[F.col(n).cast(kinds[k]).alias(k) for k, n in zip(keys, names)],
+        F.timestamp_micros("started").alias(started), F.timestamp_micros("arrived").alias(arrived),
+        latency.alias("latency_us"), micros_to_ms(latency).alias("latency_ms"),
+    )
+
+
+def earliest_arrivals(
+    open_runs: pd.DataFrame, loose: pd.DataFrame, keys: list[str], wait: int
+) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Open runs (``keys, started, arrived``), one row each, and the arrivals that concern none.
+
+    ``loose`` has ``keys, us``. A run's start is its first; its earliest arrival is the first
+    one from then on, if within the wait. Arrivals from a run's start on are used up, earlier
+    ones stay loose.
+    """
+    whole = open_runs.dropna(subset=keys)
+    others = open_runs[open_runs[keys].isna().any(axis=1)]
+    first = whole.groupby(keys, as_index=False, sort=False)["started"].min()
+    # An arrival known under a later start is an arrival like any other.
+    known = whole.loc[whole["arrived"] != NEVER, [*keys, "arrived"]].rename(columns={"arrived": "us"})
+    # Whole numbers throughout: microseconds are beyond what floating ones hold for sure.
+    at = first.assign(started=first["started"].astype("Int64"))
+    met = pd.concat([loose, known]).merge(at, on=keys, how="left")
+    used = (met["us"] >= met["started"]).fillna(False).astype(bool)
+    inside = met[used & (met["us"] < met["started"] + wait).fillna(False).astype(bool)]
+    found = inside.groupby(keys, as_index=False, sort=False)["us"].min()
+    found["us"] = found["us"].astype("Int64")
+    first = first.merge(found, on=keys, how="left")
+    first["arrived"] = first.pop("us").astype("Int64").fillna(NEVER).astype("int64")
+    return pd.concat([first, others]), met.loc[~used, [*keys, "us"]]
+
+
+def _bucket(keys: list[str], wait: int):
+    def update(_, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs() * 1000
+        open_runs = pd.DataFrame({**{k: pd.Series(dtype=object) for k in keys},
+                                  "started": pd.Series(dtype="int64"), "arrived": pd.Series(dtype="int64")})
+        loose = open_runs[keys].assign(us=pd.Series(dtype="int64"))
+        if state.exists:
+            held = pa.ipc.open_stream(state.get[0]).read_all().to_pandas()
+            is_run = held["started"] != NEVER
+            open_runs = held[is_run]
+            loose = held.loc[~is_run, [*keys, "arrived"]].rename(columns={"arrived": "us"})
+        for part in rows:
+            starts = part.loc[part["start"], [*keys, "us"]].rename(columns={"us": "started"})
+            open_runs = pd.concat([open_runs, starts.assign(arrived=NEVER)])
+            loose = pd.concat([loose, part.loc[~part["start"], [*keys, "us"]]])
+            # Also between parts, so that a busy run's events are not gathered.
+            open_runs, loose = earliest_arrivals(open_runs, loose, keys, wait)
+        over = open_runs["started"] + wait <= watermark
+        final, open_runs = open_runs[over], open_runs[~over]
+        loose = loose[loose["us"] >= watermark]
+        kept = pd.concat([open_runs, loose.rename(columns={"us": "arrived"}).assign(started=NEVER)])
+        if len(kept):
+            table = pa.Table.from_pandas(kept[[*keys, "started", "arrived"]], schema=pa.schema(
+                [(k, pa.string()) for k in keys] + [("started", pa.int64()), ("arrived", pa.int64())]
+            ), preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_table(table)
+            state.update((sink.getvalue().to_pybytes(),))
+            due = open_runs["started"].min() + wait if len(open_runs) else loose["us"].max() + 1000
+            state.setTimeoutTimestamp(max(int(-(-due // 1000)), watermark // 1000 + 1))
+        elif state.exists:
+            state.remove()
+        if len(final):
+            yield final.assign(arrived=final["arrived"].where(final["arrived"] != NEVER).astype("Int64"))
+    return update

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edgeloom.functions.measures import MICROS_PER_SECOND, micros
 from edgeloom.session import scratch_path
 
 
@@ -42,20 +43,40 @@ def parquet_stream(
     return reader.parquet(f"{folder}{slash}[{name[0]}]{name[1:]}")
 
 
-def land_in_order(frame: DataFrame, path: str, time: str, bounds: Sequence[object]) -> None:
-    """Writes ``frame`` below ``path`` as one file per slice of ``time``, one after the other.
+def land_in_order(frame: DataFrame, path: str, time: str, first: object, width: float, slices: int) -> None:
+    """Lands ``frame`` in the folder ``path`` as a file per slice of ``time``, written in one pass.
 
-    A file stream takes files in the order they landed, so it meets the slices in the
-    order of time and its watermark moves from one to the next. ``bounds`` are the
-    ascending upper ends of all slices but the last; rows without a time come last.
+    Slices are ``width`` seconds wide and counted from ``first``; what lies before or behind
+    them goes to the first or last one, rows without a time to the last. One shuffle deals the
+    slices out to as many tasks, which write beside ``path``; whole files are then moved there.
+    A file stream takes files in the order of their modification times, so these are set to
+    follow each other as the slices do; the store has to support that, as HDFS and local folders do.
     """
-    low = None
-    for high in (*bounds, None):
-        kept = F.lit(True) if low is None else F.coalesce(F.col(time) >= F.lit(low), F.lit(True))
-        if high is not None:
-            kept = kept & F.coalesce(F.col(time) < F.lit(high), F.lit(False))
-        frame.where(kept).coalesce(1).write.mode("append").parquet(path)
-        low = high
+    spark = frame.sparkSession
+    since = (micros(F.col(time)) - micros(F.lit(first))) / F.lit(width * MICROS_PER_SECOND)
+    number = F.least(F.greatest(F.floor(since), F.lit(0)), F.lit(slices - 1))
+    column = free_column("slice", frame.columns)
+    # A stated number of tasks, which adaptive execution leaves as it is.
+    frame.withColumn(column, F.coalesce(number, F.lit(slices - 1)).cast("int")).repartition(
+        slices, column
+    ).write.partitionBy(column).parquet(f"{path}-slices")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(path))
+    begun = system.getFileStatus(hadoop.Path(path)).getModificationTime() - 1000 * (slices + 1)
+    for status in system.globStatus(hadoop.Path(f"{path}-slices/{column}=*/*.parquet")):
+        number = int(status.getPath().getParent().getName().partition("=")[2])
+        landed = hadoop.Path(f"{path}/{number:06d}-{status.getPath().getName()}")
+        system.setTimes(status.getPath(), begun + 1000 * number, -1)
+        system.rename(status.getPath(), landed)
+
+
+def free_column(stem: str, taken: Sequence[str]) -> str:
+    """``stem``, with as many underscores as set it apart from all columns."""
+    used = {c.lower() for c in taken}
+    while stem.lower() in used:
+        stem += "_"
+    return stem
 
 
 @dataclass(frozen=True)

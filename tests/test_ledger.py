@@ -1,7 +1,9 @@
+import os
 import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 
 from edgeloom.operators import ledger as totals
 from edgeloom.sources import ledger
@@ -72,3 +74,61 @@ def test_running_totals_before_1970(spark):
 def test_running_totals_of_nothing(spark):
     frame = spark.createDataFrame([], "ts timestamp, value int")
     assert totals.running_totals(frame, "ts", "value", 60).collect() == []
+
+
+def files_read(frame):
+    """Files that the frame's scan opens."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    return int(plan.collectLeaves().head().metrics().apply("numFiles").value())
+
+
+def test_a_total_reads_only_what_has_landed_since(spark, tmp_path):
+    ledger.create_counts(spark, "i_counts", str(tmp_path / "counts"))
+    ledger.create_sums(spark, "i_sums", str(tmp_path / "sums"))
+    ledger.create_marks(spark, "i_marks", str(tmp_path / "marks"))
+    ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+    assert values(spark, "i_sums") == [None] and spark.table("i_marks").count() == 0
+    seen, opened = [None], []
+    for n in (3, 1, 5, 2):
+        for _ in range(n):
+            ledger.append_count(spark, "i_counts", 2)
+        mark = spark.table("i_marks").first()
+        opened.append(files_read(ledger.files_since(spark.table("i_counts"), mark)))
+        ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+        seen.append((seen[-1] or 0) + 2 * n)
+    assert opened == [3, 1, 5, 2]
+    ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+    assert values(spark, "i_sums") == [*seen, seen[-1]]
+    # A mark lost with a failed run costs reading, not counts.
+    ledger._overwrite(spark, "i_marks", [])
+    ledger.append_count(spark, "i_counts", 1)
+    ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+    ledger.compact(spark, "i_counts", str(tmp_path / "compacted"), marks="i_marks")
+    ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+    ledger.append_count(spark, "i_counts", 1)
+    ledger.append_total(spark, "i_counts", "i_sums", "i_marks")
+    assert values(spark, "i_sums")[-3:] == [23, 23, 24]
+    assert ledger_sum(spark, "i_counts") == 24
+    for table in ("i_counts", "i_sums", "i_marks"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def ledger_sum(spark, table):
+    return totals.ledger_total(spark.table(table)).first()["value"]
+
+
+def test_files_of_the_mark_s_own_instant_count_once(spark, tmp_path):
+    """Stores keep times to the second or worse: what lands in the same instant is told by name."""
+    path = str(tmp_path / "counts")
+    for i in range(3):
+        spark.createDataFrame([(i,)], "value int").coalesce(1).write.mode("append").parquet(path)
+    files = sorted((tmp_path / "counts").glob("*.parquet"))
+    for f in files:
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    counts = spark.read.schema("value int").parquet(path)
+    mark = Row(until=datetime(2023, 11, 14, 22, 13, 20), files=[f.name for f in files[:2]])
+    left = ledger.files_since(counts, mark)
+    own = spark.read.parquet(str(files[2])).first()["value"]
+    assert [r["value"] for r in left.collect()] == [own]
+    assert ledger.files_since(counts, None).count() == 3

@@ -2,9 +2,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from edgeloom.operators import lineage
-from edgeloom.operators.reconcile import missing_items
+from edgeloom.operators.reconcile import missing_items, possibly_among
 
 START = datetime(2024, 1, 1)
 US = timedelta(microseconds=1)
@@ -160,3 +161,82 @@ def test_reach_at_a_hub_is_counted_without_its_pairs(spark):
     reached = {r["source"]: r["reached"] for r in lineage.two_hop_reach(first, second).collect()}
     assert len(reached) == 2003
     assert reached[5000] == 4 and abs(reached[17] - 2000) < 60
+
+
+@pytest.mark.parametrize("hub_pairs", [0, 6, 40, 1 << 20])
+def test_exact_reach_at_hubs_and_elsewhere(spark, hub_pairs):
+    rng = random.Random(hub_pairs)
+    first = [(rng.randrange(30), rng.randrange(12)) for _ in range(150)] + [(1, None), (None, 3), (40, 99)]
+    second = [(rng.choice([0, 0, 1, rng.randrange(12)]), rng.choice([rng.randrange(-9, 90), rng.randrange(2 ** 62), None]))
+              for _ in range(300)] + [(None, 5), (3, -(2 ** 62))]
+    expected = {}
+    for s, via in first:
+        expected.setdefault(s, set()).update(t for v, t in second if via is not None and v == via and t is not None)
+    found = lineage.two_hop_reach_exact(
+        spark.createDataFrame(first, "source long, target long"),
+        spark.createDataFrame(second, "source long, target long"), hub_pairs=hub_pairs,
+    )
+    assert {r["source"]: r["reached"] for r in found.collect()} == {s: len(t) for s, t in expected.items() if t}
+    assert found.dtypes == [("source", "bigint"), ("reached", "bigint")]
+
+
+def test_a_hub_makes_no_pairs(spark):
+    """Every source and target meet at one item; no row of the plan is a pair of them."""
+    n = 3000
+    ins = spark.range(n).selectExpr("id AS source", "0L AS target")
+    outs = spark.range(n).selectExpr("0L AS source", "id AS target")
+    found = lineage.two_hop_reach_exact(ins, outs, hub_pairs=1000)
+    assert found.agg(F.min("reached"), F.max("reached"), F.count("*")).first()[:] == (n, n, n)
+    rows = []
+
+    def visit(node):
+        metrics = node.metrics()
+        if metrics.contains("numOutputRows"):
+            rows.append(metrics.apply("numOutputRows").value())
+        name = node.getClass().getSimpleName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else (
+            [node.plan()] if name.endswith("QueryStageExec") else [])
+        for child in [*below, *(node.children().apply(i) for i in range(node.children().size()))]:
+            visit(child)
+
+    found.collect()
+    visit(found._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) <= 2 * n
+
+
+@pytest.mark.parametrize("bits", [6, 12, 24])
+def test_missing_items_with_a_filter_on_what_landed(spark, bits):
+    rng = random.Random(bits)
+    name = lambda i: f"n{i}" if i else None
+    expected = [(name(rng.randrange(60)), rng.randrange(3)) for _ in range(80)]
+    landed = [(name(rng.randrange(4000)), rng.randrange(3)) for _ in range(6000)]
+    wanted = spark.createDataFrame(expected, "name string, part int")
+    there = spark.createDataFrame(landed, "name string, part int")
+    plain = missing_items(wanted, there, ["name", "part"])
+    found = missing_items(wanted, there, ["name", "part"], filter_bits=bits)
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count()
+    left = possibly_among(there, wanted.distinct(), ["name", "part"], bits).count()
+    real = sum(r in set(expected) and r[0] is not None for r in landed)
+    assert real <= left and (bits < 24 or left < real + 10)
+    nothing = missing_items(wanted.limit(0), there, ["name", "part"], filter_bits=bits)
+    assert nothing.collect() == []
+
+
+def test_the_filter_comes_before_the_shuffle(spark):
+    wanted = spark.range(50).withColumnRenamed("id", "item")
+    landed = spark.range(0, 200_000, 1, 8).withColumnRenamed("id", "item")
+    found = missing_items(wanted, landed, ["item"], filter_bits=20)
+    assert found.collect() == []
+    shuffled = []
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            shuffled.append(node.metrics().apply("shuffleRecordsWritten").value())
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else (
+            [node.plan()] if name.endswith("QueryStageExec") else [])
+        for child in [*below, *(node.children().apply(i) for i in range(node.children().size()))]:
+            visit(child)
+
+    visit(found._jdf.queryExecution().executedPlan())
+    assert shuffled and max(shuffled) < 1000
