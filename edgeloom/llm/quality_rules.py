@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.tables import SPACE_CLASS, WORD_CLASS, free_name, without, written
+from edgeloom.operators.reconcile import possibly_among
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -36,6 +37,8 @@ PRECISION = 0.98
 LEAST_COVERED = 5
 MAX_CONDITIONS = 3
 MAX_RULES = 12
+#: Bits of the filter that finds labelled documents, as a power of two.
+LABEL_BITS = 24
 
 
 # ------------------------------------------------------------------ base counts
@@ -290,16 +293,17 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents of ``docs`` that base rules and learned list keep, columns as they are.
 
-    Texts are counted once, where they lie, and written with their counts. Only ids and
-    counts meet the labels; the kept texts are read again. No text is shuffled.
+    No text is shuffled: a filter of fixed size finds the labelled documents where they lie, and
+    only ids and counts meet the labels. Texts that pass it are counted twice.
     """
+    labelled = possibly_among(docs.select("doc_id", "text"), labels.select("doc_id"), ["doc_id"], LABEL_BITS)
+    counts = written(base_counts(labelled).drop("text"), "quality-counts")
+    rules = learn_rules(labelled_counts(counts, labels).where(~base_failed()))
     own = {c: free_name(f"own_{i}", COUNTS) for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[
         F.col(f"`{c.replace('`', '``')}`").alias(own[c]) for c in docs.columns
     ])
-    counted = written(base_counts(renamed, own["text"]), "quality-counted")
-    counts = counted.select(F.col(own["doc_id"]).alias("doc_id"), *COUNTS, "n_lines", "n_upper")
-    rules = learn_rules(labelled_counts(counts, labels).where(~base_failed()))
+    counted = base_counts(renamed, own["text"])
     return counted.where(~base_failed() & verdict(rules)).select(
         *[F.col(own[c]).alias(c) for c in docs.columns]
     )
