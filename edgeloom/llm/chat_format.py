@@ -29,6 +29,11 @@ TURN, TEXT, END = b"<|turn|>", b"<|text|>", b"<|end|>"
 #: The role whose texts are learned from.
 LEARNED = "assistant"
 
+#: Bytes of short segments that are copied by their indices at a time, and of what is no longer short.
+SCATTERED, LONG = 1 << 20, 1 << 16
+#: Bytes of a text that are unescaped at a time.
+READ = 1 << 20
+
 _ESCAPED = r"<(\\*)\|"
 _ONE_MORE = r"<\\\1|"
 _UNESCAPE = re.compile(rb"<\\(\\*)\|")
@@ -44,11 +49,40 @@ def unescape(content: bytes) -> bytes:
     return _UNESCAPE.sub(rb"<\1|", content)
 
 
+def unescaped(content: memoryview) -> Iterator[bytes]:
+    """``content`` as it was before it was escaped, piece by piece.
+
+    No piece ends with ``<`` or a backslash, so no escaped string is cut.
+    """
+    start, size = 0, len(content)
+    while start < size:
+        stop = min(start + READ, size)
+        while stop < size and content[stop - 1] in b"<\\":
+            stop += 1
+        yield unescape(bytes(content[start:stop]))
+        start = stop
+
+
+def _characters(piece: bytes) -> int:
+    """Code points of UTF-8, some of which may begin or end elsewhere: bytes that begin one."""
+    return int(np.count_nonzero((np.frombuffer(piece, np.uint8) & 0xC0) != 0x80))
+
+
 def _scatter(out: np.ndarray, at: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-    """Copies ``sizes[i]`` bytes of ``data`` from ``starts[i]`` on to ``out`` from ``at[i]`` on."""
-    total = int(sizes.sum())
-    inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[np.repeat(at, sizes) + inside] = data[np.repeat(starts, sizes) + inside]
+    """Copies ``sizes[i]`` bytes of ``data`` from ``starts[i]`` on to ``out`` from ``at[i]`` on.
+
+    Short ones by their indices, ``SCATTERED`` bytes at a time; long ones each as a whole.
+    """
+    long = sizes > LONG
+    for i in np.flatnonzero(long).tolist():
+        out[at[i]:at[i] + sizes[i]] = data[starts[i]:starts[i] + sizes[i]]
+    at, starts, sizes = at[~long], starts[~long], sizes[~long]
+    part = (np.cumsum(sizes) - sizes) // SCATTERED
+    cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(sizes)) if len(sizes) else []
+    for a, b in zip(cuts, cuts[1:]):
+        n = sizes[a:b]
+        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(at[a:b], n) + inside] = data[np.repeat(starts[a:b], n) + inside]
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,14 +148,19 @@ class _Reading:
         self.n_turns = self.loss_chars = self.chars = 0
 
     def add(self, formatted: bytes, start: int | None, end: int | None) -> None:
-        self.chars += len(formatted.decode())
-        for role, content in _TURN.findall(formatted):
-            self.turns.update(unescape(role) + b"\n" + unescape(content) + b"\n")
+        whole = memoryview(formatted)
+        for i in range(0, len(whole), READ):
+            self.chars += _characters(whole[i:i + READ])
+        for turn in _TURN.finditer(formatted):
+            for group in (1, 2):
+                for piece in unescaped(whole[turn.start(group):turn.end(group)]):
+                    self.turns.update(piece)
+                self.turns.update(b"\n")
             self.n_turns += 1
         if start is not None:
-            learned = unescape(formatted[start:end])
-            self.loss.update(learned)
-            self.loss_chars += len(learned.decode())
+            for piece in unescaped(whole[start:end]):
+                self.loss.update(piece)
+                self.loss_chars += _characters(piece)
 
     def row(self, conv_id: int | None) -> tuple:
         return (conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars,

@@ -1,4 +1,6 @@
 import hashlib
+import subprocess
+import sys
 
 import pyarrow as pa
 from hypothesis import given, settings
@@ -67,3 +69,35 @@ def test_query_on_whole_table(spark):
     assert rows_of(found) == brute(rows)
     chars = {r["conv_id"]: r["formatted_chars"] for r in found.collect()}
     assert chars[-7] == sum(len(f"<|turn|>{r}<|text|>{probe}<|end|>") for r in ("user", "assistant"))
+
+
+def test_long_contents_and_many_short_ones():
+    """Both ways of copying, and escaped strings across the pieces that are read at a time."""
+    texts = ["<|" * 70_000, "é" * 40_000, "", "x" * 2_000_000 + "<\\\\|", *["<\\|"] * 3000, None, "\\" * 100_000 + "|<" * 9]
+    roles = ["assistant"] * len(texts)
+    formatted, start, end = chat_format.assemble(pa.array(roles), pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        segment = memoryview(formatted[i].as_py().encode())[start[i]:end[i]]
+        assert b"".join(chat_format.unescaped(segment)) == (text or "").encode()
+
+
+def test_a_turn_of_100_mb_stays_below_500_mb():
+    """Measured in a process of its own: text, its escaped form and the output, no index of its bytes."""
+    code = """
+import resource, sys
+sys.path[:0] = %r
+import pyarrow as pa
+from edgeloom.llm import chat_format
+text = pa.array(["<| word " * 12_500_000])
+formatted, start, end = chat_format.assemble(pa.array(["assistant"]), text)
+del text
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+state = chat_format._Reading()
+whole = formatted.cast(pa.large_binary())[0].as_py()
+del formatted
+state.add(whole, int(start[0]), int(end[0]))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024, state.loss_chars)
+"""
+    done = subprocess.run([sys.executable, "-c", code % sys.path], capture_output=True, text=True, check=True)
+    built, read, chars = map(int, done.stdout.split())
+    assert chars == 100_000_000 and max(built, read) < 500
