@@ -39,12 +39,14 @@ LENGTH = 100
 Q = 32
 #: q-byte strings inside a string of ``LENGTH``.
 INSIDE = LENGTH - Q + 1
-#: Different contexts of a bucket up to which one task compares them.
-CROWD = 100_000
+#: Different contexts of a bucket up to which one task compares them: 2.7 MB at most.
+CROWD = 16_384
 #: Bytes of one text that are hashed at a time.
 SEGMENT = 1 << 22
 #: Bytes of contexts that are refined at a time, whole buckets aside.
 CHUNK = 1 << 22
+#: Neighbours whose strings are compared at a time.
+COMPARED = 1 << 16
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -183,21 +185,78 @@ def _settle_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 # ------------------------------------------------------------------ refinement (round 3)
 
+class Buckets:
+    """Suffixes of ``data`` in buckets, refined until those of one agree on ``depth`` bytes.
+
+    ``order`` holds the suffixes, bucket after bucket; ``pointer`` names the bucket of each by
+    its last place there, so pointers compare as the suffixes do. A bucket whose suffixes agree
+    on ``n`` bytes is sorted by the pointers ``n`` bytes further on and split where these differ;
+    the new pointers are written back at once, and the buckets that come after it in the same
+    pass sort by them already. A suffix alone in its bucket is settled and left out from then on.
+    """
+
+    #: Suffixes that are sorted before their pointers are written back, whole buckets aside.
+    AT_A_TIME = 1 << 16
+
+    def __init__(self, data: np.ndarray, depth: int) -> None:
+        n, q = len(data), 8
+        first = np.zeros(n, ">u8")
+        octets = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(q - 1, np.uint8)), q)
+        first[:] = np.ascontiguousarray(octets).view(">u8").ravel()
+        first = first.astype(np.uint64)
+        self.order = np.argsort(first, kind="stable").astype(np.int32)
+        ends = np.append(np.flatnonzero(np.diff(first[self.order])), n - 1)
+        del first
+        # Behind the last byte nothing follows, which comes before all else.
+        self.pointer = np.full(n + depth, -1, np.int32)
+        self.pointer[self.order] = np.repeat(ends, np.diff(np.append(-1, ends)))
+        while q < depth:
+            self._pass(q)
+            q *= 2
+
+    def _pass(self, q: int) -> None:
+        own = self.pointer[self.order]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        sizes = np.diff(np.append(starts, len(own)))
+        open_ = np.flatnonzero(sizes > 1)
+        starts, sizes = starts[open_], sizes[open_]
+        part = (np.cumsum(sizes) - sizes) // self.AT_A_TIME
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(starts))
+        for a, b in zip(cuts, cuts[1:]):
+            self._split(starts[a:b], sizes[a:b], q)
+
+    def _split(self, starts: np.ndarray, sizes: np.ndarray, q: int) -> None:
+        places = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        bucket = np.repeat(np.arange(len(starts)), sizes)
+        suffixes = self.order[places]
+        further = self.pointer[suffixes + q]
+        by = np.lexsort((further, bucket))
+        suffixes, further = suffixes[by], further[by]
+        self.order[places] = suffixes
+        last = np.append((bucket[1:] != bucket[:-1]) | (further[1:] != further[:-1]), True)
+        ends = np.flatnonzero(last)
+        self.pointer[suffixes] = places[np.repeat(ends, np.diff(np.append(-1, ends)))]
+
+
 def refine(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """For each place whether its ``LENGTH`` bytes are those of an earlier place of the list.
 
-    Bucket pointers of 8 bytes are refined to 16, 32 and 64 by the pointer as far along
-    again, and to ``LENGTH`` by the pointer that ends there.
+    ``places`` ascend. Buckets may be finer than ``LENGTH`` bytes; strings that agree on these
+    are neighbours in their order all the same, and are told by their bytes.
     """
-    octets = np.lib.stride_tricks.sliding_window_view(data, 8)
-    pointer = np.unique(np.ascontiguousarray(octets).view("<u8").ravel(), return_inverse=True)[1]
-    depth = 8
-    while 2 * depth <= LENGTH:
-        pair = (pointer[:-depth].astype(np.int64) << 32) | pointer[depth:]
-        pointer, depth = np.unique(pair, return_inverse=True)[1], 2 * depth
-    last = (pointer[places].astype(np.int64) << 32) | pointer[places + LENGTH - depth]
+    number = np.full(len(data), -1, np.int32)
+    number[places] = np.arange(len(places))
+    order = Buckets(data, LENGTH).order
+    own = number[order]
+    order = order[own >= 0]
+    strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    new = np.ones(len(order), bool)
+    for i in range(1, len(order), COMPARED):
+        here = order[i:i + COMPARED]
+        new[i:i + COMPARED] = (strings[here] != strings[order[i - 1:i - 1 + len(here)]]).any(axis=1)
+    first = np.minimum.reduceat(order, np.flatnonzero(new)) if len(order) else order
     again = np.ones(len(places), bool)
-    again[np.unique(last, return_index=True)[1]] = False
+    again[number[first]] = False
     return again
 
 

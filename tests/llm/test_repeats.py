@@ -1,5 +1,7 @@
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -85,3 +87,36 @@ def test_query_on_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert rows_of(QUERIES["op4_repeats"](spark, sf_dir)) == brute(docs)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 30])
+def test_refinement_by_pointers_equals_comparison(letters):
+    rng = np.random.default_rng(letters)
+    data = rng.integers(0, letters, 5000).astype(np.uint8)
+    for _ in range(20):
+        a, b, n = (*rng.integers(0, 4000, 2), int(rng.integers(50, 400)))
+        data[a:a + n] = data[b:b + n].copy()
+    places = np.flatnonzero(rng.random(len(data) - 99) < 0.8)
+    seen, expected = set(), []
+    for p in places:
+        own = data[p:p + 100].tobytes()
+        expected.append(own in seen)
+        seen.add(own)
+    assert repeats.refine(data, places).tolist() == expected
+
+
+def test_refinement_of_4_mb_stays_below_300_mb():
+    code = """
+import resource, sys
+sys.path[:0] = %r
+import numpy as np
+from edgeloom.llm import repeats
+block = np.random.default_rng(1).integers(97, 123, 1 << 20).astype(np.uint8)
+data = np.concatenate([block, block, block, block])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+again = repeats.refine(data, np.arange(len(data) - 99))
+assert again.sum() == len(again) - (1 << 20), again.sum()
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code % sys.path], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 300
