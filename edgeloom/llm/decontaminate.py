@@ -10,6 +10,9 @@ class come from those of the class below, so all classes cost one pass per hash.
 
 A minimum shared by item and window makes a candidate; candidates are verified by
 exact containment of the item's shingles in the whole document.
+
+An item of one to four words is one run of its own length. It is looked up, exactly, among the
+documents' runs of that length; texts are passed over for the lengths that items have.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ GROUP = 1 << 18
 NOTHING = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Family of the rows that hold shingles; minima have ``size class * HASHES + function``.
 IN_DOCUMENT = -1
+#: Family of the runs of so many words, for items that are no longer; below ``IN_DOCUMENT``.
+SHORT = {n: IN_DOCUMENT - n for n in range(1, WORDS)}
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +54,7 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
 
 def _slots(values: np.ndarray, family: int, bits: int) -> np.ndarray:
     """Places of hash values in a filter."""
-    salt = mixed(np.array([family + 2], np.uint64))[0]
+    salt = mixed(np.array([family + 2 + WORDS], np.uint64))[0]
     return (mixed(values ^ salt) >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -60,8 +65,8 @@ def _shingles(text: bytes) -> np.ndarray:
 def item_index(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """``(item, n, family, value)``: each item's distinct shingles and its minima.
 
-    ``n`` counts its distinct shingles. Items of fewer than five words have none and
-    are not searched for. ``item`` is a struct of the id and a hash of the text: rows
+    ``n`` counts its distinct shingles. An item of fewer than five words is a single one, of
+    all its words; an item without words is not searched for. ``item`` is a struct of the id and a hash of the text: rows
     that repeat an id are one item if their texts are equal, else items of their own.
     """
     identity = F.struct(
@@ -78,7 +83,14 @@ def item_index(items: DataFrame, item: str = "item_id", text: str = "text") -> D
         for batch in batches:
             rows, sizes, families, values = [], [], [], []
             for i, content in enumerate(text_bytes(batch.column(1))):
-                own = np.unique(_shingles(content))
+                words = word_hashes(lower_words(content))
+                if 0 < len(words) < WORDS:
+                    rows.append([i])
+                    sizes.append([1])
+                    families.append([SHORT[len(words)]])
+                    values.append(run_hashes(words, len(words)))
+                    continue
+                own = np.unique(run_hashes(words, WORDS))
                 if not len(own):
                     continue
                 minima = ((own[None, :] ^ add[:, None]) * factor[:, None]).min(axis=1)
@@ -99,8 +111,8 @@ def item_index(items: DataFrame, item: str = "item_id", text: str = "text") -> D
     return source.mapInArrow(index, schema)
 
 
-def _filters(index: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Filters over minima and over shingles, and the size classes in use.
+def _filters(index: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+    """Filters over minima (and short items) and over shingles; size classes and short lengths in use.
 
     What reaches the driver is bounded by the filters' size: distinct places.
     """
@@ -129,7 +141,10 @@ def _filters(index: DataFrame) -> tuple[np.ndarray, np.ndarray, list[int]]:
         r["level"] for r in index.where(F.col("family") >= 0)
         .select((F.col("family") / HASHES).cast("int").alias("level")).distinct().collect()
     ]
-    return filters[0], filters[1], sorted(levels)
+    short = {
+        r["family"] for r in index.where(F.col("family") < IN_DOCUMENT).select("family").distinct().collect()
+    }
+    return filters[0], filters[1], sorted(levels), [n for n in SHORT if SHORT[n] in short]
 
 
 def _window_hits(shingles: np.ndarray, levels: list[int], holds: np.ndarray):
@@ -175,20 +190,34 @@ def _groups(texts: list[bytes], unit: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 def _document_hits(keyed: DataFrame, index: DataFrame) -> DataFrame:
     """``(key, family, value)``: what a document may share with items. One pass over the texts."""
-    minima_filter, shingle_filter, levels = _filters(index)
+    minima_filter, shingle_filter, levels, short = _filters(index)
     schema = T.StructType([
         keyed.schema["key"], T.StructField("family", T.IntegerType()),
         T.StructField("value", T.LongType()),
     ])
-    if not levels:
+    if not levels and not short:
         return keyed.sparkSession.createDataFrame([], schema)
     shared = keyed.sparkSession.sparkContext.broadcast((minima_filter, shingle_filter))
-    unit = 1 << levels[-1]
+    unit = 1 << levels[-1] if levels else 1
+
+    def looked_up(batch: pa.RecordBatch, holds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The runs of a text that short items may be."""
+        for i, text in enumerate(text_bytes(batch.column(1)) if short else ()):
+            words = word_hashes(lower_words(text))
+            for n in short:
+                runs = np.unique(run_hashes(words, n))
+                runs = runs[holds[_slots(runs, SHORT[n], MINIMA_BITS)]]
+                if len(runs):
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(pa.array(np.full(len(runs), i))),
+                        pa.array(np.full(len(runs), SHORT[n], np.int32)), pa.array(runs.view(np.int64)),
+                    ], names=["key", "family", "value"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minima, shingles = (np.unpackbits(f).view(bool) for f in shared.value)
         for batch in batches:
-            for hashes, owner in _groups(text_bytes(batch.column(1)), unit):
+            yield from looked_up(batch, minima)
+            for hashes, owner in _groups(text_bytes(batch.column(1)) if levels else [], unit):
                 found = np.flatnonzero(shingles[_slots(hashes, IN_DOCUMENT, SHINGLE_BITS)])
                 found = found[hashes[found] != NOTHING]
                 families, values = [np.full(len(found), IN_DOCUMENT)], [hashes[found]]
@@ -214,8 +243,9 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
     """``(key, item, n_shingles, n_found, containment)`` per document and item contained in it.
 
     ``key`` is a struct of the document's ``doc_id`` (which may be null) and a hash of
-    its text, so that repeated ids do not pool their texts. Null, empty and short texts
-    hold no shingle and match nothing.
+    its text, so that repeated ids do not pool their texts. Null and empty texts match
+    nothing, texts of fewer than five words only items that are no longer. Such a short item is
+    one shingle: contained whole or not at all.
     """
     index = written(item_index(items), "leak-index")
     hits = written(_document_hits(_keyed(docs), index), "leak-hits")
@@ -228,7 +258,10 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
         pairs.join(wanted.drop("n"), "item").join(present, ["key", "value"])
         .groupBy("key", "item", "n").agg(F.count("*").alias("n_found"))
     )
-    return found.where(F.col("n_found") >= containment * F.col("n")).select(
+    short = hits.where(F.col("family") < IN_DOCUMENT).join(
+        index.where(F.col("family") < IN_DOCUMENT), ["family", "value"]
+    ).select("key", "item", "n", F.lit(1).cast("long").alias("n_found")).distinct()
+    return found.where(F.col("n_found") >= containment * F.col("n")).union(short).select(
         "key", "item", F.col("n").cast("long").alias("n_shingles"), "n_found",
         (F.col("n_found") / F.col("n")).alias("containment"),
     )

@@ -74,7 +74,11 @@ FROM turns GROUP BY conv_id
 """,
     "op10_decontamination": "WITH " + _CONTAINED.format(
         shingles=_shingles("w"), doc_words=_NOT_SPACE, item_words=_NOT_SPACE,
-        item="item_id", items="benchmark"),
+        item="item_id", items="benchmark") + f"""
+UNION SELECT doc_id, item_id, 1, 1, 1.0
+FROM (SELECT doc_id, ' ' || array_to_string({_NOT_SPACE}, ' ') || ' ' AS said FROM documents)
+JOIN (SELECT item_id, {_NOT_SPACE} AS w FROM benchmark WHERE len({_NOT_SPACE}) BETWEEN 1 AND 4)
+  ON contains(said, ' ' || array_to_string(w, ' ') || ' ')""",
     "op11_substring_dedup": f"""
 WITH texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 windows AS (
