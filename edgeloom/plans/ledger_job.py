@@ -5,8 +5,9 @@
     python -m edgeloom.plans.ledger_job compact LOCATION [--master MASTER]
 
 ``count`` appends a 1 to the table ``counts``; ``sum`` appends the current total
-to ``sums``. Both create the tables they use if absent. ``compact`` gathers the many
-small files of ``counts`` into one at a new location.
+to ``sums``, reading only what has landed since the last one (table ``marks``). Both create
+the tables they use if absent. ``compact`` gathers the many small files of ``counts`` into
+one at a new location.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from edgeloom.sources import ledger
 # --- Fixed values: table names. ---
 COUNTS = "counts"
 SUMS = "sums"
+MARKS = "marks"
 # ----------------------------------
 
 
@@ -35,10 +37,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "compact":
         if not args.location:
             parser.error("compact needs a location")
-        ledger.compact(spark, COUNTS, args.location)
+        ledger.create_marks(spark, MARKS)
+        ledger.compact(spark, COUNTS, args.location, marks=MARKS)
     else:
         ledger.create_sums(spark, SUMS)
-        ledger.append_total(spark, COUNTS, SUMS)
+        ledger.create_marks(spark, MARKS)
+        ledger.append_total(spark, COUNTS, SUMS, MARKS)
 
 
 if __name__ == "__main__":

@@ -1,13 +1,16 @@
+import random
 from datetime import datetime, timedelta
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from edgeloom.operators.lineage import arrival_latency
 from edgeloom.plans import registry
 from edgeloom.sources import star
-from edgeloom.streaming.ledger import stream_total
-from edgeloom.streaming.lineage import stream_latency
-from edgeloom.streaming.sources import drain_complete, drain_to_parquet, parquet_stream
+from edgeloom.streaming.ledger import append_snapshots, stream_total
+from edgeloom.streaming.lineage import NEVER, earliest_arrivals, stream_latency, stream_latency_timed
+from edgeloom.streaming.sources import drain, drain_complete, drain_to_parquet, land_in_order, parquet_stream
 
 START = datetime(2024, 1, 1)
 
@@ -31,8 +34,11 @@ def latencies(frame):
             for r in frame.collect()}
 
 
-@pytest.mark.parametrize("batches, salts", [(1, 1), (3, 1), (3, 4)])
-def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches, salts):
+@pytest.mark.parametrize("batches, how", [
+    (1, {"salts": 1}), (3, {"salts": 1}), (3, {"salts": 4}), (1, {"buckets": 3}), (3, {"buckets": 1}),
+    (3, {"buckets": 5}),
+])
+def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches, how):
     runs = [(k, at(k * 10)) for k in range(60)]
     events = []
     for k in range(60):
@@ -52,10 +58,10 @@ def test_latency_of_final_runs_equals_batch(spark, tmp_path, batches, salts):
                 high = at(1000)
             frame.where((frame[column] >= low) & (frame[column] < high)).coalesce(1).write.mode(
                 "append").parquet(str(tmp_path / name))
-    stream = stream_latency(
+    stream = (stream_latency_timed if "buckets" in how else stream_latency)(
         parquet_stream(spark, str(tmp_path / "runs"), 1 if batches > 1 else None),
         parquet_stream(spark, str(tmp_path / "events"), 1 if batches > 1 else None),
-        allowed_delay="200 seconds", salts=salts,
+        allowed_delay="200 seconds", **how,
     )
     final = drain_to_parquet(stream, "latency")
     batch = arrival_latency(run_frame, event_frame)
@@ -84,13 +90,91 @@ def test_paths_that_read_as_patterns_are_refused(spark, name):
 
 
 def test_state_of_the_registered_stream_stays_small(spark):
-    """Most of the input is evicted before it has all been read."""
+    """Its batches are as wide as the wait; state is a row per bucket."""
     sf_dir = "/root/testdata/sf0.001"
-    drained = registry._drained_latency(spark, sf_dir)
-    rows = sum(star.table(spark, sf_dir, t).count() for t in ("orders", "lineitem"))
-    assert 0 < drained.largest_state() < rows / 4
+    drained = registry._drained_latency(spark, sf_dir, batch_rows=1)
+    assert 0 < drained.largest_state() <= registry.STREAM_BUCKETS
     moved = [w for w in drained.watermarks() if w.year > 1970]
-    assert len(set(moved)) > 4
+    assert len(set(moved)) > 50
+    few = registry._drained_latency(spark, sf_dir)
+    assert sorted(map(tuple, few.output.collect())) == sorted(map(tuple, drained.output.collect()))
+
+
+def test_open_runs_are_all_that_is_held():
+    """What a bucket keeps over many batches, counted: open runs, and arrivals not yet passed."""
+    from edgeloom.streaming import lineage
+
+    class State:
+        blob, watermark = None, 0
+
+        exists = property(lambda self: self.blob is not None)
+        get = property(lambda self: self.blob)
+        getCurrentWatermarkMs = lambda self: self.watermark
+        setTimeoutTimestamp = lambda self, ms: setattr(self, "due", ms)
+        update = lambda self, new: setattr(self, "blob", new)
+        remove = lambda self: setattr(self, "blob", None)
+
+    state, update, wait = State(), lineage._bucket(["key_0"], 30_000_000), 30
+    rng, final, held = random.Random(3), {}, []
+    runs = {f"r{k}": 10 * k for k in range(300)}
+    rows = [(k, t, True) for k, t in runs.items()]
+    rows += [(k, t + rng.randrange(100), False) for k, t in runs.items() for _ in range(20)]
+    for batch in range(32):
+        part = [r for r in rows if batch * 100 <= r[1] < batch * 100 + 100]
+        frame = pd.DataFrame({"key_0": [r[0] for r in part], "start": [r[2] for r in part],
+                              "us": [r[1] * 1_000_000 for r in part]})
+        for out in update((0,), iter([frame]), state):
+            final |= {r.key_0: r.arrived for r in out.itertuples()}
+        state.watermark = max(batch * 100 + 99 - 10, 0) * 1000
+        held.append(0 if state.blob is None else pa.ipc.open_stream(state.blob[0]).read_all().num_rows)
+    for k, t in runs.items():
+        first = min((a for n, a, s in rows if n == k and not s and t <= a < t + wait), default=None)
+        if t < 2800:
+            assert final[k] == first * 1_000_000 if first is not None else pd.isna(final[k])
+    # A batch has ten runs and 200 events.
+    assert max(held) < 150 and state.due > 0
+
+
+def test_a_run_given_several_starts_counts_from_the_first():
+    runs = pd.DataFrame({"k": ["a", "a", None], "started": [50, 20, 5], "arrived": [60, NEVER, NEVER]})
+    loose = pd.DataFrame({"k": ["a", "a", "b"], "us": [10, 45, 7]})
+    found, left = earliest_arrivals(runs, loose, ["k"], 30)
+    assert found.fillna("none").values.tolist() == [["a", 20, 45], ["none", 5, NEVER]]
+    assert left.values.tolist() == [["a", 10], ["b", 7]]
+
+
+def test_slices_land_in_the_order_of_time(spark, tmp_path):
+    rows = [(i, at(i * 10) if i % 7 else None) for i in range(100)]
+    frame = spark.createDataFrame(rows, "value int, slice timestamp").repartition(5)
+    path = str(tmp_path / "slices")
+    land_in_order(frame, path, "slice", at(0), 200.0, 5)
+    stream = parquet_stream(spark, path, 1, schema="value int, slice timestamp")
+    seen = []
+    query = stream.writeStream.foreachBatch(
+        lambda df, n: seen.append(sorted(r["value"] for r in df.collect()))
+    ).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    number = lambda i: min(i * 10 // 200, 4) if i % 7 else 4
+    assert seen == [[i for i in range(100) if number(i) == s] for s in range(5)]
+
+
+def test_snapshots_are_written_once_per_batch(spark, tmp_path):
+    """Also where a batch is run again that was written but never committed."""
+    path, out, log = (str(tmp_path / n) for n in ("counts", "snapshots", "log"))
+    land = lambda values: spark.createDataFrame(
+        [(v,) for v in values], "value int").coalesce(1).write.mode("append").parquet(path)
+    run = lambda: sorted(map(tuple, append_snapshots(
+        parquet_stream(spark, path, 1, schema="value int"), out, log).collect()))
+    land([None])
+    assert run() == [(0, None)]
+    land([1, 2])
+    land([3, None])
+    assert run() == [(0, None), (1, 3), (2, 6)]
+    for name in ("2", ".2.crc"):
+        (tmp_path / "log" / "commits" / name).unlink(missing_ok=True)
+    assert run() == [(0, None), (1, 3), (2, 6)]
+    land([10])
+    assert run() == [(0, None), (1, 3), (2, 6), (3, 16)]
 
 
 def test_stream_restarts_from_its_checkpoint(spark, tmp_path):
