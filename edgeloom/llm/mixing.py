@@ -23,8 +23,8 @@ OTHER = "*"
 #: Cells that reach the driver at most.
 MAX_CELLS = 200_000
 ROUNDS = 1000
-#: Cells that need the highest rates may miss this share of all raked tokens, so that a few
-#: rare documents do not set the rate of all others.
+#: What the pipeline allows: cells that need the highest rates may miss this share of all raked
+#: tokens, so that a few rare documents do not set the rate of all others.
 SLACK = 0.02
 TOLERANCE = 1e-10
 
@@ -91,13 +91,15 @@ def rake(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray])
 
 def mix(
     docs: DataFrame, margins: Mapping[str, Margin], tokens: Column, identity: list[Column],
-    seed: int = 17,
+    seed: int = 17, slack: float = 0.0,
 ) -> DataFrame:
     """``docs`` with ``mix_weight``, ``mix_probability`` and ``mix_sampled``.
 
     ``mix_weight`` is the factor between the tokens of the document's cell and its raked
     tokens; the probability is the weight over the largest one, so sampled tokens have
-    the target shares in expectation and no more documents are lost than that takes.
+    the target shares in expectation and no more documents are lost than that takes. With
+    ``slack`` the heaviest cells may miss that share of all raked tokens between them: fewer
+    documents are lost, and the margins hold to that share only.
     Rows of equal ``identity`` share a decision. A null or negative token count is 0; a
     cell without tokens has weight 1, and the smallest probability any cell has would not
     change its (absent) share, so its rows stay. An empty table gives no rows. Columns
@@ -126,7 +128,7 @@ def mix(
 
     weight = free_name("weight", docs.columns)
     chance = free_name("chance", docs.columns)
-    chances = _chances(counted, margins, names)
+    chances = _chances(counted, margins, names, slack)
     cells = [(*[r[n] for n in names.values()], *p) for r, p in zip(counted, chances)]
     schema = ", ".join([f"`{n}` string" for n in names.values()]
                        + [f"`{n}` double" for n in (weight, chance)])
@@ -138,7 +140,26 @@ def mix(
     )
 
 
-def _chances(counted: list, margins: Mapping[str, Margin], names: Mapping[str, str]) -> list[tuple]:
+def shares_of(targets: DataFrame) -> dict[str, dict[str, float]]:
+    """Target shares by margin and category, from a table ``margin, category, share``.
+
+    A null category is ``OTHER``; rows of one category add up, null shares count as 0. At most
+    ``MAX_CELLS`` rows reach the driver, more raise an error.
+    """
+    rows = targets.groupBy("margin", F.coalesce("category", F.lit(OTHER)).alias("category")).agg(
+        F.coalesce(F.sum(F.col("share").cast("double")), F.lit(0.0)).alias("share")
+    ).limit(MAX_CELLS + 1).collect()
+    if len(rows) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} target shares")
+    found: dict[str, dict[str, float]] = {}
+    for row in rows:
+        found.setdefault(row["margin"], {})[row["category"]] = row["share"]
+    return found
+
+
+def _chances(
+    counted: list, margins: Mapping[str, Margin], names: Mapping[str, str], slack: float
+) -> list[tuple]:
     """Weight and probability of each counted cell."""
     tokens = np.array([r["tokens"] for r in counted], float)
     codes, shares = [], []
@@ -148,15 +169,15 @@ def _chances(counted: list, margins: Mapping[str, Margin], names: Mapping[str, s
         shares.append(margin.targets(np.bincount(codes[-1], tokens, len(place))))
     raked = rake(tokens, codes, shares)
     weights = np.divide(raked, tokens, out=np.ones_like(tokens), where=tokens > 0)
-    chances = np.where(tokens > 0, np.minimum(1.0, weights / _unit(weights, raked)), 1.0)
+    chances = np.where(tokens > 0, np.minimum(1.0, weights / _unit(weights, raked, slack)), 1.0)
     return list(zip(weights.tolist(), chances.tolist()))
 
 
-def _unit(weights: np.ndarray, raked: np.ndarray) -> float:
-    """The weight that is sampled whole: heavier cells hold at most ``SLACK`` of the raked tokens."""
+def _unit(weights: np.ndarray, raked: np.ndarray, slack: float) -> float:
+    """The weight that is sampled whole: heavier cells hold at most ``slack`` of the raked tokens."""
     order = np.argsort(-weights, kind="stable")
     before = np.cumsum(raked[order]) - raked[order]
-    held = order[(raked[order] > 0) & (before <= SLACK * raked.sum())]
+    held = order[(raked[order] > 0) & (before <= slack * raked.sum())]
     return float(weights[held[-1]]) if len(held) else 1.0
 
 
@@ -179,34 +200,40 @@ def topic_of(text: Column, words: Column) -> Column:
     )
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_documents(
+    docs: DataFrame, slack: float = 0.0, shares: Mapping[str, Mapping[str, float]] | None = None
+) -> DataFrame:
     """``docs`` with ``topic``, ``tokens`` (words) and what ``mix`` adds.
 
-    Every source and every language that occurs is a category of its own.
+    Every source and every language that occurs is a category of its own. ``shares`` has the
+    target shares of the margins ``source``, ``lang`` and ``topic`` (as from ``shares_of``); a
+    margin without any keeps its actual ones, tempered.
     """
+    shares = shares or {}
     text = F.col("text")
     out = docs.select(*without(docs, "topic", "tokens"), words_of(text).cast("long").alias("tokens"))
     out = out.withColumn("topic", topic_of(text, F.col("tokens")))
     margins = {
-        "source": Margin(F.col("source"), temper=SOURCE_TEMPER),
-        "lang": Margin(F.col("lang"), temper=LANGUAGE_TEMPER),
-        "topic": Margin(F.col("topic"), TOPICS, temper=TOPIC_TEMPER),
+        "source": Margin(F.col("source"), None, shares.get("source"), SOURCE_TEMPER),
+        "lang": Margin(F.col("lang"), None, shares.get("lang"), LANGUAGE_TEMPER),
+        "topic": Margin(F.col("topic"), TOPICS, shares.get("topic"), TOPIC_TEMPER),
     }
-    return mix(out, margins, F.col("tokens"), [F.col("doc_id"), F.coalesce(text, F.lit(""))])
+    identity = [F.col("doc_id"), F.coalesce(text, F.lit(""))]
+    return mix(out, margins, F.col("tokens"), identity, slack=slack)
 
 
-def mix_report(docs: DataFrame) -> DataFrame:
+def mix_report(docs: DataFrame, slack: float = 0.0) -> DataFrame:
     """One row per document: its cell, tokens, calibrated weight, probability and the decision."""
-    return mix_documents(docs).select(
+    return mix_documents(docs, slack).select(
         "doc_id", "source", "lang", "topic", "tokens", "mix_weight", "mix_probability",
         "mix_sampled",
     )
 
 
-def sample_mix(docs: DataFrame) -> DataFrame:
+def sample_mix(docs: DataFrame, slack: float = SLACK) -> DataFrame:
     """The sampled documents with the columns of ``docs``."""
     used = {"doc_id", "text", "source", "lang"}
     own = {c: c if c in used else free_name(f"own_{i}", docs.columns)
            for i, c in enumerate(docs.columns)}
-    sampled = mix_documents(docs.withColumnsRenamed(own)).where("mix_sampled")
+    sampled = mix_documents(docs.withColumnsRenamed(own), slack).where("mix_sampled")
     return sampled.select(*[F.col(n).alias(c) for c, n in own.items()])

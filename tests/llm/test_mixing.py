@@ -56,13 +56,16 @@ def test_query_on_whole_table(spark):
         text = docs[r["doc_id"]]["text"]
         assert r["tokens"] == len(text.encode().split())
         assert r["mix_weight"] == pytest.approx(expected[(r["source"], r["lang"], r["topic"])], rel=1e-6)
-    # Sampled tokens come near the targets, by source.
-    total = sum(r["tokens"] * r["mix_weight"] for r in found)
-    kept = sum(r["tokens"] * r["mix_probability"] for r in found)
-    for source in ("src0", "src3"):
-        want = sum(r["tokens"] * r["mix_weight"] for r in found if r["source"] == source) / total
-        have = sum(r["tokens"] * r["mix_probability"] for r in found if r["source"] == source) / kept
-        assert have == pytest.approx(want, abs=mixing.SLACK)
+    # Sampled tokens have the targets in expectation, by every category of every margin.
+    for column, temper in zip(("source", "lang", "topic"), tempers):
+        actual, expected_tokens = {}, {}
+        for r in found:
+            actual[r[column]] = actual.get(r[column], 0) + r["tokens"]
+            expected_tokens[r[column]] = expected_tokens.get(r[column], 0) + r["tokens"] * r["mix_probability"]
+        wanted = {c: n ** temper for c, n in actual.items()}
+        for c, n in expected_tokens.items():
+            share = wanted[c] / sum(wanted.values())
+            assert n / sum(expected_tokens.values()) == pytest.approx(share, abs=1e-6)
     drawn = sum(r["mix_sampled"] for r in found)
     assert drawn == pytest.approx(sum(r["mix_probability"] for r in found), abs=80)
 
@@ -85,13 +88,30 @@ def test_sampled_tokens_have_stated_shares(spark):
     assert again.where("mix_sampled").select("doc_id").exceptAll(kept.select("doc_id")).isEmpty()
 
 
+def test_targets_from_a_table(spark):
+    rows = [("source", "src0", 0.25), ("source", "src1", 0.25), ("source", "src1", 0.25), ("source", "src2", None),
+            ("source", "src3", 0.25), ("lang", "en", 3.0), ("lang", None, 1.0)]
+    shares = mixing.shares_of(spark.createDataFrame(rows, "margin string, category string, share double"))
+    assert shares == {"source": {"src0": .25, "src1": .5, "src2": 0.0, "src3": .25}, "lang": {"en": 3.0, "*": 1.0}}
+    rng = __import__("random").Random(7)
+    docs = [(i, prose(rng, 30), "en" if i % 3 else None, f"src{rng.randrange(4)}", 0) for i in range(600)]
+    mixed = mixing.mix_documents(frame(spark, docs), shares=shares).withColumn(
+        "expected", F.col("tokens") * F.col("mix_probability"))
+    total = mixed.agg(F.sum("expected")).first()[0]
+    for column in shares:
+        found = {r[column] or "*": r["n"] / total for r in mixed.groupBy(column).agg(
+            F.sum("expected").alias("n")).collect()}
+        whole = sum(shares[column].values())
+        assert found == pytest.approx({c: s / whole for c, s in shares[column].items()}, abs=1e-6)
+
+
 def test_awkward_rows(spark):
     docs = clashing(frame(spark, awkward()))
     report = mixing.mix_report(docs).collect()
     assert len(report) == docs.count()
     assert all(0 <= r["mix_probability"] <= 1 and r["mix_weight"] > 0 for r in report)
     assert all(r["mix_sampled"] for r in report if r["tokens"] == 0 and r["mix_probability"] == 1)
-    kept = mixing.sample_mix(docs)
+    kept = mixing.sample_mix(docs, 0.0)
     assert kept.columns == docs.columns
     assert kept.exceptAll(docs).isEmpty()
     assert kept.count() == sum(r["mix_sampled"] for r in report)

@@ -39,7 +39,7 @@ def test_stages_on_whole_table(spark):
     leaking = {d for d, *_ in leaks(texts(before), items)}
     assert leaking and {d for d, _ in texts(after)} == {d for d, _ in texts(before)} - leaking
     before, after = kept["mix"]
-    drawn = {r["doc_id"] for r in mixing.mix_report(before).where("mix_sampled").collect()}
+    drawn = {r["doc_id"] for r in mixing.mix_report(before, mixing.SLACK).where("mix_sampled").collect()}
     assert {d for d, _ in texts(after)} == drawn and len(drawn) > 0.3 * before.count()
     before, after = kept["shards"]
     dealt = {r["doc_id"]: (r["shard"], r["slot"]) for r in after.collect()}
