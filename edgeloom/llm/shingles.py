@@ -54,7 +54,13 @@ def column_bytes(column: pa.LargeStringArray) -> list[bytes]:
 
 
 def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """``word_hashes`` of all texts one after the other, and the number of words of each.
+    """``word_hashes`` of all texts one after the other, and the number of words of each."""
+    known, code, n = numbered_words(texts, lower)
+    return known[code], n
+
+
+def numbered_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different words, the number of every word among them, and how many each text has.
 
     Words are cut and numbered in Arrow, and each different one is hashed once. No text is
     taken apart in Python, so a very long one costs little more than its words.
@@ -68,4 +74,4 @@ def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
     code = cut.indices.to_numpy()
     kept = pc.binary_length(cut.dictionary).to_numpy(zero_copy_only=False)[code] > 0
     ends = np.append(0, np.cumsum(kept))[np.cumsum(pc.list_value_length(lists).to_numpy())]
-    return known[code[kept]], np.diff(np.append(0, ends))
+    return known, code[kept], np.diff(np.append(0, ends))
