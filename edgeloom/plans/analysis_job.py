@@ -14,6 +14,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from edgeloom.operators import ranking, report
+from edgeloom.plans import sql_queries
 from edgeloom.session import get_session
 from edgeloom.sources.edges import EdgeTableSet, read_tables, together, write_parquet
 
@@ -63,6 +64,15 @@ def preview(saved: dict[str, DataFrame], rows: int = 10) -> dict[str, DataFrame]
     }
 
 
+def sql_previews(spark: SparkSession, tables: EdgeTableSet, rows: int = 10) -> dict[str, DataFrame]:
+    """First rows of the two analyses that also exist as SQL text, run over views of ``tables``."""
+    tables.register_views()
+    return {
+        "top_followed in SQL": sql_queries.sql_top_followed(spark).limit(rows),
+        "top_followed_mentions in SQL": sql_queries.sql_top5_followed_mentions(spark),
+    }
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Rank users and write the user report.")
     parser.add_argument("parquet_dir")
@@ -70,8 +80,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master")
     args = parser.parse_args(argv)
     spark = get_session("edge analysis", master=args.master)
-    saved = save_results(spark, read_tables(spark, args.parquet_dir), args.results_dir)
-    for name, frame in preview(saved).items():
+    tables = read_tables(spark, args.parquet_dir)
+    saved = save_results(spark, tables, args.results_dir)
+    for name, frame in {**preview(saved), **sql_previews(spark, tables)}.items():
         print(name)
         frame.show()
 

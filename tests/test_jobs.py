@@ -30,6 +30,7 @@ def test_ingest_then_analysis(spark, tmp_path, capsys):
     analysis_job.main([str(tmp_path / "parquet"), str(tmp_path / "results")])
     out = capsys.readouterr().out
     assert all(name in out for name in analysis_job.RESULT_ORDER)
+    assert out.count(" in SQL") == 2
 
     def saved(name):
         return [tuple(r) for r in spark.read.parquet(str(tmp_path / "results" / name)).collect()]
@@ -60,7 +61,8 @@ def test_ledger_jobs(spark):
         ledger_job.main([job])
     assert sorted(r["value"] or 0 for r in spark.table("sums").collect()) == [0, 2]
     assert spark.table("counts").count() == 2
-    for name in ("counts", "sums"):
+    assert spark.table("marks").first()["value"] == 2
+    for name in ("counts", "sums", "marks"):
         spark.sql(f"DROP TABLE {name}")
 
 
