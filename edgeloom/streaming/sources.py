@@ -57,7 +57,8 @@ def land_in_order(frame: DataFrame, path: str, time: str, first: object, width:
     number = F.least(F.greatest(F.floor(since), F.lit(0)), F.lit(slices - 1))
     column = free_column("slice", frame.columns)
     # A stated number of tasks, which adaptive execution leaves as it is.
-    frame.withColumn(column, F.coalesce(number, F.lit(slices - 1)).cast("int")).repartition(
+    number = F.when(F.col(time).isNull(), slices - 1).otherwise(number)
+    frame.withColumn(column, number.cast("int")).repartition(
         slices, column
     ).write.partitionBy(column).parquet(f"{path}-slices")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
