@@ -179,7 +179,7 @@ FROM (SELECT event_id % 4 AS part, COUNT(*) AS n FROM events GROUP BY part)""",
     "stream_total": _EVENT_TOTAL,
     "stream_snapshots": """
 SELECT batch, CAST(SUM(n) OVER (ORDER BY batch) AS BIGINT) AS total
-FROM (SELECT date_diff('microsecond', first, ts) // (7 * 24 * 3600 * 1000000) AS batch, COUNT(*) AS n
+FROM (SELECT date_diff('microsecond', first, ts) // 604800000000 AS batch, COUNT(*) AS n
       FROM events, (SELECT MIN(ts) AS first FROM events) GROUP BY batch)""",
     "missing_items": EDGE_TABLES + """
 SELECT DISTINCT o_orderkey AS item FROM orders
