@@ -1,5 +1,8 @@
+import struct
+
 import numpy as np
 import pytest
+import xxhash
 from helpers import awkward, clashing, frame, prose
 from pyspark.sql import functions as F
 
@@ -66,6 +69,12 @@ def test_query_on_whole_table(spark):
         for c, n in expected_tokens.items():
             share = wanted[c] / sum(wanted.values())
             assert n / sum(expected_tokens.values()) == pytest.approx(share, abs=1e-6)
+    # Decisions are the documents' own: a hash of seed, id and text against the cell's chance.
+    for r in found:
+        mark = xxhash.xxh64_intdigest(struct.pack("<i", 17), 42)
+        mark = xxhash.xxh64_intdigest(struct.pack("<q", r["doc_id"]), mark)
+        mark = xxhash.xxh64_intdigest(docs[r["doc_id"]]["text"].encode(), mark)
+        assert r["mix_sampled"] == ((mark >> 11) * 2.0 ** -53 < r["mix_probability"])
     drawn = sum(r["mix_sampled"] for r in found)
     assert drawn == pytest.approx(sum(r["mix_probability"] for r in found), abs=80)
 
