@@ -22,6 +22,8 @@ SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, "
                 "l_returnflag string, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
 }
 
