@@ -45,7 +45,7 @@ END_ID = 0
 BLOCK = 4096
 #: Ids after which a file ends with the current document.
 FILE_IDS = 1 << 22
-#: Pieces of text in each of the two generations that a worker remembers, and their most letters.
+#: Pieces of text from which a generation is full (a worker remembers two), and their most letters.
 REMEMBERED, LONG_PIECE = 1 << 18, 64
 #: Letters of the texts that are encoded at a time, the last one aside.
 AT_A_TIME = 1 << 23
@@ -134,8 +134,8 @@ class PieceEncoder:
     cuts there and looks no further back, so pieces give the ids of the whole text; natural
     text repeats most of its pieces. Texts are cut and their pieces numbered in Arrow, each
     different piece is looked up once per call, and the ids are gathered by the pieces' numbers.
-    Short pieces met lately are remembered in two generations: the older one goes when the
-    younger is full, and pieces met again move to the younger.
+    Short pieces met lately are remembered in two generations: when a call leaves the younger
+    one full, the older one goes, and pieces met again move to the younger.
     """
 
     _BEHIND_SPACE = re.compile(r"\s[ \n]|\x01")
@@ -155,34 +155,36 @@ class PieceEncoder:
     def _looked_up(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; ``pieces`` should differ."""
         found = list(map(self._young.get, pieces))
-        ask, tokenize = [], self._model.tokenize
+        known, ask, tokenize = self._old.get, [], self._model.tokenize
+        young, packs = self._young, len(_PACK)
         for i in [i for i, ids in enumerate(found) if ids is None]:
             piece = pieces[i]
-            if (ids := self._old.get(piece)) is None:
-                if piece[:1] != " " or not piece[1:].isalpha():
+            if (ids := known(piece)) is None:
+                letters = piece[1:]
+                if piece[:1] != " " or not letters.isalpha():
                     ask.append(i)
                     continue
                 # Letters behind a blank are one word of the vocabulary's rule.
-                if piece.isascii():
-                    word = _BLANK + piece[1:]
+                if letters.isascii():
+                    word = _BLANK + letters
                 else:
                     word = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                ids = _four_bytes([t.id for t in tokenize(word)])
-            found[i] = ids
-            self._remember(piece, ids)
+                own = [t.id for t in tokenize(word)]
+                ids = _PACK[len(own)](*own) if len(own) < packs else _four_bytes(own)
+            found[i] = young[piece] = ids
         if ask:
             told = self._tokenizer.encode_batch_fast([pieces[i] for i in ask], add_special_tokens=False)
             for i, e in zip(ask, told):
-                found[i] = _four_bytes(e.ids)
-                self._remember(pieces[i], found[i])
+                found[i] = young[pieces[i]] = _four_bytes(e.ids)
+        self._forget(pieces)
         return found
 
-    def _remember(self, piece: str, ids: bytes) -> None:
-        if len(piece) > LONG_PIECE:
-            return
+    def _forget(self, pieces: list[str]) -> None:
+        """Long pieces at once; the older generation when the younger one is full."""
+        for piece in [p for p in pieces if len(p) > LONG_PIECE]:
+            self._young.pop(piece, None)
         if len(self._young) >= REMEMBERED:
             self._old, self._young = self._young, {}
-        self._young[piece] = ids
 
     def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
