@@ -236,16 +236,26 @@ def two_hop_reach_exact(
 ) -> DataFrame:
     """``source, reached``: how many distinct items each reaches in two steps, exactly.
 
-    An item in the middle with more than ``hub_pairs`` pairs of an edge in and an edge out is
-    a hub. What a hub reaches is one set of bitmaps, of 32,768 neighbouring ids and 4 KB each;
-    its sources take these over, and they are merged per source. So a hub costs its edges
-    in times its bitmaps, never a pair of ends. All other items are joined edge by edge. Only
-    sources that reach a hub have the rest of their pairs in bitmaps too, the others are
-    counted as they are. Targets have to be whole numbers; a NULL target is nothing reached, and
-    sources that reach nothing have no row.
+    A source with one item in the middle reaches what this item does, which is counted once
+    per item: work and rows grow with the edges, however many sources share it. The rest is
+    for sources with several items, whose targets may overlap. An item with more than
+    ``hub_pairs`` pairs of an edge in from these and an edge out is a hub. What a hub reaches is one set of
+    bitmaps, of 32,768 neighbouring ids and 4 KB each; its sources take these over, and they
+    are merged per source. So a hub costs its edges in from such sources times its bitmaps,
+    never a pair of ends. All other items are joined edge by edge. Only sources that reach a
+    hub have the rest of their pairs in bitmaps too, the others are counted as they are.
+    Targets have to be whole numbers; a NULL target is nothing reached, and sources that
+    reach nothing have no row.
     """
     left, right = _hops(first_hop, second_hop, source, target, distinct_edges=False)
     right = right.where(F.col("target").isNotNull()).withColumn("target", F.col("target").cast("bigint"))
+    # The keys as one struct, which is never NULL: a NULL source is a source like any other.
+    left = left.where(F.col("via").isNotNull()).select(F.struct("source").alias("source"), "via")
+    vias = left.groupBy("source").agg(F.min("via").alias("via"), F.max("via").alias("other"))
+    alone = F.col("via") == F.col("other")
+    sizes = right.groupBy("via").agg(F.count("*").alias("reached"))
+    single = vias.where(alone).join(sizes, "via").select("source", "reached")
+    left = left.join(vias.where(~alone).select("source"), "source", "left_semi")
     ins, outs = (
         edges.where(F.col("via").isNotNull()).groupBy("via").agg(F.count("*").alias(name))
         for edges, name in ((left, "ins"), (right, "outs"))
@@ -267,4 +277,4 @@ def two_hop_reach_exact(
         .groupBy("source").agg(F.sum("n").alias("reached"))
     )
     plain = pairs.join(at_hub, "source", "left_anti").groupBy("source").agg(F.count("*").alias("reached"))
-    return merged.union(plain)
+    return single.union(merged).union(plain).select("source.source", "reached")

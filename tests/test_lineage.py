@@ -204,6 +204,35 @@ def test_a_hub_makes_no_pairs(spark):
     assert rows and max(rows) <= 2 * n
 
 
+@pytest.mark.parametrize("nobody", [7, None])
+def test_sources_of_one_item_share_its_count(spark, nobody):
+    """400 sources at a hub that reaches 300 thinly spread ids: no row per source and block of ids."""
+    n = 400
+    ins = spark.range(n).selectExpr("id AS source", "0L AS target").union(
+        spark.createDataFrame([(nobody, 0), (nobody, 1), (n + 1, 1), (n + 1, 1), (n + 2, 9)], "source long, target long"))
+    outs = spark.range(300).selectExpr("0L AS source", "id * 40000 AS target").union(
+        spark.createDataFrame([(1, 40000), (1, 5), (1, 5), (1, None)], "source long, target long"))
+    found = lineage.two_hop_reach_exact(ins, outs, hub_pairs=500)
+    expected = {k: 300 for k in range(n)} | {nobody: 301, n + 1: 2}
+    rows = found.collect()
+    assert {r["source"]: r["reached"] for r in rows} == expected and len(rows) == len(expected)
+    made = []
+
+    def visit(node):
+        metrics = node.metrics()
+        if metrics.contains("numOutputRows"):
+            made.append(metrics.apply("numOutputRows").value())
+        name = node.getClass().getSimpleName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else (
+            [node.plan()] if name.endswith("QueryStageExec") else [])
+        for child in [*below, *(node.children().apply(i) for i in range(node.children().size()))]:
+            visit(child)
+
+    found.collect()
+    visit(found._jdf.queryExecution().executedPlan())
+    assert made and max(made) <= 2 * n
+
+
 @pytest.mark.parametrize("bits", [6, 12, 24])
 def test_missing_items_with_a_filter_on_what_landed(spark, bits):
     rng = random.Random(bits)
