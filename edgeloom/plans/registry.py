@@ -29,8 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR_SECONDS = 3600
 # Rows of both streams that a micro-batch of the registered latency stream takes at least.
-BATCH_ROWS = 100_000
-STREAM_BUCKETS = 16
+BATCH_ROWS = 1_000_000
+STREAM_BUCKETS = 24
 LEDGER_PARTS = 4
 SNAPSHOT_SECONDS = 7 * 24 * 3600.0
 # Low, so that the small tables' nations lie on both sides of it.
@@ -252,7 +252,7 @@ def _drained_latency(spark: SparkSession, sf_dir: str, batch_rows: int = BATCH_R
         parquet_stream(spark, arrivals, files_per_trigger=1),
         max_wait=THIRTY_DAYS_SECONDS, allowed_delay="1 day", buckets=STREAM_BUCKETS,
     )
-    return drain(final, "stream-latency")
+    return drain(final, "stream-latency", partitions=STREAM_BUCKETS)
 
 
 def _zoneless(final: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -88,6 +89,8 @@ def stream_latency(
 
 #: Earliest arrival of a run that has none yet.
 NEVER = np.iinfo(np.int64).max
+#: Rows of a bucket that are taken in at once, or as many as its state has.
+AT_ONCE = 1 << 17
 
 
 def stream_latency_timed(
@@ -152,20 +155,30 @@ def earliest_arrivals(
     one from then on, if within the wait. Arrivals from a run's start on are used up, earlier
     ones stay loose.
     """
-    whole = open_runs.dropna(subset=keys)
-    others = open_runs[open_runs[keys].isna().any(axis=1)]
-    first = whole.groupby(keys, as_index=False, sort=False)["started"].min()
+    has_key = open_runs[keys].notna().all(axis=1).to_numpy()
+    whole, others = open_runs[has_key], open_runs[~has_key]
+    # One number per different key; from here on only whole numbers are compared.
+    both = pd.concat([whole[keys], loose[keys]], ignore_index=True)
+    if len(keys) == 1:
+        code, found = pd.factorize(both[keys[0]])
+        many = len(found)
+    else:
+        code = both.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+        many = int(code.max(initial=-1)) + 1
+    of_run, of_event = code[:len(whole)], code[len(whole):]
+    started, arrived = (np.full(many, NEVER) for _ in range(2))
+    np.minimum.at(started, of_run, whole["started"].to_numpy(np.int64))
     # An arrival known under a later start is an arrival like any other.
-    known = whole.loc[whole["arrived"] != NEVER, [*keys, "arrived"]].rename(columns={"arrived": "us"})
-    # Whole numbers throughout: microseconds are beyond what floating ones hold for sure.
-    at = first.assign(started=first["started"].astype("Int64"))
-    met = pd.concat([loose, known]).merge(at, on=keys, how="left")
-    used = (met["us"] >= met["started"]).fillna(False).astype(bool)
-    inside = met[used & (met["us"] < met["started"] + wait).fillna(False).astype(bool)]
-    found = inside.groupby(keys, as_index=False, sort=False)["us"].min()
-    found["us"] = found["us"].astype("Int64")
-    first = first.merge(found, on=keys, how="left")
-    first["arrived"] = first.pop("us").astype("Int64").fillna(NEVER).astype("int64")
+    known = whole["arrived"].to_numpy(np.int64) != NEVER
+    met = pd.concat([loose, whole.loc[known, [*keys, "arrived"]].rename(columns={"arrived": "us"})])
+    us, of_event = met["us"].to_numpy(np.int64), np.append(of_event, of_run[known])
+    start = started[of_event]
+    used = us >= start
+    inside = np.flatnonzero(used)
+    inside = inside[us[inside] - start[inside] < wait]
+    np.minimum.at(arrived, of_event[inside], us[inside])
+    run, place = np.unique(of_run, return_index=True)
+    first = whole[keys].iloc[place].assign(started=started[run], arrived=arrived[run])
     return pd.concat([first, others]), met.loc[~used, [*keys, "us"]]
 
 
@@ -180,12 +193,24 @@ def _bucket(keys: list[str], wait: int):
             is_run = held["started"] != NEVER
             open_runs = held[is_run]
             loose = held.loc[~is_run, [*keys, "arrived"]].rename(columns={"arrived": "us"})
-        for part in rows:
-            starts = part.loc[part["start"], [*keys, "us"]].rename(columns={"us": "started"})
-            open_runs = pd.concat([open_runs, starts.assign(arrived=NEVER)])
-            loose = pd.concat([loose, part.loc[~part["start"], [*keys, "us"]]])
-            # Also between parts, so that a busy run's events are not gathered.
-            open_runs, loose = earliest_arrivals(open_runs, loose, keys, wait)
+        waiting, n = [], 0
+        for part in chain(rows, [None]):
+            if part is not None:
+                waiting.append(part)
+                n += len(part)
+                # Parts are taken in once they are as many rows as the state has, so each row is
+                # looked at a bounded number of times, and a busy run's events are not gathered.
+                if n < max(AT_ONCE, len(open_runs) + len(loose)):
+                    continue
+            if waiting:
+                new = pd.concat(waiting)
+                is_start = new["start"].to_numpy(bool)
+                starts = new.loc[is_start, [*keys, "us"]].rename(columns={"us": "started"})
+                open_runs, loose = earliest_arrivals(
+                    pd.concat([open_runs, starts.assign(arrived=NEVER)], ignore_index=True),
+                    pd.concat([loose, new.loc[~is_start, [*keys, "us"]]], ignore_index=True), keys, wait,
+                )
+                waiting, n = [], 0
         over = open_runs["started"] + wait <= watermark
         final, open_runs = open_runs[over], open_runs[~over]
         loose = loose[loose["us"] >= watermark]

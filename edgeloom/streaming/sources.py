@@ -18,6 +18,8 @@ from edgeloom.session import scratch_path
 
 # Characters with a meaning in path patterns.
 PATTERN_CHARACTERS = re.compile(r"[\\*?\[\]{}^]")
+# Bytes of a row group of a landed slice.
+ROW_GROUP = 4 << 20
 
 
 def parquet_stream(
@@ -51,6 +53,7 @@ def land_in_order(frame: DataFrame, path: str, time: str, first: object, width:
     slices out to as many tasks, which write beside ``path``; whole files are then moved there.
     A file stream takes files in the order of their modification times, so these are set to
     follow each other as the slices do; the store has to support that, as HDFS and local folders do.
+    Row groups are small, so that a large slice is read by several tasks.
     """
     spark = frame.sparkSession
     since = (micros(F.col(time)) - micros(F.lit(first))) / F.lit(width * MICROS_PER_SECOND)
@@ -60,7 +63,7 @@ def land_in_order(frame: DataFrame, path: str, time: str, first: object, width:
     number = F.when(F.col(time).isNull(), slices - 1).otherwise(number)
     frame.withColumn(column, number.cast("int")).repartition(
         slices, column
-    ).write.partitionBy(column).parquet(f"{path}-slices")
+    ).write.partitionBy(column).option("parquet.block.size", ROW_GROUP).parquet(f"{path}-slices")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.mkdirs(hadoop.Path(path))
@@ -97,22 +100,30 @@ class Drained:
         return max((o["numRowsTotal"] for p in self.progress for o in p["stateOperators"]), default=0)
 
 
-def drain(stream: DataFrame, label: str) -> Drained:
+def drain(stream: DataFrame, label: str, partitions: int | None = None) -> Drained:
     """Runs an append-mode stream over all available input.
 
     Checkpoint and output lie in the shared scratch folder, so a restarted
-    query resumes there and every executor can read the result.
+    query resumes there and every executor can read the result. ``partitions`` is the number
+    of the stream's state stores, each of which is committed with every batch, even if
+    empty; by default that of the session's shuffles.
     """
     spark = stream.sparkSession
     base = scratch_path(spark, label)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", f"{base}/output")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions or before))
+    try:
+        # A stream works in a copy of the session from its start on.
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", f"{base}/output")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
     progress = [json.loads(p.json) for p in query.recentProgress]
     return Drained(spark.read.schema(stream.schema).parquet(f"{base}/output"), progress)

@@ -135,6 +135,49 @@ def test_open_runs_are_all_that_is_held():
     assert max(held) < 150 and state.due > 0
 
 
+def test_rows_are_looked_at_a_bounded_number_of_times(monkeypatch):
+    """A batch of many parts costs in proportion to its rows, not to parts times the state."""
+    from edgeloom.streaming import lineage
+
+    looked_at = []
+
+    def counted(open_runs, loose, keys, wait):
+        looked_at.append(len(open_runs) + len(loose))
+        return earliest_arrivals(open_runs, loose, keys, wait)
+
+    class State:
+        exists, get = False, None
+        getCurrentWatermarkMs = lambda self: 0
+        setTimeoutTimestamp = lambda self, ms: None
+        update = lambda self, new: setattr(self, "get", new)
+
+    monkeypatch.setattr(lineage, "earliest_arrivals", counted)
+    monkeypatch.setattr(lineage, "AT_ONCE", 50, raising=False)
+    parts = [pd.DataFrame({"key_0": [f"r{i}_{k}" for k in range(100)], "start": [k % 2 == 0 for k in range(100)],
+                           "us": [1000 + k for k in range(100)]}) for i in range(64)]
+    state = State()
+    assert list(lineage._bucket(["key_0"], 30_000_000)((0,), iter(parts), state)) == []
+    assert pa.ipc.open_stream(state.get[0]).read_all().num_rows == 6400
+    assert sum(looked_at) <= 4 * 6400 and max(looked_at) >= 6400
+
+
+def test_earliest_arrivals_by_two_keys():
+    runs = pd.DataFrame({"a": ["x", "x", "y"], "b": ["1", "2", None], "started": [10, 20, 30],
+                         "arrived": [NEVER, 25, NEVER]})
+    loose = pd.DataFrame({"a": ["x", "x", "x", "z"], "b": ["1", "1", "2", "1"], "us": [14, 9, 21, 5]})
+    found, left = earliest_arrivals(runs, loose, ["a", "b"], 5)
+    assert sorted(map(str, found.fillna("").itertuples(index=False, name=None))) == sorted(
+        map(str, [("x", "1", 10, 14), ("x", "2", 20, 21), ("y", "", 30, NEVER)]))
+    assert sorted(left.itertuples(index=False, name=None)) == [("x", "1", 9), ("z", "1", 5)]
+
+
+def test_a_drained_stream_has_the_state_stores_asked_for(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    drained = registry._drained_latency(spark, "/root/testdata/sf0.001")
+    stores = {o["numShufflePartitions"] for p in drained.progress for o in p["stateOperators"]}
+    assert stores == {registry.STREAM_BUCKETS} and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_a_run_given_several_starts_counts_from_the_first():
     runs = pd.DataFrame({"k": ["a", "a", None], "started": [50, 20, 5], "arrived": [60, NEVER, NEVER]})
     loose = pd.DataFrame({"k": ["a", "a", "b"], "us": [10, 45, 7]})
