@@ -1,20 +1,20 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-A context is a run of up to ``DEPTH`` words that occurs often enough in the training documents.
+A context is a run of up to ``DEPTH`` words that repeats in the training documents.
 It is retained if its distribution of next words diverges from that of the next shorter
 context by more than its entries cost to state. A word is predicted from the longest retained
 suffix of what precedes it: the state's own share for the word, discounted, plus what the
 discounts leave times the prediction of the next shorter one, down to the root, the add-one
 unigram estimate over all training words. Every frequent context is tested, whether its
-suffixes were retained or not. All bounds are counts, the same at every size, so the tree
-grows with the corpus.
+suffixes were retained or not. What is retained is decided by this test: the least counts
+only leave out what occurs once. The tree grows with the corpus.
 
 The tree is two tables in Spark, contexts and entries, grown level by level by a shuffle each:
 a pass over the texts counts the words behind frequent contexts, the counts meet the level
 before, and the test is a grouping by context, combined before its shuffle. Tasks that score
 hold a bounded part of the tree, its most frequent contexts with all their entries, and a
 filter of fixed size of all others. A word whose state is not decided by these is sent
-to the tables, once per different run of words. What a task holds decides how much is
+to the tables from the first open context on, once per different run of words. What a task holds decides how much is
 shuffled, never what a word scores.
 """
 
@@ -36,8 +36,8 @@ from edgeloom.llm.tables import written
 FOLDS, HELD_OUT = 7, 2
 #: Words of the longest contexts.
 DEPTH = 2
-#: Least counts of a context and of an entry (a word behind a context).
-LEAST_CONTEXT, LEAST_ENTRY = 512, 32
+#: Least counts of a context and of an entry (a word behind a context): both have to repeat.
+LEAST_CONTEXT, LEAST_ENTRY = 2, 2
 #: Nats that an entry of a retained context must gain on average over all its occurrences.
 PENALTY = 8.0
 #: Taken off each entry's count in favour of the shorter context.
@@ -46,6 +46,8 @@ DISCOUNT = 0.75
 HELD = 1 << 20
 #: Bits of the filters, as a power of two: 4 MB.
 FILTER_BITS = 25
+#: Bytes of texts that a task works on at a time.
+SLICE = 1 << 20
 #: The end of a document, also what precedes its first word. No word holds a blank.
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +84,7 @@ def _sequences(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, n
 def _numbered(batch: pa.RecordBatch, column: int):
     """As ``_sequences``, with the hashes of the different words and the number of each word."""
     texts = batch.column(column)
-    for start, end in text_slices(texts):
+    for start, end in text_slices(texts, SLICE):
         known, words, n = numbered_words(texts.slice(start, end - start), lower=True)
         lengths = n + 2
         ends = np.cumsum(lengths)
@@ -303,15 +305,16 @@ def _values(held: np.ndarray, place: np.ndarray) -> np.ndarray:
 def score_sequences(tree: Held, known: np.ndarray, code: np.ndarray, lengths: np.ndarray):
     """For each predicted word: its place, what is known of its log10 probability, and what isn't.
 
-    ``known`` are the different words, ``code`` numbers them. ``open`` words meet a context that the task doesn't hold; their score is left to the tables.
-    Words that are not ``ended`` by an entry still need the root's estimate.
+    ``known`` are the different words, ``code`` numbers them. Words that meet a context which the
+    task doesn't hold are ``open`` from its length on (0: not): the tables know the rest of their
+    score. Words that are ``going`` on still need the root's estimate.
     """
     offsets = _offsets(lengths)
     at = np.flatnonzero(offsets > 0)
     names = runs(known[code], tree.depth)
     # Contexts of one word are looked up once per different word.
     single, other_single = _find(tree.contexts, known), in_filter(tree.others, known)
-    score, going, open_ = np.zeros(len(at)), np.ones(len(at), bool), np.zeros(len(at), bool)
+    score, going, open_ = np.zeros(len(at)), np.ones(len(at), bool), np.zeros(len(at), np.int64)
     for length in range(tree.depth, 0, -1):
         # A run of so many words has to lie in the document.
         inside = going & (offsets[at] >= length)
@@ -328,7 +331,7 @@ def score_sequences(tree: Held, known: np.ndarray, code: np.ndarray, lengths: np
             entry[found] >= 0, _values(tree.likely, entry[found]), _values(tree.left, state[found])
         )
         other = inside & (state < 0) & other
-        open_ |= other
+        open_[other] = length
         going &= (entry < 0) & ~other
     return at, score, going, open_
 
@@ -340,24 +343,24 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 _SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_held long, base double, own double, "
-           "word long, times long, ended long, words array<long>")
+           "word long, times long, ended long, run long, words array<long>")
 
 
 def _scores(shared):
     """Rows of ``_SCORED``: one per document, and one per word that the task can't settle.
 
     The latter have either ``word`` (absent from the held words; ``times`` it is in the
-    document, ``ended`` of them without need of the root) or the run ``words`` of an open one.
+    document, ``ended`` of them without need of the root) or ``run``, the name of an open one's
+    words. Without a document: the ``words`` of a run, once per slice.
     """
     names = [c.split()[0] for c in _SCORED.split(", ")]
 
-    def rows(some, places, word=None, times=None, ended=None, words=None) -> pa.RecordBatch:
-        n = len(places)
+    def rows(n, row=None, word=None, times=None, ended=None, run=None, words=None) -> pa.RecordBatch:
         long, double = pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64())
         return pa.RecordBatch.from_arrays([
-            some.column(0).take(pa.array(places)), long, pa.nulls(n, pa.bool_()), long, long, double, double,
+            long if row is None else row, long, pa.nulls(n, pa.bool_()), long, long, double, double,
             long if word is None else pa.array(word), long if times is None else pa.array(times),
-            long if ended is None else pa.array(ended),
+            long if ended is None else pa.array(ended), long if run is None else pa.array(run),
             pa.nulls(n, pa.list_(pa.int64())) if words is None else words,
         ], names=names)
 
@@ -370,12 +373,12 @@ def _scores(shared):
                 document = np.repeat(np.arange(len(lengths)), lengths - 1)
                 place, n = _find(tree.words, words), len(lengths)
                 root, known = _values(tree.root, place)[code[at]], (place >= 0)[code[at]]
-                own = np.where(opened, 0.0, own + np.where(going, root, 0.0))
+                own = own + np.where(going, root, 0.0)
                 yield pa.RecordBatch.from_arrays([
                     some.column(0), some.column(1), some.column(2), pa.array(lengths - 1),
                     pa.array(np.bincount(document, known, n).astype(np.int64)),
                     pa.array(np.bincount(document, root, n)), pa.array(np.bincount(document, own, n)),
-                    *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.list_(pa.int64())),
+                    *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.list_(pa.int64())),
                 ], names=names)
                 # Rare words once per document.
                 rare = np.flatnonzero(~known)
@@ -383,63 +386,74 @@ def _scores(shared):
                 doc, word = document[order], hashes[at[order]].view(np.int64)
                 first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
                 if len(first):
-                    done = (~going | opened)[order].astype(np.int64)
-                    yield rows(some, doc[first], word[first], np.diff(np.append(first, len(doc))),
-                               np.add.reduceat(done, first))
+                    done = (~going)[order].astype(np.int64)
+                    yield rows(len(first), some.column(0).take(pa.array(doc[first])), word[first],
+                               np.diff(np.append(first, len(doc))), np.add.reduceat(done, first))
                 left = np.flatnonzero(opened)
                 if len(left):
-                    offsets = _offsets(lengths)[at[left]]
-                    size = np.minimum(offsets, tree.depth) + 1
+                    size, place = opened[left] + 1, at[left]
+                    run = np.choose(size - 2, [r[place] for r in runs(hashes, tree.depth)[1:]]).view(np.int64)
+                    yield rows(len(left), some.column(0).take(pa.array(document[left])), run=run)
+                    run, once = np.unique(run, return_index=True)
+                    size, place = size[once], place[once]
                     ends = np.cumsum(size)
                     inside = np.arange(ends[-1]) - np.repeat(ends - size, size)
-                    run = hashes[np.repeat(at[left] - size + 1, size) + inside].view(np.int64)
+                    words = hashes[np.repeat(place - size + 1, size) + inside].view(np.int64)
                     offset = pa.array(np.append(0, ends).astype(np.int32))
-                    yield rows(some, document[left], words=pa.ListArray.from_arrays(offset, pa.array(run)))
+                    yield rows(len(run), run=run, words=pa.ListArray.from_arrays(offset, pa.array(words)))
     return score
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``words, length, entry, key``: under what the tables know a run's contexts, entries and last word."""
+    """``run, length, entry, key``: under what the tables know a run's contexts, entries and last word."""
     for batch in batches:
-        lists, rows = batch.column(0).to_pylist(), []
-        for own in lists:
-            hashes = np.array(own, np.int64).view(np.uint64)
-            names, last = runs(hashes, len(own) - 1), len(own) - 1
-            rows.append((own, 0, True, own[-1]))
-            for length in range(1, len(own)):
-                context, entry = (int(names[k].view(np.int64)[i]) for k, i in ((length - 1, last - 1), (length, last)))
-                rows.append((own, length, False, context ^ _CONTEXT))
-                rows.append((own, length, True, entry))
-        words, length, entry, key = zip(*rows) if rows else ((),) * 4
-        yield pa.RecordBatch.from_arrays([
-            pa.array(words, pa.list_(pa.int64())), pa.array(length, pa.int32()), pa.array(entry, pa.bool_()),
-            pa.array(key, pa.int64()),
-        ], names=["words", "length", "entry", "key"])
-
-
-def _from_tables(runs_: DataFrame, tree: Tree, counts: DataFrame, room: float) -> DataFrame:
-    """``words, score``: the log10 probability of the last of each run of ``words``, once per run."""
+        run, lists = batch.column(0).to_numpy(), batch.column(1)
+        flat = lists.flatten().to_numpy().view(np.uint64)
+        sizes = lists.value_lengths().to_numpy()
+        begin = np.cumsum(sizes) - sizes
+        for size in np.unique(sizes):
+            of_size = np.flatnonzero(sizes == size)
+            words = flat[begin[of_size, None] + np.arange(size)]
+            keys = [(0, True, words[:, -1].copy().view(np.int64))]
+            for length in range(1, size):
+                # Names of the runs of so many words, and of one more.
+                context = words[:, -2].copy().view(np.int64) ^ np.int64(_CONTEXT)
+                words = joined(words[:, :-1], words[:, 1:])
+                keys += [(length, False, context), (length, True, words[:, -1].copy().view(np.int64))]
+            n = len(of_size)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.tile(run[of_size], len(keys))),
+                pa.array(np.repeat(np.array([k[0] for k in keys], np.int32), n)),
+                pa.array(np.repeat([k[1] for k in keys], n)), pa.array(np.concatenate([k[2] for k in keys])),
+            ], names=["run", "length", "entry", "key"])
+
+
+def _from_tables(runs_: DataFrame, tree: Tree, counts: DataFrame, room: float, depth: int) -> DataFrame:
+    """``run, score``: the log10 probability of the last of each run of ``words``, once per ``run``."""
     known = (
         tree.contexts.select(F.col("key").bitwiseXOR(F.lit(_CONTEXT)).alias("key"), F.col("left").alias("value"))
         .union(tree.entries.select("key", "p"))
         .union(counts.select("key", (F.col("n") + 1) / F.lit(room)))
     )
-    asked = runs_.select("words").distinct().mapInArrow(
-        _asked, "words array<long>, length int, entry boolean, key long"
-    )
+    asked = runs_.distinct().mapInArrow(_asked, "run long, length int, entry boolean, key long")
     # The root always answers: a word without a count is one in ``room``.
     met = asked.join(known, "key", "left").withColumn(
         "value", F.coalesce("value", F.when(F.col("length") == 0, 1 / F.lit(room)))
     ).where("value IS NOT NULL")
-    found = met.groupBy("words").agg(
-        F.max(F.when(F.col("entry"), F.struct("length", "value"))).alias("state"),
-        F.collect_list(F.when(~F.col("entry"), F.struct("length", "value"))).alias("contexts"),
-    )
-    left = F.aggregate(
-        F.filter("contexts", lambda c: c["length"] > F.col("state.length")), F.lit(0.0),
-        lambda total, c: total + F.log10(c["value"]),
+
+    def value(length: int, entry: bool) -> Column:
+        return F.max(F.when((F.col("length") == length) & (F.col("entry") == entry), F.col("value")))
+
+    levels = range(1, depth + 1)
+    found = met.groupBy("run").agg(
+        *[value(k, True).alias(f"entry_{k}") for k in (0, *levels)],
+        *[value(k, False).alias(f"left_{k}") for k in levels],
     )
-    return found.select("words", (left + F.log10("state.value")).alias("score"))
+    score = F.log10("entry_0")
+    for k in levels:
+        shorter = F.coalesce(F.log10(f"left_{k}"), F.lit(0.0)) + score
+        score = F.coalesce(F.log10(f"entry_{k}"), shorter)
+    return found.select("run", score.alias("score"))
 
 
 def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -471,13 +485,13 @@ def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
         F.sum(F.col("times") * root).alias("rare"),
         F.sum((F.col("times") - F.col("ended")) * root).alias("rare_own"),
     )
-    opened = scored.where("words IS NOT NULL").select("row", "words")
-    settled = opened.join(_from_tables(opened, tree, counts, room), "words").groupBy("row").agg(
-        F.sum("score").alias("opened")
-    )
+    asked = scored.where("words IS NOT NULL").select("run", "words")
+    settled = scored.where("run IS NOT NULL AND row IS NOT NULL").select("row", "run").join(
+        _from_tables(asked, tree, counts, room, bounds.depth), "run"
+    ).groupBy("row").agg(F.sum("score").alias("opened"))
     none = F.lit(0.0)
     return (
-        scored.where("n_tokens IS NOT NULL").drop("words", "word", "times", "ended")
+        scored.where("n_tokens IS NOT NULL").drop("words", "run", "word", "times", "ended")
         .join(looked_up, "row", "left").join(settled, "row", "left").select(
             F.col("doc_id"), "held_out", "n_tokens",
             (F.col("n_held") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),

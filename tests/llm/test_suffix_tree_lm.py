@@ -182,3 +182,26 @@ def test_very_long_text(spark):
     long = prose(rng, 1_500_000)
     rows = [(1, long), (2, long[:1000]), (3, "x" * 3_000_000)]
     check(lm.score_report(frame(spark, rows)).collect(), rows)
+
+
+def test_what_repeats_is_tested(spark):
+    """No least count beyond repetition: a word that always follows a rare context is an entry."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["the", "on", "it"]) for _ in range(80)) for _ in range(120)]
+    rows = [(i, t + (" seldom met words follow" if i % 20 == 0 else "")) for i, t in enumerate(texts)]
+    brute = BruteTree([t for d, t in rows if not held_out(d)], lm.Bounds())
+    assert (b"seldom",) in brute.left and (b"met", b"words", b"follow") in brute.grams
+    found = {r["doc_id"]: (r["score"], r["base_score"]) for r in lm.score_report(frame(spark, rows)).collect()}
+    for d, t in rows:
+        assert found[d][0] == pytest.approx(brute.score(t), abs=1e-9)
+    assert all(found[d][0] > found[d][1] + 3 for d in range(0, 120, 20))
+
+
+def test_a_word_that_is_open_below_a_held_context(spark):
+    """Frequent contexts of two words are held, their last words are not always."""
+    rows = list(enumerate(corpus()))
+    brute = BruteTree([t for d, t in rows if not held_out(d)], lm.Bounds(depth=3, context=2, entry=2, penalty=1.0))
+    for held in (0, 25, 400):
+        bounds = lm.Bounds(depth=3, context=2, entry=2, penalty=1.0, held=held)
+        for r in lm.score_report(frame(spark, rows), bounds).collect():
+            assert r["score"] == pytest.approx(brute.score(rows[r["doc_id"]][1]), abs=1e-9)
