@@ -104,14 +104,14 @@ def drain(stream: DataFrame, label: str, partitions: int | None = None) -> Drain
     """Runs an append-mode stream over all available input.
 
     Checkpoint and output lie in the shared scratch folder, so a restarted
-    query resumes there and every executor can read the result. ``partitions`` is the number
-    of the stream's state stores, each of which is committed with every batch, even if
-    empty; by default that of the session's shuffles.
+    query resumes there and every executor can read the result. ``partitions`` is the most
+    state stores of the stream, each of which is committed with every batch, even if empty;
+    by default it has as many as the session's shuffles.
     """
     spark = stream.sparkSession
     base = scratch_path(spark, label)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions or before))
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(partitions or int(before), int(before))))
     try:
         # A stream works in a copy of the session from its start on.
         query = (
