@@ -12,15 +12,19 @@ only leave out what occurs once. The tree grows with the corpus.
 The tree is two tables in Spark, contexts and entries, grown level by level by a shuffle each:
 a pass over the texts counts the words behind frequent contexts, the counts meet the level
 before, and the test is a grouping by context, combined before its shuffle. Tasks that score
-hold a bounded part of the tree, its most frequent contexts with all their entries, and a
-filter of fixed size of all others. A word whose state is not decided by these is sent
-to the tables from the first open context on, once per different run of words. What a task holds decides how much is
-shuffled, never what a word scores.
+hold a bounded part of the tree, its most frequent contexts with all their entries, and
+filters of fixed size of all others. A word that meets a context which may be among the others is
+open: its context and entry are sent to the tables, with the rest of its score where the task
+knows it. What a task holds decides how much is shuffled, never what a word scores.
+
+Each table is written on its own; what Spark shuffled for it is removed then, and tables that
+only the next one needs go with it. So the disk holds one step's data beside the tree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.shingles import mixed, numbered_words, text_slices
-from edgeloom.llm.tables import written
+from edgeloom.llm.tables import passing, settled
 
 #: A document is held out if crc32 of its id as text leaves this remainder.
 FOLDS, HELD_OUT = 7, 2
@@ -42,17 +46,17 @@ LEAST_CONTEXT, LEAST_ENTRY = 2, 2
 PENALTY = 8.0
 #: Taken off each entry's count in favour of the shorter context.
 DISCOUNT = 0.75
-#: Entries of the tree, and words, that a task holds at most.
-HELD = 1 << 20
+#: Entries of the tree that a task holds at most (64 MB), and a quarter as many words.
+HELD = 1 << 22
 #: Bits of the filters, as a power of two: 4 MB.
 FILTER_BITS = 25
 #: Bytes of texts that a task works on at a time.
 SLICE = 1 << 20
+#: Rows of counts that a task brings together before it sends them.
+GATHERED = 1 << 21
 #: The end of a document, also what precedes its first word. No word holds a blank.
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Tells contexts from entries of the same words.
-_CONTEXT = 0x5851F42D4C957F2D
 
 
 # ------------------------------------------------------------------ runs of words
@@ -62,6 +66,14 @@ def joined(before: np.ndarray, behind: np.ndarray) -> np.ndarray:
     return mixed(before) * _STEP + behind
 
 
+def names_at(named: list[np.ndarray], runs_of: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The name at each place, of a run of one word more than ``runs_of`` says."""
+    names = np.zeros(len(at), np.uint64)
+    for k in np.unique(runs_of):
+        names[runs_of == k] = named[k][at[runs_of == k]]
+    return names
+
+
 def runs(hashes: np.ndarray, depth: int) -> list[np.ndarray]:
     """Names of the runs of 1 to ``depth + 1`` words that end at each place (0 before there are so many)."""
     found = [hashes]
@@ -120,26 +132,54 @@ def filter_of(keys: DataFrame) -> np.ndarray:
 
 # ----------------------------------------------------------------------- growing
 
+def _gathered(slices: Iterable[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a name, more columns that it decides, and a count last: one per name for many slices."""
+    waiting: list[list[np.ndarray]] = []
+
+    def together() -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*waiting)]
+        waiting.clear()
+        order = np.argsort(columns[0])
+        name = columns[0][order]
+        start = np.flatnonzero(np.append(True, name[1:] != name[:-1])[:len(name)])
+        first, n = order[start], np.add.reduceat(columns[-1][order], start) if len(start) else columns[-1]
+        # The name itself is sent only where nothing else tells it.
+        kept = columns[1:-1] or columns[:1]
+        return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in kept), pa.array(n)], names=names)
+
+    rows = 0
+    for columns in slices:
+        waiting.append(columns)
+        rows += len(columns[0])
+        if rows >= GATHERED:
+            yield together()
+            rows = 0
+    if waiting:
+        yield together()
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``key, n``: every token of the texts, one end per document among them."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
-            for _, _, hashes, lengths in _sequences(batch, 0):
-                key, n = np.unique(hashes[_offsets(lengths) > 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"]
-                )
+            for _, _, known, code, lengths in _numbered(batch, 0):
+                n = np.bincount(code[_offsets(lengths) > 0], minlength=len(known))
+                # White space may leave an empty piece among the words.
+                yield [known[n > 0], n[n > 0]]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(found(batches), ["key", "n"])
 
     return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarray) -> DataFrame:
-    """``context, shorter, n``: runs of ``length`` words and what follows, counted per slice.
+    """``context, shorter, n``: runs of ``length`` words and what follows, counted over slices of a task.
 
     ``shorter`` names the run without its first word, the next one included. Runs and
     ``shorter`` that the filters rule out are left out.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
             for _, _, hashes, lengths in _sequences(batch, 0):
                 at = np.flatnonzero(_offsets(lengths) >= length)
@@ -147,30 +187,27 @@ def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarra
                 context, shorter = names[at - 1], names[at]
                 kept = in_filter(contexts, context) & in_filter(ends, shorter)
                 context, shorter = context[kept], shorter[kept]
-                order = np.lexsort((shorter, context))
-                context, shorter = context[order], shorter[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (context[1:] != context[:-1]) | (shorter[1:] != shorter[:-1])
-                first = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(context[first].view(np.int64)), pa.array(shorter[first].view(np.int64)),
-                    pa.array(np.diff(np.append(first, len(order)))),
-                ], names=["context", "shorter", "n"])
+                yield [joined(context, shorter), context, shorter, np.ones(len(context), np.int64)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(found(batches), ["context", "shorter", "n"])
 
     return texts.mapInArrow(count, "context long, shorter long, n long")
 
 
 def _named(entries: DataFrame) -> DataFrame:
-    """``entries`` with ``key``, the name of the context and the word behind it."""
+    """``entries`` with ``key``, the name of the context and the word behind it, in place of ``shorter``."""
+    kept = [c for c in entries.columns if c != "shorter"]
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             context, shorter = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "shorter"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(joined(context, shorter).view(np.int64))],
-                names=[*batch.schema.names, "key"],
+                [*(batch.column(c) for c in kept), pa.array(joined(context, shorter).view(np.int64))],
+                names=[*kept, "key"],
             )
 
-    columns = ", ".join(f"{c} {kind}" for c, kind in entries.dtypes)
+    columns = ", ".join(f"{c} {kind}" for c, kind in entries.dtypes if c in kept)
     return entries.mapInArrow(name, f"{columns}, key bigint")
 
 
@@ -187,7 +224,7 @@ class Bounds:
 
 @dataclass
 class Tree:
-    """``contexts``: ``key, left, n, entries`` of the retained ones. ``entries``: ``key, context, p``."""
+    """``contexts``: ``key, left, n, entries`` of the retained ones. ``entries``: ``key, context, total, p``."""
 
     contexts: DataFrame
     entries: DataFrame
@@ -200,32 +237,38 @@ def grow(texts: DataFrame, counts: DataFrame, room: float, bounds: Bounds) -> Tr
     levels: list[tuple[DataFrame, DataFrame]] = []
     for length in range(1, bounds.depth + 1):
         frequent = totals.where(F.col("n") >= bounds.context).select("key", F.col("n").alias("total"))
-        found = (
+        behind = (
             _behind(texts, length, filter_of(frequent), ends).groupBy("context", "shorter")
             .agg(F.sum("n").alias("n")).where(F.col("n") >= bounds.entry)
-            .join(frequent.withColumnRenamed("key", "context"), "context")
-        )
-        entries = written(
-            _named(found).join(
-                below.select(F.col("key").alias("shorter"), F.col("p").alias("below")), "shorter"
-            ), "lm-entries",
-        )
-        gain = F.col("n") * (F.log(F.col("n") / F.col("total")) - F.log("below"))
-        tested = entries.groupBy(F.col("context").alias("key")).agg(
-            F.sum(gain).alias("gain"), F.count("*").alias("entries"), F.first("total").alias("n"),
-            F.sum(F.col("n") - DISCOUNT).alias("taken"),
-        )
-        retained = written(
-            tested.where(F.col("gain") > bounds.penalty * F.col("entries"))
-            .select("key", (1 - F.col("taken") / F.col("n")).alias("left"), "n", "entries"), "lm-contexts",
-        )
-        own = (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("below")
-        likely = written(
-            entries.join(retained.select(F.col("key").alias("context"), "left"), "context", "left").select(
-                "key", "context", "n", F.coalesce(own, "below").alias("p"), F.col("left").isNotNull().alias("inside")
-            ), "lm-likely",
         )
-        levels.append((retained, likely.where("inside").select("key", "context", "p")))
+        shorter = below.select(F.col("key").alias("shorter"), F.col("p").alias("below"))
+        n = F.col("n")
+        with ExitStack() as later:
+            with passing(behind, "lm-found") as found:
+                entries = later.enter_context(passing(found.join(shorter, "shorter"), "lm-entries"))
+            tested = entries.groupBy(F.col("context").alias("key")).agg(
+                F.sum(n * (F.log("n") - F.log("below"))).alias("gain"), F.sum("n").alias("inside"),
+                F.count("*").alias("entries"), F.sum(n - DISCOUNT).alias("taken"),
+            ).join(frequent, "key")
+            gain = F.col("gain") - F.col("inside") * F.log("total")
+            left = 1 - F.col("taken") / F.col("total")
+            contexts = settled(
+                tested.select(
+                    "key", F.when(gain > bounds.penalty * F.col("entries"), left).alias("left"),
+                    F.col("total").alias("n"), "entries",
+                ), "lm-contexts",
+            )
+            states = contexts.select(F.col("key").alias("context"), F.col("n").alias("total"), "left")
+            own = (n - DISCOUNT) / F.col("total") + F.col("left") * F.col("below")
+            likely = settled(
+                _named(entries.join(states, "context").select(
+                    "context", "shorter", "n", "total", F.coalesce(own, "below").alias("p"),
+                    F.col("left").isNotNull().alias("inside"),
+                )), "lm-likely",
+            )
+        levels.append((
+            contexts.where("left IS NOT NULL"), likely.where("inside").select("key", "context", "total", "p")
+        ))
         totals, below = likely.select("key", "n"), likely.select("key", "p")
         ends = filter_of(totals)
     contexts, entries = levels[0]
@@ -247,6 +290,7 @@ class Held:
     entries: np.ndarray
     likely: np.ndarray
     others: np.ndarray
+    other_entries: np.ndarray
     depth: int
 
 
@@ -273,17 +317,20 @@ def _least(rows: DataFrame, size: Column, most: int) -> int:
     return least
 
 
-def hold(tree: Tree, counts: DataFrame, room: float, bounds: Bounds) -> Held:
-    """The most frequent contexts with all their entries, the most frequent words, the filter of the rest."""
-    contexts, entries = tree.contexts, tree.entries
+def least_held(tree: Tree, bounds: Bounds) -> int:
+    """The least count of the contexts that tasks hold."""
+    return _least(tree.contexts, F.col("entries"), bounds.held)
+
+
+def hold(tree: Tree, counts: DataFrame, room: float, bounds: Bounds, least: int) -> Held:
+    """The most frequent contexts with all their entries, the most frequent words, filters of the rest."""
     n = F.col("n")
-    least = _least(contexts, F.col("entries"), bounds.held)
-    words = counts.where(n >= _least(counts, F.lit(1), bounds.held))
-    inside = contexts.where(n >= least)
-    own = entries.join(inside.select(F.col("key").alias("context")), "context")
+    words = counts.where(n >= _least(counts, F.lit(1), bounds.held // 4))
     return Held(
-        *_sorted(words.select("key", (n + 1) / F.lit(room))), *_sorted(inside.select("key", "left")),
-        *_sorted(own.select("key", "p")), filter_of(contexts.where(n < least)), bounds.depth,
+        *_sorted(words.select("key", (n + 1) / F.lit(room))),
+        *_sorted(tree.contexts.where(n >= least).select("key", "left")),
+        *_sorted(tree.entries.where(F.col("total") >= least).select("key", "p")),
+        filter_of(tree.contexts.where(n < least)), filter_of(tree.entries.where(F.col("total") < least)), bounds.depth,
     )
 
 
@@ -291,8 +338,13 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Place of each key, -1 if absent."""
     if not len(sorted_keys):
         return np.full(len(keys), -1)
+    # In ascending order, neighbours share the memory that they are looked up in.
+    order = np.argsort(keys)
+    keys = keys[order]
     at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
+    found = np.empty(len(keys), np.int64)
+    found[order] = np.where(sorted_keys[at] == keys, at, -1)
+    return found
 
 
 def _values(held: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -302,38 +354,50 @@ def _values(held: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.where(place >= 0, np.log10(held[place]), 0.0)
 
 
-def score_sequences(tree: Held, known: np.ndarray, code: np.ndarray, lengths: np.ndarray):
-    """For each predicted word: its place, what is known of its log10 probability, and what isn't.
+@dataclass
+class Scored:
+    """What a task knows of each predicted word.
 
-    ``known`` are the different words, ``code`` numbers them. Words that meet a context which the
-    task doesn't hold are ``open`` from its length on (0: not): the tables know the rest of their
-    score. Words that are ``going`` on still need the root's estimate.
+    ``at``: its place. ``going``: it still needs the root's estimate. ``opened[k]``: its context of
+    ``k`` words is open. ``known[k]``: what held contexts shorter than that add to its log10
+    probability, down to the next open one; ``known[0]``: those before the first open one.
     """
+
+    at: np.ndarray
+    going: np.ndarray
+    opened: np.ndarray
+    known: np.ndarray
+
+
+def score_sequences(tree: Held, known: np.ndarray, code: np.ndarray, lengths: np.ndarray, names: list[np.ndarray]) -> Scored:
+    """``known`` are the different words, ``code`` numbers them, ``names`` are the runs that end at each place."""
     offsets = _offsets(lengths)
     at = np.flatnonzero(offsets > 0)
-    names = runs(known[code], tree.depth)
     # Contexts of one word are looked up once per different word.
     single, other_single = _find(tree.contexts, known), in_filter(tree.others, known)
-    score, going, open_ = np.zeros(len(at)), np.ones(len(at), bool), np.zeros(len(at), np.int64)
+    found = Scored(
+        at, np.ones(len(at), bool), np.zeros((tree.depth + 1, len(at)), bool), np.zeros((tree.depth + 1, len(at)))
+    )
+    last = np.zeros(len(at), np.int64)
     for length in range(tree.depth, 0, -1):
         # A run of so many words has to lie in the document.
-        inside = going & (offsets[at] >= length)
+        inside = found.going & (offsets[at] >= length)
         if length == 1:
             state, other = single[code[at - 1]], other_single[code[at - 1]]
         else:
             context = names[length - 1][at - 1]
             state, other = _find(tree.contexts, context), in_filter(tree.others, context)
         state = np.where(inside, state, -1)
-        found = np.flatnonzero(state >= 0)
+        met = np.flatnonzero(state >= 0)
         entry = np.full(len(at), -1)
-        entry[found] = _find(tree.entries, names[length][at[found]])
-        score[found] += np.where(
-            entry[found] >= 0, _values(tree.likely, entry[found]), _values(tree.left, state[found])
+        entry[met] = _find(tree.entries, names[length][at[met]])
+        found.known[last[met], met] += np.where(
+            entry[met] >= 0, _values(tree.likely, entry[met]), _values(tree.left, state[met])
         )
-        other = inside & (state < 0) & other
-        open_[other] = length
-        going &= (entry < 0) & ~other
-    return at, score, going, open_
+        found.opened[length] = inside & (state < 0) & other
+        last[found.opened[length]] = length
+        found.going &= entry < 0
+    return found
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -343,117 +407,120 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 _SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_held long, base double, own double, "
-           "word long, times long, ended long, run long, words array<long>")
+           "word long, times long, ended long, context long, entry long, rest double, "
+           "contexts array<long>, entries array<long>, rests array<double>, last long")
+_TYPES = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(),
+          "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
 
 
 def _scores(shared):
     """Rows of ``_SCORED``: one per document, and one per word that the task can't settle.
 
     The latter have either ``word`` (absent from the held words; ``times`` it is in the
-    document, ``ended`` of them without need of the root) or ``run``, the name of an open one's
-    words. Without a document: the ``words`` of a run, once per slice.
+    document, ``ended`` of them without need of the root) or ``context``, the open one, ``entry``,
+    null if no context that isn't held has it, and ``rest``, what follows if this context doesn't
+    have it either, but for the share it leaves. Where several contexts are open, or the root is
+    unknown too, these are lists, the longest context first; ``last`` is the word if it needs the root.
     """
-    names = [c.split()[0] for c in _SCORED.split(", ")]
+    names, kinds = zip(*(c.split() for c in _SCORED.split(", ")))
 
-    def rows(n, row=None, word=None, times=None, ended=None, run=None, words=None) -> pa.RecordBatch:
-        long, double = pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64())
+    def rows(n, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([
-            long if row is None else row, long, pa.nulls(n, pa.bool_()), long, long, double, double,
-            long if word is None else pa.array(word), long if times is None else pa.array(times),
-            long if ended is None else pa.array(ended), long if run is None else pa.array(run),
-            pa.nulls(n, pa.list_(pa.int64())) if words is None else words,
-        ], names=names)
+            pa.nulls(n, _TYPES[kind]) if c not in columns
+            else columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c])
+            for c, kind in zip(names, kinds)
+        ], names=list(names))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
         for batch in batches:
             for start, end, words, code, lengths in _numbered(batch, 3):
                 some, hashes = batch.slice(start, end - start), words[code]
-                at, own, going, opened = score_sequences(tree, words, code, lengths)
+                named = runs(hashes, tree.depth)
+                found = score_sequences(tree, words, code, lengths, named)
+                at, going, opened = found.at, found.going, found.opened.sum(0)
                 document = np.repeat(np.arange(len(lengths)), lengths - 1)
                 place, n = _find(tree.words, words), len(lengths)
                 root, known = _values(tree.root, place)[code[at]], (place >= 0)[code[at]]
-                own = own + np.where(going, root, 0.0)
-                yield pa.RecordBatch.from_arrays([
-                    some.column(0), some.column(1), some.column(2), pa.array(lengths - 1),
-                    pa.array(np.bincount(document, known, n).astype(np.int64)),
-                    pa.array(np.bincount(document, root, n)), pa.array(np.bincount(document, own, n)),
-                    *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.list_(pa.int64())),
-                ], names=names)
+                to_root = going & (opened == 0)
+                own = found.known[0] + np.where(to_root, root, 0.0)
+                yield rows(
+                    n, row=some.column(0), doc_id=some.column(1), held_out=some.column(2), n_tokens=lengths - 1,
+                    n_held=np.bincount(document, known, n).astype(np.int64),
+                    base=np.bincount(document, root, n), own=np.bincount(document, own, n),
+                )
                 # Rare words once per document.
                 rare = np.flatnonzero(~known)
                 order = rare[np.lexsort((hashes[at[rare]], document[rare]))]
                 doc, word = document[order], hashes[at[order]].view(np.int64)
                 first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
                 if len(first):
-                    done = (~going)[order].astype(np.int64)
-                    yield rows(len(first), some.column(0).take(pa.array(doc[first])), word[first],
-                               np.diff(np.append(first, len(doc))), np.add.reduceat(done, first))
-                left = np.flatnonzero(opened)
-                if len(left):
-                    size, place = opened[left] + 1, at[left]
-                    run = np.choose(size - 2, [r[place] for r in runs(hashes, tree.depth)[1:]]).view(np.int64)
-                    yield rows(len(left), some.column(0).take(pa.array(document[left])), run=run)
-                    run, once = np.unique(run, return_index=True)
-                    size, place = size[once], place[once]
-                    ends = np.cumsum(size)
-                    inside = np.arange(ends[-1]) - np.repeat(ends - size, size)
-                    words = hashes[np.repeat(place - size + 1, size) + inside].view(np.int64)
-                    offset = pa.array(np.append(0, ends).astype(np.int32))
-                    yield rows(len(run), run=run, words=pa.ListArray.from_arrays(offset, pa.array(words)))
+                    done = (~to_root)[order].astype(np.int64)
+                    yield rows(
+                        len(first), row=some.column(0).take(pa.array(doc[first])), word=word[first],
+                        times=np.diff(np.append(first, len(doc))), ended=np.add.reduceat(done, first),
+                    )
+                # The shortest open context is followed by the root's estimate, if anything.
+                rest, shortest = found.known.copy(), found.opened.argmax(0)
+                rest[shortest, np.arange(len(at))] += np.where(going & known, root, 0.0)
+                several = (opened > 1) | ((opened > 0) & going & ~known)
+                length, of = np.nonzero(found.opened & ~several)
+                if len(of):
+                    context, entry = names_at(named, length - 1, at[of] - 1), names_at(named, length, at[of])
+                    yield rows(
+                        len(of), row=some.column(0).take(pa.array(document[of])), context=context.view(np.int64),
+                        entry=pa.array(entry.view(np.int64), mask=~in_filter(tree.other_entries, entry)),
+                        rest=rest[length, of],
+                    )
+                of, back = np.nonzero((found.opened & several)[::-1].T)
+                if len(of):
+                    length = tree.depth - back
+                    first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+                    token, ends = of[first], pa.array(np.append(first, len(of)).astype(np.int32))
+                    context, entry = names_at(named, length - 1, at[of] - 1), names_at(named, length, at[of])
+                    yield rows(
+                        len(token), row=some.column(0).take(pa.array(document[token])),
+                        contexts=pa.ListArray.from_arrays(ends, pa.array(context.view(np.int64))),
+                        entries=pa.ListArray.from_arrays(ends, pa.array(entry.view(np.int64))),
+                        rests=pa.ListArray.from_arrays(ends, pa.array(rest[length, of])),
+                        last=pa.array(hashes[at[token]].view(np.int64), mask=~(going & ~known)[token]),
+                    )
     return score
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``run, length, entry, key``: under what the tables know a run's contexts, entries and last word."""
-    for batch in batches:
-        run, lists = batch.column(0).to_numpy(), batch.column(1)
-        flat = lists.flatten().to_numpy().view(np.uint64)
-        sizes = lists.value_lengths().to_numpy()
-        begin = np.cumsum(sizes) - sizes
-        for size in np.unique(sizes):
-            of_size = np.flatnonzero(sizes == size)
-            words = flat[begin[of_size, None] + np.arange(size)]
-            keys = [(0, True, words[:, -1].copy().view(np.int64))]
-            for length in range(1, size):
-                # Names of the runs of so many words, and of one more.
-                context = words[:, -2].copy().view(np.int64) ^ np.int64(_CONTEXT)
-                words = joined(words[:, :-1], words[:, 1:])
-                keys += [(length, False, context), (length, True, words[:, -1].copy().view(np.int64))]
-            n = len(of_size)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.tile(run[of_size], len(keys))),
-                pa.array(np.repeat(np.array([k[0] for k in keys], np.int32), n)),
-                pa.array(np.repeat([k[1] for k in keys], n)), pa.array(np.concatenate([k[2] for k in keys])),
-            ], names=["run", "length", "entry", "key"])
-
-
-def _from_tables(runs_: DataFrame, tree: Tree, counts: DataFrame, room: float, depth: int) -> DataFrame:
-    """``run, score``: the log10 probability of the last of each run of ``words``, once per ``run``."""
-    known = (
-        tree.contexts.select(F.col("key").bitwiseXOR(F.lit(_CONTEXT)).alias("key"), F.col("left").alias("value"))
-        .union(tree.entries.select("key", "p"))
-        .union(counts.select("key", (F.col("n") + 1) / F.lit(room)))
+def _from_tables(opened: DataFrame, tree: Tree, least: int, counts: DataFrame, room: float, depth: int) -> DataFrame:
+    """``row, opened``: the sum of the log10 probabilities of each row's open words, from their open context on."""
+    own = tree.entries.where(F.col("total") < least).groupBy("context").agg(
+        F.collect_list(F.struct("key", "p")).alias("likely")
+    )
+    states = own.join(
+        tree.contexts.where(F.col("n") < least).select(F.col("key").alias("context"), "left"), "context"
+    )
+    here = F.log10(F.expr("get(filter(likely, e -> e.key = entry), 0).p"))
+    value = F.coalesce(here, F.coalesce(F.log10("left"), F.lit(0.0)) + F.col("rest"))
+    single = opened.where("context IS NOT NULL").select("row", "context", "entry", "rest").join(
+        states, "context", "left"
+    ).select("row", value.alias("score"))
+    lists = ["contexts", "entries", "rests", "last"]
+    several = opened.where("contexts IS NOT NULL").select(
+        "row", *lists, F.lit(0.0).alias("score"), F.lit(False).alias("done")
     )
-    asked = runs_.distinct().mapInArrow(_asked, "run long, length int, entry boolean, key long")
+    for k in range(depth):
+        # A row that is done goes along unchanged, under some key of its own.
+        on = ~F.col("done") & (F.size("contexts") > k)
+        several = several.withColumns({
+            "context": F.coalesce(F.get("contexts", F.lit(k)), F.get("contexts", F.lit(0))),
+            "entry": F.get("entries", F.lit(k)), "rest": F.get("rests", F.lit(k)),
+        }).join(states, "context", "left").select(
+            "row", *lists, F.when(on, F.col("score") + value).otherwise(F.col("score")).alias("score"),
+            (F.col("done") | (on & here.isNotNull())).alias("done"),
+        )
     # The root always answers: a word without a count is one in ``room``.
-    met = asked.join(known, "key", "left").withColumn(
-        "value", F.coalesce("value", F.when(F.col("length") == 0, 1 / F.lit(room)))
-    ).where("value IS NOT NULL")
-
-    def value(length: int, entry: bool) -> Column:
-        return F.max(F.when((F.col("length") == length) & (F.col("entry") == entry), F.col("value")))
-
-    levels = range(1, depth + 1)
-    found = met.groupBy("run").agg(
-        *[value(k, True).alias(f"entry_{k}") for k in (0, *levels)],
-        *[value(k, False).alias(f"left_{k}") for k in levels],
+    root = F.when(~F.col("done") & F.col("last").isNotNull(), F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(room)))
+    several = several.withColumn("key", F.coalesce("last", F.get("contexts", F.lit(0)))).join(counts, "key", "left").select(
+        "row", (F.col("score") + F.coalesce(root, F.lit(0.0))).alias("score")
     )
-    score = F.log10("entry_0")
-    for k in levels:
-        shorter = F.coalesce(F.log10(f"left_{k}"), F.lit(0.0)) + score
-        score = F.coalesce(F.log10(f"entry_{k}"), shorter)
-    return found.select("run", score.alias("score"))
+    return single.union(several).groupBy("row").agg(F.sum("score").alias("opened"))
 
 
 def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -465,34 +532,32 @@ def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """
     rows = docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))
     training = rows.where(~F.col("held_out")).select("text")
-    counts = written(word_counts(training), "lm-words")
+    counts = settled(word_counts(training), "lm-words")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens = size["n"]
     room = float(tokens + 1 * (size["v"] + 1))
     tree = grow(training, counts, room, bounds)
-    shared = docs.sparkSession.sparkContext.broadcast(hold(tree, counts, room, bounds))
+    least = least_held(tree, bounds)
+    shared = docs.sparkSession.sparkContext.broadcast(hold(tree, counts, room, bounds, least))
 
     numbered = rows.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "held_out", "text"
     )
-    scored = written(numbered.mapInArrow(_scores(shared), _SCORED), "lm-scored")
+    scored = settled(numbered.mapInArrow(_scores(shared), _SCORED), "lm-scored")
     # Words that tasks don't hold: none of them is frequent.
     rare = scored.where("word IS NOT NULL").select("row", F.col("word").alias("key"), "times", "ended")
     n = F.coalesce("n", F.lit(0))
     root = F.log10((n + 1) / F.lit(room))
-    looked_up = rare.join(counts, "key", "left").groupBy("row").agg(
+    looked_up = settled(rare.join(counts, "key", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("n_rare"),
         F.sum(F.col("times") * root).alias("rare"),
         F.sum((F.col("times") - F.col("ended")) * root).alias("rare_own"),
-    )
-    asked = scored.where("words IS NOT NULL").select("run", "words")
-    settled = scored.where("run IS NOT NULL AND row IS NOT NULL").select("row", "run").join(
-        _from_tables(asked, tree, counts, room, bounds.depth), "run"
-    ).groupBy("row").agg(F.sum("score").alias("opened"))
+    ), "lm-rare")
+    opened = settled(_from_tables(scored, tree, least, counts, room, bounds.depth), "lm-opened")
     none = F.lit(0.0)
     return (
-        scored.where("n_tokens IS NOT NULL").drop("words", "run", "word", "times", "ended")
-        .join(looked_up, "row", "left").join(settled, "row", "left").select(
+        scored.where("n_tokens IS NOT NULL").select("row", "doc_id", "held_out", "n_tokens", "n_held", "base", "own")
+        .join(looked_up, "row", "left").join(opened, "row", "left").select(
             F.col("doc_id"), "held_out", "n_tokens",
             (F.col("n_held") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
             F.lit(tokens).cast("long").alias("train_tokens"),
