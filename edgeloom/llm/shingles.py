@@ -59,9 +59,11 @@ def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
     return known[code], n
 
 
-def numbered_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def numbered_words(texts: pa.Array, lower: bool = False, names=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the different words, the number of every word among them, and how many each text has.
 
+    ``names`` makes the hashes of a column of words, by default those of ``word_hashes``.
+
     Words are cut and numbered in Arrow, and each different one is hashed once. No text is
     taken apart in Python, so a very long one costs little more than its words.
     """
@@ -69,7 +71,7 @@ def numbered_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np
     texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     cut = lists.flatten().dictionary_encode()
-    known = word_hashes(column_bytes(cut.dictionary))
+    known = names(cut.dictionary) if names else word_hashes(column_bytes(cut.dictionary))
     # White space at either end of a text leaves an empty piece there.
     code = cut.indices.to_numpy()
     kept = pc.binary_length(cut.dictionary).to_numpy(zero_copy_only=False)[code] > 0

@@ -11,14 +11,18 @@ only leave out what occurs once. The tree grows with the corpus.
 
 The tree is two tables in Spark, contexts and entries, grown level by level by a shuffle each:
 a pass over the texts counts the words behind frequent contexts, the counts meet the level
-before, and the test is a grouping by context, combined before its shuffle. Tasks that score
-hold a bounded part of the tree, its most frequent contexts with all their entries, and
-filters of fixed size of all others. A word that meets a context which may be among the others is
-open: its context and entry are sent to the tables, with the rest of its score where the task
-knows it. What a task holds decides how much is shuffled, never what a word scores.
-
-Each table is written on its own; what Spark shuffled for it is removed then, and tables that
-only the next one needs go with it. So the disk holds one step's data beside the tree.
+before, and the test is a grouping by context, combined before its shuffle.
+
+A score is a sum over the runs that end at each word. The root gives each word its estimate.
+A retained context adds what it leaves, an entry what its share is beyond that and beyond what the
+next shorter context predicts; every other run adds nothing. So runs are looked up in any order, each for itself. Tasks
+that score hold a bounded part of these values, those of the most frequent runs, and a filter of
+fixed size of all. What else may have a value is sent to the tables: each run once for many
+documents, and their numbers. What a task holds decides how much is shuffled, never what a word scores.
+
+Runs go to fixed ranges of their names, in order, as packed columns of bytes. Documents are scored
+in rounds. Each table is written on its own; what Spark shuffled for it is removed then, and tables that
+only the next one needs go with it. So the disk holds one step's data, or one round's, beside the tree.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeloom.llm.shingles import mixed, numbered_words, text_slices
-from edgeloom.llm.tables import passing, settled
+from edgeloom.llm.tables import dropped, passing, settled
 
 #: A document is held out if crc32 of its id as text leaves this remainder.
 FOLDS, HELD_OUT = 7, 2
@@ -46,14 +51,20 @@ LEAST_CONTEXT, LEAST_ENTRY = 2, 2
 PENALTY = 8.0
 #: Taken off each entry's count in favour of the shorter context.
 DISCOUNT = 0.75
-#: Entries of the tree that a task holds at most (64 MB), and a quarter as many words.
-HELD = 1 << 22
+#: Values of the tree that a task holds at most (16 MB), and a quarter as many words.
+HELD = 1 << 20
 #: Bits of the filters, as a power of two: 4 MB.
 FILTER_BITS = 25
 #: Bytes of texts that a task works on at a time.
 SLICE = 1 << 20
-#: Rows of counts that a task brings together before it sends them.
-GATHERED = 1 << 21
+#: Rows that a task brings together before it sends them.
+GATHERED = 1 << 20
+#: Values that one task looks up in (16 MB).
+LOOKED_UP = 1 << 20
+#: Rounds in which documents are scored, at most, and words of a round, at least.
+ROUNDS, ROUND_WORDS = 4, 1 << 22
+#: Bytes of the longest words that are named in numpy.
+SHORT = 32
 #: The end of a document, also what precedes its first word. No word holds a blank.
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -61,17 +72,32 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 # ------------------------------------------------------------------ runs of words
 
+def word_names(words: pa.LargeStringArray) -> np.ndarray:
+    """Names of words without nulls, mixed from their lengths and their bytes, eight at a time."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    text = np.append(np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), np.zeros(8, np.uint8))
+    # The eight bytes from each place on.
+    eight = np.ndarray(len(text) - 7, np.uint64, text, strides=(1,))
+    start, n = ends[:-1], np.diff(ends)
+    names = mixed(n.astype(np.uint64) + _STEP)
+    for k in range(0, SHORT, 8):
+        of = np.flatnonzero((n > k) & (n <= SHORT))
+        beyond = (np.uint64(64) - np.uint64(8) * np.minimum(n[of] - k, 8).astype(np.uint64))
+        names[of] = mixed(names[of] * _STEP + (eight[start[of] + k] << beyond))
+    for i in np.flatnonzero(n > SHORT):
+        names[i] = xxhash.xxh64_intdigest(text[start[i]:ends[i + 1]])
+    return names
+
+
 def joined(before: np.ndarray, behind: np.ndarray) -> np.ndarray:
     """Name of a run of words from the names of all but its last and of all but its first word."""
     return mixed(before) * _STEP + behind
 
 
-def names_at(named: list[np.ndarray], runs_of: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The name at each place, of a run of one word more than ``runs_of`` says."""
-    names = np.zeros(len(at), np.uint64)
-    for k in np.unique(runs_of):
-        names[runs_of == k] = named[k][at[runs_of == k]]
-    return names
+def before_last(names: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The inverse of ``joined``: names of the runs but for their first word."""
+    return names - mixed(before) * _STEP
 
 
 def runs(hashes: np.ndarray, depth: int) -> list[np.ndarray]:
@@ -97,7 +123,7 @@ def _numbered(batch: pa.RecordBatch, column: int):
     """As ``_sequences``, with the hashes of the different words and the number of each word."""
     texts = batch.column(column)
     for start, end in text_slices(texts, SLICE):
-        known, words, n = numbered_words(texts.slice(start, end - start), lower=True)
+        known, words, n = numbered_words(texts.slice(start, end - start), lower=True, names=word_names)
         lengths = n + 2
         ends = np.cumsum(lengths)
         inside = np.ones(ends[-1], bool)
@@ -130,32 +156,94 @@ def filter_of(keys: DataFrame) -> np.ndarray:
     return bits
 
 
-# ----------------------------------------------------------------------- growing
+# ----------------------------------------------------------------------- packing
+
+def packed(values: np.ndarray) -> bytes:
+    """Bytes of the values, those of equal rank together: the leading ones of sorted names shrink when compressed."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Places of the first of equal neighbours."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
 
-def _gathered(slices: Iterable[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of a name, more columns that it decides, and a count last: one per name for many slices."""
-    waiting: list[list[np.ndarray]] = []
 
-    def together() -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*waiting)]
-        waiting.clear()
-        order = np.argsort(columns[0])
-        name = columns[0][order]
-        start = np.flatnonzero(np.append(True, name[1:] != name[:-1])[:len(name)])
-        first, n = order[start], np.add.reduceat(columns[-1][order], start) if len(start) else columns[-1]
-        # The name itself is sent only where nothing else tells it.
-        kept = columns[1:-1] or columns[:1]
-        return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in kept), pa.array(n)], names=names)
+def _cuts(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of ``parts`` equal ranges ascending names lie in, and the first and end place of each."""
+    part = ((names >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    first = _firsts(part)
+    return part[first], first, np.append(first[1:], len(part))[:len(first)]
 
+
+def _order(names: np.ndarray) -> np.ndarray:
+    """As ``argsort``: the leading bits of the names are sorted with their places, which next to always decides."""
+    bits = np.uint64(len(names).bit_length())
+    order = np.sort((names >> bits << bits) | np.arange(len(names), dtype=np.uint64))
+    order = (order & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    found = names[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(names)
+
+
+def _together(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """One row per name, ascending: columns that the name decides stay, the last is summed up."""
+    order = _order(columns[0])
+    name = columns[0][order]
+    start = _firsts(name)
+    total = np.add.reduceat(columns[-1][order], start) if len(start) else columns[-1]
+    return [name[start], *(c[order[start]] for c in columns[1:-1]), total]
+
+
+def _gathered(slices: Iterable[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """The rows of many slices, as ``_together``."""
+    waiting: list[list[np.ndarray]] = []
     rows = 0
     for columns in slices:
         waiting.append(columns)
         rows += len(columns[0])
         if rows >= GATHERED:
-            yield together()
-            rows = 0
+            yield _together([np.concatenate(c) for c in zip(*waiting)])
+            waiting, rows = [], 0
     if waiting:
-        yield together()
+        yield _together([np.concatenate(c) for c in zip(*waiting)])
+
+
+def _binary(column: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.Array:
+    return pa.array([packed(column[a:b]) for a, b in zip(first.tolist(), end.tolist())], pa.binary())
+
+
+# ----------------------------------------------------------------------- growing
+
+def _counted(texts: DataFrame, found, names: list[str], least: int = 0) -> DataFrame:
+    """``key``, more of ``names``, and ``n``: the slices' rows that ``found`` makes of a task's batches, summed up by ``key``.
+
+    With ``context`` comes ``shorter``, the key's run but for its first word.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [*names, "n"]
+    kinds, made = [*(np.uint64 for _ in names), np.int64], [*columns, *(["shorter"] if "context" in names else [])]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _gathered(found(batches)):
+            part, *at = _cuts(rows[0], parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *(_binary(c, *at) for c in rows)], names=["part", *columns])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = [[c.as_py() for c in row] for batch in batches for row in zip(*(batch.column(c) for c in columns))]
+        if waiting:
+            rows = _together([np.concatenate([unpacked(d, kind) for d in c]) for c, kind in zip(zip(*waiting), kinds)])
+            kept = rows[-1] >= least
+            rows = [c[kept].view(np.int64) for c in rows]
+            more = [before_last(*(c.view(np.uint64) for c in rows[:2])).view(np.int64)] if "context" in names else []
+            table = pa.RecordBatch.from_arrays([pa.array(c) for c in [*rows, *more]], names=made)
+            yield from (table.slice(a, GATHERED >> 2) for a in range(0, len(table), GATHERED >> 2))
+
+    dealt = texts.mapInArrow(count, ", ".join(["part int", *(f"{c} binary" for c in columns)]))
+    return dealt.repartitionById(parts, "part").mapInArrow(total, ", ".join(f"{c} long" for c in made))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -167,16 +255,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 # White space may leave an empty piece among the words.
                 yield [known[n > 0], n[n > 0]]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _gathered(found(batches), ["key", "n"])
-
-    return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return _counted(texts, found, ["key"])
 
 
-def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarray) -> DataFrame:
-    """``context, shorter, n``: runs of ``length`` words and what follows, counted over slices of a task.
+def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarray, least: int) -> DataFrame:
+    """``key, context, n, shorter``: runs of ``length`` words and what follows them ``least`` times or more.
 
-    ``shorter`` names the run without its first word, the next one included. Runs and
+    ``key`` names the run with the next word, ``shorter`` that without its first word. Runs and
     ``shorter`` that the filters rule out are left out.
     """
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -187,28 +272,9 @@ def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarra
                 context, shorter = names[at - 1], names[at]
                 kept = in_filter(contexts, context) & in_filter(ends, shorter)
                 context, shorter = context[kept], shorter[kept]
-                yield [joined(context, shorter), context, shorter, np.ones(len(context), np.int64)]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _gathered(found(batches), ["context", "shorter", "n"])
+                yield [joined(context, shorter), context, np.ones(len(context), np.int64)]
 
-    return texts.mapInArrow(count, "context long, shorter long, n long")
-
-
-def _named(entries: DataFrame) -> DataFrame:
-    """``entries`` with ``key``, the name of the context and the word behind it, in place of ``shorter``."""
-    kept = [c for c in entries.columns if c != "shorter"]
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, shorter = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "shorter"))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(joined(context, shorter).view(np.int64))],
-                names=[*kept, "key"],
-            )
-
-    columns = ", ".join(f"{c} {kind}" for c, kind in entries.dtypes if c in kept)
-    return entries.mapInArrow(name, f"{columns}, key bigint")
+    return _counted(texts, found, ["key", "context"], least)
 
 
 @dataclass(frozen=True)
@@ -224,10 +290,19 @@ class Bounds:
 
 @dataclass
 class Tree:
-    """``contexts``: ``key, left, n, entries`` of the retained ones. ``entries``: ``key, context, total, p``."""
+    """``contexts``: ``key, left, n`` of the retained ones. ``entries``: ``key, n, value`` of theirs.
+
+    ``value``: log10 of an entry's probability over what it were without the entry.
+    ``passed``: tables of shorter entries, which only these two need.
+    """
 
     contexts: DataFrame
     entries: DataFrame
+    passed: list[DataFrame]
+
+    def values(self) -> DataFrame:
+        """``key, n, value``: what each run adds to a score. A run that is a context and an entry has two rows."""
+        return self.contexts.select("key", "n", F.log10("left").alias("value")).union(self.entries)
 
 
 def grow(texts: DataFrame, counts: DataFrame, room: float, bounds: Bounds) -> Tree:
@@ -235,17 +310,19 @@ def grow(texts: DataFrame, counts: DataFrame, room: float, bounds: Bounds) -> Tr
     totals, ends = counts, filter_of(counts.where(F.col("n") >= bounds.entry))
     below = counts.select("key", ((F.col("n") + 1) / F.lit(room)).alias("p"))
     levels: list[tuple[DataFrame, DataFrame]] = []
+    passed: list[DataFrame] = []
     for length in range(1, bounds.depth + 1):
         frequent = totals.where(F.col("n") >= bounds.context).select("key", F.col("n").alias("total"))
-        behind = (
-            _behind(texts, length, filter_of(frequent), ends).groupBy("context", "shorter")
-            .agg(F.sum("n").alias("n")).where(F.col("n") >= bounds.entry)
-        )
+        # All that is in the table of a level has the least count of an entry.
+        same = bounds.context == bounds.entry or length > 1 and bounds.context < bounds.entry
+        behind = _behind(texts, length, ends if same else filter_of(frequent), ends, bounds.entry)
         shorter = below.select(F.col("key").alias("shorter"), F.col("p").alias("below"))
         n = F.col("n")
         with ExitStack() as later:
             with passing(behind, "lm-found") as found:
-                entries = later.enter_context(passing(found.join(shorter, "shorter"), "lm-entries"))
+                entries = later.enter_context(passing(
+                    found.join(shorter, "shorter").select("key", "context", "n", "below"), "lm-entries"
+                ))
             tested = entries.groupBy(F.col("context").alias("key")).agg(
                 F.sum(n * (F.log("n") - F.log("below"))).alias("gain"), F.sum("n").alias("inside"),
                 F.count("*").alias("entries"), F.sum(n - DISCOUNT).alias("taken"),
@@ -254,150 +331,98 @@ def grow(texts: DataFrame, counts: DataFrame, room: float, bounds: Bounds) -> Tr
             left = 1 - F.col("taken") / F.col("total")
             contexts = settled(
                 tested.select(
-                    "key", F.when(gain > bounds.penalty * F.col("entries"), left).alias("left"),
-                    F.col("total").alias("n"), "entries",
+                    "key", F.when(gain > bounds.penalty * F.col("entries"), left).alias("left"), F.col("total").alias("n")
                 ), "lm-contexts",
             )
             states = contexts.select(F.col("key").alias("context"), F.col("n").alias("total"), "left")
             own = (n - DISCOUNT) / F.col("total") + F.col("left") * F.col("below")
-            likely = settled(
-                _named(entries.join(states, "context").select(
-                    "context", "shorter", "n", "total", F.coalesce(own, "below").alias("p"),
-                    F.col("left").isNotNull().alias("inside"),
-                )), "lm-likely",
+            likely = entries.join(states, "context").select(
+                "key", "n", (F.log10(own) - F.log10("below") - F.log10("left")).alias("value"),
+                F.coalesce(own, "below").alias("p"),
             )
+            if length == bounds.depth:
+                likely = likely.where("value IS NOT NULL").drop("p")
+            likely = settled(likely, "lm-likely")
         levels.append((
-            contexts.where("left IS NOT NULL"), likely.where("inside").select("key", "context", "total", "p")
+            contexts.where("left IS NOT NULL"), likely.where("value IS NOT NULL").select("key", "n", "value")
         ))
-        totals, below = likely.select("key", "n"), likely.select("key", "p")
-        ends = filter_of(totals)
+        if length < bounds.depth:
+            passed.append(likely)
+            totals, below = likely.select("key", "n"), likely.select("key", "p")
+            ends = filter_of(totals)
     contexts, entries = levels[0]
     for more, further in levels[1:]:
         contexts, entries = contexts.union(more), entries.union(further)
-    return Tree(contexts, entries)
+    return Tree(contexts, entries, passed)
 
 
 # ----------------------------------------------------------------------- scoring
 
 @dataclass
 class Held:
-    """What tasks hold: sorted keys with values, and filters of what they don't hold."""
+    """What tasks hold: sorted names with values, a filter of all that have one, and in how many parts they are looked up."""
 
     words: np.ndarray
     root: np.ndarray
-    contexts: np.ndarray
-    left: np.ndarray
-    entries: np.ndarray
-    likely: np.ndarray
-    others: np.ndarray
-    other_entries: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
+    some: np.ndarray
     depth: int
+    word_parts: int
+    parts: int
 
 
-def _sorted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in ascending order and their values; only for bounded tables."""
+def _sorted(rows: DataFrame) -> list[np.ndarray]:
+    """Names in ascending order and the sums of their values; only for bounded tables."""
     table = rows.toArrow()
-    key, value = table[0].to_numpy().view(np.uint64), table[1].to_numpy()
-    order = np.argsort(key)
-    return key[order], value[order]
+    return _together([table[0].to_numpy().view(np.uint64), table[1].to_numpy()])
 
 
-def _least(rows: DataFrame, size: Column, most: int) -> int:
+def _sizes(rows: DataFrame) -> dict[int, int]:
+    """The rows by the power of two that their ``n`` reaches."""
+    return {r["level"]: r["size"] for r in rows.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("size")).collect()}
+
+
+def _least(sizes: dict[int, int], most: int) -> int:
     """The least power of two ``n`` so that the rows of that ``n`` or more make at most ``most``."""
-    sums = {
-        r["level"]: r["size"] for r in rows.groupBy(F.floor(F.log2("n")).alias("level"))
-        .agg(F.sum(size).alias("size")).collect()
-    }
     least, total = 1 << 62, 0
-    for level in sorted(sums, reverse=True):
-        total += sums[level]
+    for level in sorted(sizes, reverse=True):
+        total += sizes[level]
         if total > most:
             break
         least = 1 << int(level)
     return least
 
 
-def least_held(tree: Tree, bounds: Bounds) -> int:
-    """The least count of the contexts that tasks hold."""
-    return _least(tree.contexts, F.col("entries"), bounds.held)
+def _roots(counts: DataFrame) -> DataFrame:
+    """``key, n, value``: what a word's count adds to the root's estimate. A word without one is one in ``room``."""
+    return counts.select("key", "n", F.log10(F.col("n") + 1).alias("value"))
 
 
-def hold(tree: Tree, counts: DataFrame, room: float, bounds: Bounds, least: int) -> Held:
-    """The most frequent contexts with all their entries, the most frequent words, filters of the rest."""
-    n = F.col("n")
-    words = counts.where(n >= _least(counts, F.lit(1), bounds.held // 4))
-    return Held(
-        *_sorted(words.select("key", (n + 1) / F.lit(room))),
-        *_sorted(tree.contexts.where(n >= least).select("key", "left")),
-        *_sorted(tree.entries.where(F.col("total") >= least).select("key", "p")),
-        filter_of(tree.contexts.where(n < least)), filter_of(tree.entries.where(F.col("total") < least)), bounds.depth,
-    )
+def hold(values: DataFrame, roots: DataFrame, bounds: Bounds) -> Held:
+    """What tasks hold: the most frequent of both, and a filter of all values."""
+    least_parts = 2 * values.sparkSession.sparkContext.defaultParallelism
+    parts, found = [], []
+    for rows, most in ((roots, bounds.held // 4), (values, bounds.held)):
+        sizes = _sizes(rows)
+        found += _sorted(rows.where(F.col("n") >= _least(sizes, most)).select("key", "value"))
+        parts.append(max(least_parts, -(-sum(sizes.values()) // LOOKED_UP)))
+    return Held(*found, filter_of(values), bounds.depth, *parts)
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key, -1 if absent."""
+    """Place of each key, -1 if absent. In ascending order, neighbours share the memory that they are looked up in."""
     if not len(sorted_keys):
         return np.full(len(keys), -1)
-    # In ascending order, neighbours share the memory that they are looked up in.
-    order = np.argsort(keys)
-    keys = keys[order]
     at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    found = np.empty(len(keys), np.int64)
-    found[order] = np.where(sorted_keys[at] == keys, at, -1)
-    return found
+    return np.where(sorted_keys[at] == keys, at, -1)
 
 
 def _values(held: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Logarithms of held values; 0 where there is none."""
+    """Held values; 0 where there is none."""
     if not len(held):
         return np.zeros(len(place))
-    return np.where(place >= 0, np.log10(held[place]), 0.0)
-
-
-@dataclass
-class Scored:
-    """What a task knows of each predicted word.
-
-    ``at``: its place. ``going``: it still needs the root's estimate. ``opened[k]``: its context of
-    ``k`` words is open. ``known[k]``: what held contexts shorter than that add to its log10
-    probability, down to the next open one; ``known[0]``: those before the first open one.
-    """
-
-    at: np.ndarray
-    going: np.ndarray
-    opened: np.ndarray
-    known: np.ndarray
-
-
-def score_sequences(tree: Held, known: np.ndarray, code: np.ndarray, lengths: np.ndarray, names: list[np.ndarray]) -> Scored:
-    """``known`` are the different words, ``code`` numbers them, ``names`` are the runs that end at each place."""
-    offsets = _offsets(lengths)
-    at = np.flatnonzero(offsets > 0)
-    # Contexts of one word are looked up once per different word.
-    single, other_single = _find(tree.contexts, known), in_filter(tree.others, known)
-    found = Scored(
-        at, np.ones(len(at), bool), np.zeros((tree.depth + 1, len(at)), bool), np.zeros((tree.depth + 1, len(at)))
-    )
-    last = np.zeros(len(at), np.int64)
-    for length in range(tree.depth, 0, -1):
-        # A run of so many words has to lie in the document.
-        inside = found.going & (offsets[at] >= length)
-        if length == 1:
-            state, other = single[code[at - 1]], other_single[code[at - 1]]
-        else:
-            context = names[length - 1][at - 1]
-            state, other = _find(tree.contexts, context), in_filter(tree.others, context)
-        state = np.where(inside, state, -1)
-        met = np.flatnonzero(state >= 0)
-        entry = np.full(len(at), -1)
-        entry[met] = _find(tree.entries, names[length][at[met]])
-        found.known[last[met], met] += np.where(
-            entry[met] >= 0, _values(tree.likely, entry[met]), _values(tree.left, state[met])
-        )
-        found.opened[length] = inside & (state < 0) & other
-        last[found.opened[length]] = length
-        found.going &= entry < 0
-    return found
+    return np.where(place >= 0, held[place], 0.0)
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -406,121 +431,167 @@ def is_held_out(doc_id: Column) -> Column:
     return F.pmod(number, F.lit(FOLDS)) == HELD_OUT
 
 
-_SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_held long, base double, own double, "
-           "word long, times long, ended long, context long, entry long, rest double, "
-           "contexts array<long>, entries array<long>, rests array<double>, last long")
-_TYPES = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(),
-          "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+_SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, own double, "
+           "rooted boolean, part int, first long, keys binary, times binary, docs binary")
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
 
 
-def _scores(shared):
-    """Rows of ``_SCORED``: one per document, and one per word that the task can't settle.
+def _rows(schema: str, n: int, /, **columns) -> pa.RecordBatch:
+    """``n`` rows of a schema, null where no column is given."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([
+        pa.nulls(n, _TYPES[kind]) if c not in columns
+        else columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c], _TYPES[kind])
+        for c, kind in zip(names, kinds)
+    ], names=list(names))
 
-    The latter have either ``word`` (absent from the held words; ``times`` it is in the
-    document, ``ended`` of them without need of the root) or ``context``, the open one, ``entry``,
-    null if no context that isn't held has it, and ``rest``, what follows if this context doesn't
-    have it either, but for the share it leaves. Where several contexts are open, or the root is
-    unknown too, these are lists, the longest context first; ``last`` is the word if it needs the root.
-    """
-    names, kinds = zip(*(c.split() for c in _SCORED.split(", ")))
 
-    def rows(n, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.nulls(n, _TYPES[kind]) if c not in columns
-            else columns[c] if isinstance(columns[c], pa.Array) else pa.array(columns[c])
-            for c, kind in zip(names, kinds)
-        ], names=list(names))
+def _asked(keys: np.ndarray, docs: np.ndarray, parts: int, first: int, rooted: bool) -> pa.RecordBatch:
+    """Rows of ``_SCORED`` that ask the tables: ascending ``keys`` once, how often, and the documents that have them."""
+    start = _firsts(keys)
+    times = np.diff(np.append(start, len(keys))).astype(np.uint32)
+    key = keys[start]
+    part, a, b = _cuts(key, parts)
+    ends = np.append(start, len(keys))
+    return _rows(
+        _SCORED, len(part), rooted=np.full(len(part), rooted), part=part, first=np.full(len(part), first),
+        keys=_binary(key, a, b), times=_binary(times, a, b), docs=_binary(docs, ends[a], ends[b]),
+    )
 
+
+def _scores(shared):
+    """Rows of ``_SCORED``: one per document with what the task knows, and what it asks the tables.
+
+    ``base`` and ``own`` are sums of values without the tables' ones. What is asked is for the
+    roots (``rooted``) or for the runs; ``docs`` are numbers of rows from ``first`` on.
+    """
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
+        slices, waiting, rows = [], [], 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            """What has been gathered: the runs in order, each looked up once."""
+            row, doc_id, held_out, n_tokens, n_known, base, own = (list(c) for c in zip(*slices))
+            row, base, own = np.concatenate(row), np.concatenate(base), np.concatenate(own)
+            keys, docs = (np.concatenate(c) for c in list(zip(*waiting))[:2])
+            order = _order(keys)
+            keys, docs = keys[order], docs[order]
+            start = _firsts(keys)
+            place = np.repeat(_find(tree.keys, keys[start]), np.diff(np.append(start, len(keys))))
+            own += np.bincount(docs, _values(tree.values, place), len(own))
+            yield _rows(
+                _SCORED, len(row), row=row, doc_id=pa.concat_arrays(doc_id), held_out=pa.concat_arrays(held_out),
+                n_tokens=np.concatenate(n_tokens), n_known=np.concatenate(n_known), base=base, own=own,
+            )
+            yield _asked(keys[place < 0], docs[place < 0], tree.parts, int(row[0]), False)
+            keys, docs = (np.concatenate(c) for c in list(zip(*waiting))[2:])
+            order = _order(keys)
+            yield _asked(keys[order], docs[order], tree.word_parts, int(row[0]), True)
+
         for batch in batches:
             for start, end, words, code, lengths in _numbered(batch, 3):
                 some, hashes = batch.slice(start, end - start), words[code]
-                named = runs(hashes, tree.depth)
-                found = score_sequences(tree, words, code, lengths, named)
-                at, going, opened = found.at, found.going, found.opened.sum(0)
-                document = np.repeat(np.arange(len(lengths)), lengths - 1)
-                place, n = _find(tree.words, words), len(lengths)
-                root, known = _values(tree.root, place)[code[at]], (place >= 0)[code[at]]
-                to_root = going & (opened == 0)
-                own = found.known[0] + np.where(to_root, root, 0.0)
-                yield rows(
-                    n, row=some.column(0), doc_id=some.column(1), held_out=some.column(2), n_tokens=lengths - 1,
-                    n_held=np.bincount(document, known, n).astype(np.int64),
-                    base=np.bincount(document, root, n), own=np.bincount(document, own, n),
-                )
-                # Rare words once per document.
-                rare = np.flatnonzero(~known)
-                order = rare[np.lexsort((hashes[at[rare]], document[rare]))]
-                doc, word = document[order], hashes[at[order]].view(np.int64)
-                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))[:len(doc)])
-                if len(first):
-                    done = (~to_root)[order].astype(np.int64)
-                    yield rows(
-                        len(first), row=some.column(0).take(pa.array(doc[first])), word=word[first],
-                        times=np.diff(np.append(first, len(doc))), ended=np.add.reduceat(done, first),
-                    )
-                # The shortest open context is followed by the root's estimate, if anything.
-                rest, shortest = found.known.copy(), found.opened.argmax(0)
-                rest[shortest, np.arange(len(at))] += np.where(going & known, root, 0.0)
-                several = (opened > 1) | ((opened > 0) & going & ~known)
-                length, of = np.nonzero(found.opened & ~several)
-                if len(of):
-                    context, entry = names_at(named, length - 1, at[of] - 1), names_at(named, length, at[of])
-                    yield rows(
-                        len(of), row=some.column(0).take(pa.array(document[of])), context=context.view(np.int64),
-                        entry=pa.array(entry.view(np.int64), mask=~in_filter(tree.other_entries, entry)),
-                        rest=rest[length, of],
-                    )
-                of, back = np.nonzero((found.opened & several)[::-1].T)
-                if len(of):
-                    length = tree.depth - back
-                    first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                    token, ends = of[first], pa.array(np.append(first, len(of)).astype(np.int32))
-                    context, entry = names_at(named, length - 1, at[of] - 1), names_at(named, length, at[of])
-                    yield rows(
-                        len(token), row=some.column(0).take(pa.array(document[token])),
-                        contexts=pa.ListArray.from_arrays(ends, pa.array(context.view(np.int64))),
-                        entries=pa.ListArray.from_arrays(ends, pa.array(entry.view(np.int64))),
-                        rests=pa.ListArray.from_arrays(ends, pa.array(rest[length, of])),
-                        last=pa.array(hashes[at[token]].view(np.int64), mask=~(going & ~known)[token]),
-                    )
+                offsets, n = _offsets(lengths), len(lengths)
+                document, at = np.repeat(np.arange(n, dtype=np.uint32), lengths), np.flatnonzero(offsets > 0)
+                inside, word = document[at], code[at]
+                before = sum(len(x[0]) for x in slices)
+                # What a word adds as a context is counted with it: the end that precedes a document with the one behind it.
+                order = _order(words)
+                place, alone = np.empty((2, len(words)), np.int64)
+                place[order], alone[order] = _find(tree.words, words[order]), _find(tree.keys, words[order])
+                root, single, known = _values(tree.root, place), _values(tree.values, alone), place >= 0
+                base = np.bincount(inside, root[word], n)
+                slices.append([
+                    some.column(0).to_numpy(), some.column(1), some.column(2), lengths - 1,
+                    np.bincount(inside, known[word], n).astype(np.int64), base, base + np.bincount(inside, single[word], n),
+                ])
+                asked = at[((alone < 0) & in_filter(tree.some, words))[word]]
+                named, places = runs(hashes, tree.depth), [asked]
+                keys = [hashes[asked]]
+                for length in range(1, tree.depth + 1):
+                    at_runs = np.flatnonzero(offsets >= length)
+                    name = named[length][at_runs]
+                    kept = in_filter(tree.some, name)
+                    keys.append(name[kept])
+                    places.append(at_runs[kept])
+                keys, places, rare = np.concatenate(keys), np.concatenate(places), at[~known[word]]
+                waiting.append([
+                    keys, document[places] + np.uint32(before), hashes[rare], document[rare] + np.uint32(before)
+                ])
+                rows += len(keys) + len(rare)
+                if rows >= GATHERED:
+                    yield from sent()
+                    slices, waiting, rows = [], [], 0
+        if slices:
+            yield from sent()
     return score
 
 
-def _from_tables(opened: DataFrame, tree: Tree, least: int, counts: DataFrame, room: float, depth: int) -> DataFrame:
-    """``row, opened``: the sum of the log10 probabilities of each row's open words, from their open context on."""
-    own = tree.entries.where(F.col("total") < least).groupBy("context").agg(
-        F.collect_list(F.struct("key", "p")).alias("likely")
-    )
-    states = own.join(
-        tree.contexts.where(F.col("n") < least).select(F.col("key").alias("context"), "left"), "context"
-    )
-    here = F.log10(F.expr("get(filter(likely, e -> e.key = entry), 0).p"))
-    value = F.coalesce(here, F.coalesce(F.log10("left"), F.lit(0.0)) + F.col("rest"))
-    single = opened.where("context IS NOT NULL").select("row", "context", "entry", "rest").join(
-        states, "context", "left"
-    ).select("row", value.alias("score"))
-    lists = ["contexts", "entries", "rests", "last"]
-    several = opened.where("contexts IS NOT NULL").select(
-        "row", *lists, F.lit(0.0).alias("score"), F.lit(False).alias("done")
-    )
-    for k in range(depth):
-        # A row that is done goes along unchanged, under some key of its own.
-        on = ~F.col("done") & (F.size("contexts") > k)
-        several = several.withColumns({
-            "context": F.coalesce(F.get("contexts", F.lit(k)), F.get("contexts", F.lit(0))),
-            "entry": F.get("entries", F.lit(k)), "rest": F.get("rests", F.lit(k)),
-        }).join(states, "context", "left").select(
-            "row", *lists, F.when(on, F.col("score") + value).otherwise(F.col("score")).alias("score"),
-            (F.col("done") | (on & here.isNotNull())).alias("done"),
-        )
-    # The root always answers: a word without a count is one in ``room``.
-    root = F.when(~F.col("done") & F.col("last").isNotNull(), F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(room)))
-    several = several.withColumn("key", F.coalesce("last", F.get("contexts", F.lit(0)))).join(counts, "key", "left").select(
-        "row", (F.col("score") + F.coalesce(root, F.lit(0.0))).alias("score")
-    )
-    return single.union(several).groupBy("row").agg(F.sum("score").alias("opened"))
+_QUESTION = "part int, first long, keys binary, times binary, docs binary"
+_ANSWER = "part int, first long, docs binary, n binary, value binary"
+
+
+def _dealt(values: DataFrame, parts: int) -> DataFrame:
+    """Rows of ``_QUESTION`` with the names and the values of the table, the latter as ``docs``."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = ([b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()] for b in batches)
+        for key, value in _gathered(slices):
+            part, *at = _cuts(key, parts)
+            yield _rows(_QUESTION, len(part), part=part, keys=_binary(key, *at), docs=_binary(value, *at))
+
+    return values.select("key", "value").mapInArrow(deal, _QUESTION)
+
+
+def _looked_up(asked: DataFrame, values: DataFrame, parts: int) -> DataFrame:
+    """``row, n, value``: how many of the names that each row asked for have a value, and the sum of them.
+
+    Values, as ``_dealt``, and questions meet by ranges of names; answers, summed up for the documents of a
+    question, by the question's origin.
+    """
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, asks = [], []
+        for batch in batches:
+            for first, *data in zip(*(batch.column(c).to_pylist() for c in ("first", "keys", "times", "docs"))):
+                if first is None:
+                    known.append([unpacked(data[0], np.uint64), unpacked(data[2], np.float64)])
+                else:
+                    asks.append((first, data))
+        if not known:
+            return
+        names, value = _together([np.concatenate(c) for c in zip(*known)])
+        found, answers = [], []
+        for first, (keys, times, docs) in asks:
+            place = np.repeat(_find(names, unpacked(keys, np.uint64)), unpacked(times, np.uint32))
+            doc = unpacked(docs, np.uint32)[place >= 0]
+            n = np.bincount(doc)
+            of = np.flatnonzero(n)
+            total = np.bincount(doc, value[place[place >= 0]])
+            found.append(first)
+            answers.append([packed(of.astype(np.uint32)), packed(n[of].astype(np.uint32)), packed(total[of])])
+        if found:
+            docs, n, total = zip(*answers)
+            origin = np.array(found)
+            part = mixed(origin.view(np.uint64)) % np.uint64(parts)
+            yield _rows(_ANSWER, len(found), part=part.astype(np.int32), first=origin, docs=list(docs), n=list(n), value=list(total))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        origins: dict[int, list] = {}
+        for batch in batches:
+            for first, *data in zip(*(batch.column(c).to_pylist() for c in ("first", "docs", "n", "value"))):
+                origins.setdefault(first, []).append(data)
+        for first, data in origins.items():
+            docs, n, value = (
+                np.concatenate([unpacked(d, kind) for d in c]) for c, kind in zip(zip(*data), (np.uint32, np.uint32, np.float64))
+            )
+            times = np.bincount(docs, n).astype(np.int64)
+            of = np.flatnonzero(times)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of + first), pa.array(times[of]), pa.array(np.bincount(docs, value)[of])], names=["row", "n", "value"]
+            )
+
+    met = values.union(asked.select("part", "first", "keys", "times", "docs")).repartitionById(parts, "part")
+    replies = met.mapInArrow(reply, _ANSWER)
+    return replies.repartitionById(parts, "part").mapInArrow(add, "row long, n long, value double")
 
 
 def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -537,31 +608,38 @@ def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     tokens = size["n"]
     room = float(tokens + 1 * (size["v"] + 1))
     tree = grow(training, counts, room, bounds)
-    least = least_held(tree, bounds)
-    shared = docs.sparkSession.sparkContext.broadcast(hold(tree, counts, room, bounds, least))
+    values, roots = tree.values(), _roots(counts)
+    held = hold(values, roots, bounds)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    rounds = max(1, min(ROUNDS, tokens // ROUND_WORDS))
+    # Each row is in one round, whatever order it is read in.
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    with passing(_dealt(roots, held.word_parts), "lm-roots") as roots, passing(_dealt(values, held.parts), "lm-values") as values:
+        for table in tree.passed:
+            dropped(table)
+        found = [_scored(rows.where(turn == k) if rounds > 1 else rows, shared, roots, values) for k in range(rounds)]
+    none, unknown = F.lit(0.0), F.col("n_tokens") * F.log10(F.lit(room))
+    base = F.col("base") + F.coalesce("rare", none) - unknown
+    return reduce(DataFrame.union, found).select(
+        F.col("doc_id"), "held_out", "n_tokens",
+        (F.col("n_known") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (F.col("own") + F.coalesce("rare", none) + F.coalesce("opened", none) - unknown).alias("score"),
+    )
 
+
+def _scored(rows: DataFrame, shared, roots: DataFrame, values: DataFrame) -> DataFrame:
+    """One round: what tasks know of the rows (``n_known, base, own``), and what the tables add (``n_rare, rare, opened``)."""
     numbered = rows.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "held_out", "text"
     )
-    scored = settled(numbered.mapInArrow(_scores(shared), _SCORED), "lm-scored")
-    # Words that tasks don't hold: none of them is frequent.
-    rare = scored.where("word IS NOT NULL").select("row", F.col("word").alias("key"), "times", "ended")
-    n = F.coalesce("n", F.lit(0))
-    root = F.log10((n + 1) / F.lit(room))
-    looked_up = settled(rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("n_rare"),
-        F.sum(F.col("times") * root).alias("rare"),
-        F.sum((F.col("times") - F.col("ended")) * root).alias("rare_own"),
-    ), "lm-rare")
-    opened = settled(_from_tables(scored, tree, least, counts, room, bounds.depth), "lm-opened")
-    none = F.lit(0.0)
-    return (
-        scored.where("n_tokens IS NOT NULL").select("row", "doc_id", "held_out", "n_tokens", "n_held", "base", "own")
-        .join(looked_up, "row", "left").join(opened, "row", "left").select(
-            F.col("doc_id"), "held_out", "n_tokens",
-            (F.col("n_held") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-            F.lit(tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rare", none)).alias("base_score"),
-            (F.col("own") + F.coalesce("rare_own", none) + F.coalesce("opened", none)).alias("score"),
-        )
-    )
+    held = shared.value
+    with passing(numbered.mapInArrow(_scores(shared), _SCORED), "lm-sent") as sent:
+        scored = settled(sent.where("n_tokens IS NOT NULL").select(
+            "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own"
+        ), "lm-scored")
+        rare = settled(_looked_up(sent.where("rooted"), roots, held.word_parts), "lm-rare")
+        opened = settled(_looked_up(sent.where("NOT rooted"), values, held.parts), "lm-opened")
+    return scored.join(
+        rare.select("row", F.col("n").alias("n_rare"), F.col("value").alias("rare")), "row", "left"
+    ).join(opened.select("row", F.col("value").alias("opened")), "row", "left")

@@ -1,0 +1,66 @@
+import random
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import frame, prose
+from test_suffix_tree_lm import BruteTree, corpus, held_out
+
+from edgeloom.llm import suffix_tree_lm as lm
+from edgeloom.llm import tables
+
+
+def test_open_words_take_few_bytes_at_a_time(spark, monkeypatch):
+    """Where the tree is far larger than what tasks hold and every run may be in it, as for many gigabytes."""
+    rng, sizes, written = random.Random(5), {}, tables.written
+
+    def measured(df, label):
+        found = written(df, label)
+        size = sum(Path(f.removeprefix("file:")).stat().st_size for f in found.inputFiles())
+        sizes[label] = max(size, sizes.get(label, 0))
+        return found
+
+    monkeypatch.setattr(tables, "written", measured)
+    monkeypatch.setattr(lm, "filter_of", lambda keys: np.full((1 << lm.FILTER_BITS) // 8, 255, np.uint8))
+    monkeypatch.setattr(lm, "ROUND_WORDS", 1, raising=False)
+    texts = [" ".join(f"{rng.choice('abc')}{int(rng.paretovariate(0.4)) % 50_000}" for _ in range(100)) for _ in range(3000)]
+    docs = frame(spark, list(enumerate(texts))).repartition(2).localCheckpoint()
+    assert lm.score_report(docs, lm.Bounds(held=0)).count() == 3000
+    tokens = sum(len(t.split()) + 1 for t in texts)
+    # Three runs a word, each asked for in one round: eight bytes if each round held all of them.
+    assert max(sizes[label] for label in sizes if label in ("lm-sent", "lm-scored")) < 12 * tokens
+
+
+@pytest.mark.parametrize("held", [0, 40])
+def test_rounds_and_parts_change_no_score(spark, monkeypatch, held):
+    rows = list(enumerate(corpus())) + [(1000, None), (None, "a of b"), (None, "a of b"), (1001, "x" * 100 + " of a " + "x" * 99)]
+    bounds = lm.Bounds(depth=3, context=3, entry=2, penalty=1.0, held=held)
+    brute = BruteTree([t for d, t in rows if not held_out(d)], bounds)
+    for name, value in (("ROUND_WORDS", 1), ("GATHERED", 500), ("LOOKED_UP", 100)):
+        monkeypatch.setattr(lm, name, value)
+    found = sorted((r["doc_id"] or -1, r["score"]) for r in lm.score_report(frame(spark, rows), bounds).collect())
+    expected = sorted((d or -1, brute.score(t)) for d, t in rows)
+    assert len(found) == len(expected)
+    for a, b in zip(found, expected):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-9)
+
+
+def test_names_of_words_differ_by_their_bytes_and_lengths():
+    rng = random.Random(6)
+    words = {"", "\0", "\0\0", "x" * 32, "x" * 33, "x" * 1000, *prose(rng, 2000).split()}
+    words |= {"".join(rng.choice("ab\0é") for _ in range(rng.randrange(50))) for _ in range(5000)}
+    column = pa.array(sorted(words), pa.large_string())
+    names = lm.word_names(column)
+    assert len(set(names.tolist())) == len(words) and int(lm.END) not in names.tolist()
+    assert (lm.word_names(column.slice(9, 100)) == names[9:109]).all() and not len(lm.word_names(column.slice(0, 0)))
+
+
+def test_names_in_order_and_packed_come_back():
+    rng = np.random.default_rng(7)
+    # Names that differ in their last bits only have to be told apart as well.
+    for names in (rng.integers(0, 1 << 63, 5000, np.uint64), rng.integers(0, 60, 5000, np.uint64), np.empty(0, np.uint64)):
+        assert (names[lm._order(names)] == np.sort(names)).all()
+        assert (lm.unpacked(lm.packed(names), np.uint64) == names).all()
+    before, behind = rng.integers(0, 1 << 63, (2, 100), np.uint64)
+    assert (lm.before_last(lm.joined(before, behind), before) == behind).all()
