@@ -63,6 +63,8 @@ GATHERED = 1 << 20
 LOOKED_UP = 1 << 20
 #: Rounds in which documents are scored, at most, and words of a round, at least.
 ROUNDS, ROUND_WORDS = 4, 1 << 22
+#: Share of a filter's bits from which it rules out too little: what it is for takes twice as many rounds then.
+FULL = 0.5
 #: Bytes of the longest words that are named in numpy.
 SHORT = 32
 #: The end of a document, also what precedes its first word. No word holds a blank.
@@ -156,6 +158,10 @@ def filter_of(keys: DataFrame) -> np.ndarray:
     return bits
 
 
+def _rounds(bits: np.ndarray) -> int:
+    return 2 if np.bitwise_count(bits).sum() > FULL * (1 << FILTER_BITS) else 1
+
+
 # ----------------------------------------------------------------------- packing
 
 def packed(values: np.ndarray) -> bytes:
@@ -258,11 +264,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return _counted(texts, found, ["key"])
 
 
-def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarray, least: int) -> DataFrame:
+def _behind(
+    texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarray, least: int, turn: int, turns: int
+) -> DataFrame:
     """``key, context, n, shorter``: runs of ``length`` words and what follows them ``least`` times or more.
 
     ``key`` names the run with the next word, ``shorter`` that without its first word. Runs and
-    ``shorter`` that the filters rule out are left out.
+    ``shorter`` that the filters rule out are left out, and keys of another ``turn``.
     """
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for batch in batches:
@@ -271,8 +279,11 @@ def _behind(texts: DataFrame, length: int, contexts: np.ndarray, ends: np.ndarra
                 names = runs(hashes, length)[length - 1]
                 context, shorter = names[at - 1], names[at]
                 kept = in_filter(contexts, context) & in_filter(ends, shorter)
-                context, shorter = context[kept], shorter[kept]
-                yield [joined(context, shorter), context, np.ones(len(context), np.int64)]
+                key, context = joined(context[kept], shorter[kept]), context[kept]
+                if turns > 1:
+                    now = key % np.uint64(turns) == turn
+                    key, context = key[now], context[now]
+                yield [key, context, np.ones(len(key), np.int64)]
 
     return _counted(texts, found, ["key", "context"], least)
 
@@ -315,11 +326,16 @@ def grow(texts: DataFrame, counts: DataFrame, room: float, bounds: Bounds) -> Tr
         frequent = totals.where(F.col("n") >= bounds.context).select("key", F.col("n").alias("total"))
         # All that is in the table of a level has the least count of an entry.
         same = bounds.context == bounds.entry or length > 1 and bounds.context < bounds.entry
-        behind = _behind(texts, length, ends if same else filter_of(frequent), ends, bounds.entry)
+        within = ends if same else filter_of(frequent)
+        turns = _rounds(within)
         shorter = below.select(F.col("key").alias("shorter"), F.col("p").alias("below"))
         n = F.col("n")
         with ExitStack() as later:
-            with passing(behind, "lm-found") as found:
+            with ExitStack() as joining:
+                found = reduce(DataFrame.union, [
+                    joining.enter_context(passing(_behind(texts, length, within, ends, bounds.entry, k, turns), "lm-found"))
+                    for k in range(turns)
+                ])
                 entries = later.enter_context(passing(
                     found.join(shorter, "shorter").select("key", "context", "n", "below"), "lm-entries"
                 ))
@@ -611,7 +627,7 @@ def score_report(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     values, roots = tree.values(), _roots(counts)
     held = hold(values, roots, bounds)
     shared = docs.sparkSession.sparkContext.broadcast(held)
-    rounds = max(1, min(ROUNDS, tokens // ROUND_WORDS))
+    rounds = max(1, min(ROUNDS, tokens // ROUND_WORDS)) * _rounds(held.some)
     # Each row is in one round, whatever order it is read in.
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     with passing(_dealt(roots, held.word_parts), "lm-roots") as roots, passing(_dealt(values, held.parts), "lm-values") as values:
